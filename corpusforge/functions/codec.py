@@ -7,8 +7,6 @@ sequences with ``concat``/``listagg``, and unpacks to ``ARRAY<INT>`` without any
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 # Ids are code points below the UTF-16 surrogate range.
@@ -73,40 +71,27 @@ def max_id(tokens: Column) -> Column:
     return F.when(F.octet_length(tokens) > 0, top).otherwise(F.lit(-1))
 
 
-# --- n-gram keys -------------------------------------------------------------------------
+def id_of(two_bytes: Column) -> Column:
+    """The id held by a one-id binary."""
+    return F.conv(F.hex(two_bytes), 16, 10).cast("long")
+
 
-# One BIGINT per (h2, h1, w): 17 bits each, contexts stored plus one so that 0 means "absent".
-KEY_BITS = 17
-KEY_MASK = (1 << KEY_BITS) - 1
+def one_id(value: Column) -> Column:
+    """An id as a one-id binary."""
+    return F.unhex(F.lpad(F.hex(value), 4, "0"))
 
 
-def ngram_keys(seq: Column, first: Column) -> Column:
-    """Keys of the targets at 0-based positions ``first``.. of an id array (``first`` >= 1).
+def ngrams(tokens: Column, position: Column) -> Column:
+    """The id at 0-based ``position`` (>= 1) with the up to two ids before it: 4 or 6 bytes.
 
-    Every target carries the up to two ids before it inside the same sequence.
+    One ``substring`` per target keeps n-gram extraction inside generated code.
     """
-    positions = F.when(F.size(seq) > first, F.sequence(first, F.size(seq) - 1))
-
-    def key(p: Column) -> Column:
-        two_back = F.when(p >= 2, F.get(seq, p - 2) + 1).otherwise(F.lit(0))
-        return (
-            F.shiftleft(two_back.cast("long"), 2 * KEY_BITS)
-            + F.shiftleft((F.get(seq, p - 1) + 1).cast("long"), KEY_BITS)
-            + F.get(seq, p)
-        )
-
-    return F.coalesce(F.transform(positions, key), F.array().cast("array<bigint>"))
-
-
-def key_parts(key: Column) -> tuple[Column, Column, Column]:
-    """(h2 + 1 or 0, h1 + 1, w) of a key."""
-    mask = F.lit(KEY_MASK)
-    return (
-        F.shiftright(key, 2 * KEY_BITS).cast("int"),
-        F.shiftright(key, KEY_BITS).bitwiseAND(mask).cast("int"),
-        key.bitwiseAND(mask).cast("int"),
-    )
+    start = F.greatest(F.lit(1), position * 2 - 3)
+    return F.substring(tokens, start, F.when(position >= 2, 6).otherwise(4))
 
 
-def join_strings(parts: list[Column], sep: str) -> Column:
-    return reduce(lambda a, b: F.concat(a, F.lit(sep), b), parts)
+def target_positions(tokens: Column, first: Column) -> Column:
+    """0-based positions ``max(first, 1)`` .. end of a sequence; null when there is none."""
+    start = F.greatest(first, F.lit(1)).cast("int")
+    last = (n_ids(tokens) - 1).cast("int")
+    return F.when(start <= last, F.sequence(start, last))

@@ -100,10 +100,10 @@ def choice_scores(
         *keep,
         codec.n_ids(F.col("_ctx")).alias("_first"),
         codec.n_ids(F.col("_choice")).alias("n_choice"),
-        codec.ids(F.concat("_ctx", "_choice")).alias("_ids"),
+        F.concat("_ctx", "_choice").alias("tokens"),
     )
     units = [*keep, "n_choice"]
-    scored = score_units(rows, units, "_ids", F.col("_first"), model)
+    scored = score_units(rows, units, model, first=F.col("_first"))
     return scored.select(
         *keep, *[(F.col(f"sum_logp_{m}") / F.col("n_choice")).alias(m) for m in model.models]
     ).unpivot(keep, list(model.models), "model", "score")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from corpusforge.functions import codec
 from corpusforge.functions.codec import idiv
 from corpusforge.operators.loader import place_of_window
 from corpusforge.operators.ngram import NgramModel
@@ -14,8 +13,7 @@ from corpusforge.operators.scoring import score_units
 
 def token_logprob(window_rows: DataFrame, model: NgramModel) -> DataFrame:
     """(shard_idx, w, n_targets, sum_logp_<model>..) of every window."""
-    rows = window_rows.select("shard_idx", "w", codec.ids(F.col("tokens")).alias("_ids"))
-    return score_units(rows, ["shard_idx", "w"], "_ids", F.lit(1), model)
+    return score_units(window_rows.select("shard_idx", "w", "tokens"), ["shard_idx", "w"], model)
 
 
 def batch_losses(window_rows: DataFrame, batch_size: int, model: NgramModel) -> DataFrame:
@@ -23,9 +21,9 @@ def batch_losses(window_rows: DataFrame, batch_size: int, model: NgramModel) ->
     rows = window_rows.select(
         "shard_idx",
         place_of_window(F.col("w"), batch_size, 1)["batch"].alias("batch"),
-        codec.ids(F.col("tokens")).alias("_ids"),
+        "tokens",
     )
-    sums = score_units(rows, ["shard_idx", "batch"], "_ids", F.lit(1), model)
+    sums = score_units(rows, ["shard_idx", "batch"], model)
     return sums.select(
         "shard_idx",
         "batch",
@@ -74,13 +72,8 @@ def masked_loss(examples: DataFrame, batched: DataFrame, model: NgramModel, name
 
     An example's sums do not depend on its batch, so they are made once and joined to every epoch.
     """
-    sums = score_units(
-        examples.select("item_id", "ids", "answer_start"),
-        ["item_id"],
-        "ids",
-        F.col("answer_start"),
-        model,
-    )
+    sequences = examples.select("item_id", "tokens", "answer_start")
+    sums = score_units(sequences, ["item_id"], model, first=F.col("answer_start"))
     return (
         batched.select("epoch", "batch", "item_id")
         .join(sums, "item_id")

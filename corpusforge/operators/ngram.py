@@ -1,7 +1,8 @@
 """An interpolated n-gram model counted by Spark: the source of log P(token | context).
 
-Counts are kept once, at the longest context, under one BIGINT key per (h2, h1, w). Shorter
-contexts are sums of that much smaller table, so the corpus is exploded a single time.
+Counts are kept once, at the longest context, under one binary key per n-gram: the target's two
+bytes behind those of the up to two ids before it. Shorter contexts are sums of that much smaller
+table, so the corpus is exploded a single time.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusforge.functions import codec
-from corpusforge.functions.codec import key_parts, ngram_keys
 from corpusforge.session import cut_lineage
 
 ADD = 1.0
@@ -20,21 +20,32 @@ CONTEXT = 2
 ROUND_FOR_RANK = 12
 
 
-def window_targets(window_rows: DataFrame, *keep: str) -> DataFrame:
-    """One row (keep.., key) per target of every window."""
-    arrays = window_rows.select(*keep, codec.ids(F.col("tokens")).alias("_ids"))
-    return arrays.select(*keep, F.explode(ngram_keys(F.col("_ids"), F.lit(1))).alias("key"))
+def key_parts(key: Column) -> dict[str, Column]:
+    """Named cuts of an n-gram key: ``w``, ``h1``, ``h1w`` and, where there are two, ``h2h1``."""
+    n = F.octet_length(key)
+    return {
+        "w": F.substring(key, n - 1, F.lit(2)),
+        "h1": F.substring(key, n - 3, F.lit(2)),
+        "h1w": F.substring(key, n - 3, F.lit(4)),
+        "h2h1": F.when(n == 6, F.substring(key, 1, 4)),
+    }
 
 
-def sequence_targets(rows: DataFrame, ids: str, first: Column, *keep: str) -> DataFrame:
-    """One row (keep.., key) per target of ``ids`` from position ``max(first, 1)`` on."""
-    start = F.greatest(first, F.lit(1)).cast("int")
-    return rows.select(*keep, F.explode(ngram_keys(F.col(ids), start)).alias("key"))
+def targets(rows: DataFrame, *keep: str, first: Column | None = None) -> DataFrame:
+    """One row (keep.., key) per target of ``tokens``, from position ``max(first, 1)`` on.
+
+    A sequence's first id is never a target, and no context reaches before the sequence.
+    """
+    start = F.lit(1) if first is None else first
+    at = rows.select(
+        *keep, "tokens", F.explode(codec.target_positions(F.col("tokens"), start)).alias("_p")
+    )
+    return at.select(*keep, codec.ngrams(F.col("tokens"), F.col("_p")).alias("key"))
 
 
-def count_keys(targets: DataFrame, name: str = "n") -> DataFrame:
+def count_keys(target_rows: DataFrame, name: str = "n") -> DataFrame:
     """(key, name): partial counts before the shuffle, so a hot n-gram costs a row per task."""
-    return targets.groupBy("key").agg(F.count(F.lit(1)).alias(name))
+    return target_rows.groupBy("key").agg(F.count(F.lit(1)).alias(name))
 
 
 def mix_counts(base: DataFrame, tuned: DataFrame, weight: int) -> DataFrame:
@@ -50,30 +61,25 @@ def mix_counts(base: DataFrame, tuned: DataFrame, weight: int) -> DataFrame:
     )
 
 
-def _h_string(*stored: Column) -> Column:
-    """Context ids as blank-separated text, from ids stored plus one."""
-    return codec.join_strings([(c - 1).cast("string") for c in stored], " ")
+def context_string(context: Column) -> Column:
+    """A context's ids as text: "" for none, "h1", or "h2 h1"."""
+    return F.array_join(F.transform(codec.ids(context), lambda i: i.cast("string")), " ")
 
 
 def by_context_length(counts: DataFrame, name: str = "n") -> DataFrame:
     """(k, h, w, n) for context lengths 0..2 from one (key, n) table."""
-    h2, h1, w = key_parts(F.col("key"))
-    parts = counts.select(h2.alias("h2"), h1.alias("h1"), w.cast("long").alias("w"), F.col(name).alias("n"))
+    parts = key_parts(F.col("key"))
     # Each count stands for one row per context length it has.
-    levels = F.array(
-        F.struct(F.lit(0).cast("long").alias("k"), F.lit("").alias("h")),
-        F.struct(F.lit(1).cast("long").alias("k"), _h_string(F.col("h1")).alias("h")),
-        F.when(
-            F.col("h2") > 0,
-            F.struct(F.lit(2).cast("long").alias("k"), _h_string(F.col("h2"), F.col("h1")).alias("h")),
-        ),
+    contexts = F.array(F.lit(b""), parts["h1"], parts["h2h1"])
+    levels = counts.select(
+        parts["w"].alias("w"), F.col(name).alias("n"), F.posexplode(contexts).alias("k", "h")
     )
-    return (
-        parts.withColumn("_level", F.explode(levels))
-        .where("_level is not null")
-        .groupBy("_level.k", "_level.h", "w")
-        .agg(F.sum("n").alias("n"))
-        .select("k", "h", "w", "n")
+    summed = levels.where("h is not null").groupBy("k", "h", "w").agg(F.sum("n").alias("n"))
+    return summed.select(
+        F.col("k").cast("long").alias("k"),
+        context_string(F.col("h")).alias("h"),
+        codec.id_of(F.col("w")).alias("w"),
+        "n",
     )
 
 
@@ -87,30 +93,32 @@ class NgramModel:
     add: float = ADD
     weight: float = LAMBDA
 
-    def _sums(self, *by: str, only_full: bool = False) -> DataFrame:
-        h2, h1, w = key_parts(F.col("key"))
-        rows = self.counts.select(
-            h2.alias("h2"), h1.alias("h1"), w.alias("w"), *self.models
-        )
-        if only_full:
-            rows = rows.where("h2 > 0")
-        return rows.groupBy(*by).agg(*[F.sum(m).alias(m) for m in self.models])
+    def only(self, model: str) -> NgramModel:
+        counts = self.counts.select("key", model)
+        return NgramModel(counts, (model,), self.vocab_size, self.add, self.weight)
 
-    def _named(self, df: DataFrame, prefix: str, *by: str) -> DataFrame:
-        return df.select(*by, *[F.col(m).alias(f"{prefix}_{m}") for m in self.models])
+    def _sums(self, prefix: str, **by: Column) -> DataFrame:
+        """Counts summed by parts of the key, as (by.., prefix_<model>..)."""
+        sums = [F.sum(m).alias(f"{prefix}_{m}") for m in self.models]
+        return self.counts.groupBy(*[c.alias(n) for n, c in by.items()]).agg(*sums)
+
+    def _two_before(self) -> NgramModel:
+        counts = self.counts.where(F.octet_length("key") == 6)
+        return NgramModel(counts, self.models, self.vocab_size, self.add, self.weight)
 
     def unigram(self) -> DataFrame:
         """(w, p0_<model>..) for every id of the vocabulary: at most 55,296 rows."""
         spark = self.counts.sparkSession
-        vocab = spark.range(0, self.vocab_size, 1, 1).select(F.col("id").cast("int").alias("w"))
-        full = vocab.join(self._sums("w"), "w", "left").fillna(0, list(self.models))
+        vocab = spark.range(0, self.vocab_size, 1, 1).select(codec.one_id(F.col("id")).alias("w"))
+        c0 = self._sums("c0", w=key_parts(F.col("key"))["w"])
+        full = vocab.join(c0, "w", "left").fillna(0)
         everything = Window.partitionBy()
         return full.select(
             "w",
             *[
                 (
-                    (F.col(m) + self.add)
-                    / (F.sum(m).over(everything) + self.add * self.vocab_size)
+                    (F.col(f"c0_{m}") + self.add)
+                    / (F.sum(f"c0_{m}").over(everything) + self.add * self.vocab_size)
                 ).alias(f"p0_{m}")
                 for m in self.models
             ],
@@ -129,61 +137,68 @@ class NgramModel:
             )
         return mixed
 
-    def one_token_level(self, pairs: DataFrame) -> DataFrame:
-        """Add p1_<model> to rows with ``h1``, ``w`` (``h1`` stored plus one).
+    def one_token_level(self, rows: DataFrame) -> DataFrame:
+        """Add p1_<model> to rows with ``h1`` and ``w`` (``h1`` may be empty).
 
-        The unigram table and the one-token context totals have at most a vocabulary's rows, so
-        they are broadcast; the pair counts may grow with the data and join by Spark's choice.
+        The unigram table and the one-id context totals have at most a vocabulary's rows, so they
+        are broadcast; the pair counts may grow with the data and join by Spark's choice.
         """
-        names = [c for c in pairs.columns]
+        parts = key_parts(F.col("key"))
+        names = rows.columns
         return (
-            pairs.join(F.broadcast(self.unigram()), "w")
-            .join(self._named(self._sums("h1", "w"), "c1", "h1", "w"), ["h1", "w"], "left")
-            .join(F.broadcast(self._named(self._sums("h1"), "n1", "h1")), "h1", "left")
+            rows.withColumn("_h1w", F.concat("h1", "w"))
+            .join(F.broadcast(self.unigram()), "w")
+            .join(self._sums("c1", _h1w=parts["h1w"]), "_h1w", "left")
+            .join(F.broadcast(self._sums("n1", h1=parts["h1"])), "h1", "left")
             .select(*names, *self._mix("c1", "n1", "p0", "p1"))
         )
 
-    def two_token_level(self, triples: DataFrame) -> DataFrame:
-        """Add p2_<model> to rows with ``h2``, ``h1``, ``w`` and p1_<model>."""
-        names = [c for c in triples.columns if not c.startswith("p1_")]
-        c2 = self._named(self._sums("h2", "h1", "w", only_full=True), "c2", "h2", "h1", "w")
-        n2 = self._named(self._sums("h2", "h1", only_full=True), "n2", "h2", "h1")
+    def two_token_level(self, rows: DataFrame) -> DataFrame:
+        """Add p2_<model> to rows with ``h2h1`` (null: one id or none), ``w`` and p1_<model>."""
+        names = [c for c in rows.columns if not c.startswith("p1_")]
+        full = self._two_before()
+        c2 = full.counts.select(
+            F.col("key").alias("_key"), *[F.col(m).alias(f"c2_{m}") for m in self.models]
+        )
+        n2 = full._sums("n2", h2h1=key_parts(F.col("key"))["h2h1"])
         return (
-            triples.join(c2, ["h2", "h1", "w"], "left")
-            .join(n2, ["h2", "h1"], "left")
+            rows.withColumn("_key", F.concat("h2h1", "w"))
+            .join(c2, "_key", "left")
+            .join(n2, "h2h1", "left")
             .select(*names, *self._mix("c2", "n2", "p1", "p2"))
         )
 
     def log_probs(self, needed: DataFrame) -> DataFrame:
         """(key, logp_<model>..) for each distinct key in ``needed``.
 
-        Both sides of every join are unique on the join key, so no key is hot here.
+        Both sides of every join hold a key at most once per longer context, so none is hot.
         """
-        h2, h1, w = key_parts(F.col("key"))
+        parts = key_parts(F.col("key"))
         keys = needed.select("key").distinct()
-        parts = keys.select("key", h2.alias("h2"), h1.alias("h1"), w.alias("w"))
-        p = self.two_token_level(self.one_token_level(parts))
+        rows = keys.select("key", *[parts[n].alias(n) for n in ("w", "h1", "h2h1")])
+        p = self.two_token_level(self.one_token_level(rows))
         return p.select("key", *[F.log(f"p2_{m}").alias(f"logp_{m}") for m in self.models])
 
-    # --- next-token tables ---------------------------------------------------------------
-
     def next_token_topk(
         self, contexts: DataFrame, model: str, top_k: int | None, temperature: float = 1.0
     ) -> DataFrame:
-        """(h2, h1, w, rnk, p) of the kept tokens after each distinct context.
+        """(context, w, rnk, p) of the kept tokens after each distinct ``context``.
 
-        ``contexts`` has ``h2``, ``h1`` (ids stored plus one, 0 = absent). Scores are divided by
-        the temperature, tokens below the k-th best are dropped (ties at k survive), and the rest
-        is normalised. A token never seen after a context keeps the order it has at the next
-        shorter context, so seen tokens plus the best of the shorter context hold every survivor
-        and the vocabulary is never paired with the contexts.
+        ``context`` is a token binary of at most two ids. Scores are divided by the temperature,
+        tokens below the k-th best are dropped (ties at k survive), and the rest is normalised.
+        A token never seen after a context keeps the order it has at the next shorter context,
+        so seen tokens plus the best of the shorter context hold every survivor and the
+        vocabulary is never paired with the contexts.
         """
-        one = NgramModel(
-            self.counts.select("key", model), (model,), self.vocab_size, self.add, self.weight
-        )
+        one = self.only(model)
         k = min(top_k or self.vocab_size, self.vocab_size)
         p0, p1, p2 = (f"{level}_{model}" for level in ("p0", "p1", "p2"))
-        contexts = contexts.select("h2", "h1").distinct()
+        c = F.col("context")
+        contexts = contexts.select("context").distinct().select(
+            "context",
+            codec.last_ids(c, 1).alias("h1"),
+            F.when(F.octet_length(c) == 4, c).alias("h2h1"),
+        )
         heads = contexts.select("h1").distinct()
 
         # Candidates keep a margin far above rounding, so cutting early never cuts a tie.
@@ -197,32 +212,34 @@ class NgramModel:
                 .drop("_place", "_kth")
             )
 
+        parts = key_parts(F.col("key"))
         general = best(one.unigram(), p0).agg(F.collect_list("w").alias("ws")).scalar()
+        after_one = one.counts.select(parts["h1"].alias("h1"), parts["w"].alias("w")).distinct()
         pairs = (
-            heads.join(one._sums("h1", "w").select("h1", "w"), "h1")
+            heads.join(after_one, "h1")
             .unionByName(heads.withColumn("w", F.explode(general)))
             .distinct()
         )
         likely = best(one.one_token_level(pairs), p1, "h1").select("h1", "w")
-        seen = one._sums("h2", "h1", "w", only_full=True).select("h2", "h1", "w")
+        after_two = one._two_before().counts.select(parts["h2h1"].alias("h2h1"), parts["w"].alias("w"))
         triples = (
-            contexts.join(seen, ["h2", "h1"])
-            .unionByName(contexts.join(likely, "h1").select("h2", "h1", "w"))
+            contexts.join(after_two, "h2h1")
+            .select("context", "h1", "h2h1", "w")
+            .unionByName(contexts.join(likely, "h1").select("context", "h1", "h2h1", "w"))
             .distinct()
         )
         scored = one.two_token_level(one.one_token_level(triples))
 
-        group = Window.partitionBy("h2", "h1")
+        group = Window.partitionBy("context")
         order = F.desc(F.round(F.col(p2), ROUND_FOR_RANK))
         kept = scored.withColumn("rnk", F.rank().over(group.orderBy(order)).cast("long")).where(
             F.col("rnk") <= k
         )
-        logit = F.log(p2) / F.lit(float(temperature))
         return (
-            kept.withColumn("_logit", logit)
+            kept.withColumn("_logit", F.log(p2) / F.lit(float(temperature)))
             .withColumn("_e", F.exp(F.col("_logit") - F.max("_logit").over(group)))
             .withColumn("p", F.col("_e") / F.sum("_e").over(group))
-            .select("h2", "h1", "w", "rnk", "p")
+            .select("context", "w", "rnk", "p")
         )
 
 
@@ -231,24 +248,6 @@ def fit(counts: DataFrame, models: tuple[str, ...], vocab_size: int) -> NgramMod
     return NgramModel(cut_lineage(counts, "ngram-counts"), models, vocab_size)
 
 
-def last_two(tokens: Column) -> tuple[Column, Column]:
-    """(h2, h1) of a token sequence, ids stored plus one and 0 where there is none."""
-    tail = codec.ids(codec.last_ids(tokens, CONTEXT))
-    n = F.size(tail)
-    h1 = F.when(n >= 1, F.get(tail, n - 1) + 1).otherwise(F.lit(0))
-    h2 = F.when(n >= 2, F.get(tail, n - 2) + 1).otherwise(F.lit(0))
-    return h2, h1
-
-
-def context_string(h2: Column, h1: Column) -> Column:
-    """The context's ids as text: "" for none, "h1", or "h2 h1"."""
-    return (
-        F.when(h1 == 0, F.lit(""))
-        .when(h2 == 0, _h_string(h1))
-        .otherwise(_h_string(h2, h1))
-    )
-
-
 def unit_draw(*parts: Column) -> Column:
     """A reproducible number in [0, 1) from the md5 of the parts."""
     digest = F.md5(F.concat_ws(":", *parts).cast("binary"))
@@ -256,17 +255,17 @@ def unit_draw(*parts: Column) -> Column:
 
 
 def next_token_draw(distribution: DataFrame, seed: int) -> DataFrame:
-    """(h2, h1, w): one draw per context by inverse distribution function."""
-    group = Window.partitionBy("h2", "h1")
+    """(context, w): one draw per context by inverse distribution function."""
+    group = Window.partitionBy("context")
     order = group.orderBy(F.desc(F.round("p", ROUND_FOR_RANK)), "w")
-    u = unit_draw(F.lit(str(seed)), context_string(F.col("h2"), F.col("h1")))
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    u = unit_draw(F.lit(str(seed)), context_string(F.col("context")))
     passed = (F.col("cdf") > u) | (F.col("_place") == F.col("_size"))
     return (
         distribution.withColumn("cdf", F.sum("p").over(running))
         .withColumn("_place", F.row_number().over(order))
         .withColumn("_size", F.count(F.lit(1)).over(group))
         .where(passed)
-        .groupBy("h2", "h1")
+        .groupBy("context")
         .agg(F.min_by("w", "_place").alias("w"))
     )

@@ -16,8 +16,8 @@ FILE_STEM = "fineweb_edu"
 
 # 2**36 documents of a few KB are hundreds of TB; wider ids only cost another level of sums.
 ID_BITS = 36
-# Documents travel with their tokens, so their blocks are kept smaller than those of bare counts.
-DOC_BLOCK_BITS = 16
+# Documents travel with their tokens, so a block is a few MB and blocks are the unit of parallelism.
+DOC_BLOCK_BITS = 8
 
 
 def doc_offsets(tokenized: DataFrame, id_bits: int = ID_BITS) -> DataFrame:

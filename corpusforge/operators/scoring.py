@@ -1,27 +1,28 @@
-"""Summed log-probabilities of many id sequences under an n-gram model."""
+"""Summed log-probabilities of many token sequences under an n-gram model."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusforge.functions.codec import ngram_keys
+from corpusforge.functions import codec
 from corpusforge.operators.ngram import NgramModel
 
 
 def score_units(
-    rows: DataFrame, units: list[str], ids: str, first: Column, model: NgramModel
+    rows: DataFrame, units: list[str], model: NgramModel, first: Column | None = None
 ) -> DataFrame:
-    """(units.., n_targets, sum_logp_<model>..) over targets from position ``max(first, 1)``.
+    """(units.., n_targets, sum_logp_<model>..) over targets of ``tokens`` from ``max(first, 1)``.
 
-    Rows are placed by unit while they are still packed arrays; counting each unit's distinct
-    keys then needs no further shuffle, and however often a key occurs in a unit it reaches the
-    join once. That join is left to Spark: broadcast while the probability table is small,
-    shuffled and split on skew beyond.
+    Rows are placed by unit while they are still packed binaries; counting each unit's distinct
+    n-grams then needs no further shuffle, and however often an n-gram occurs in a unit it
+    reaches the join once. That join is left to Spark: broadcast while the probability table is
+    small, shuffled and split on skew beyond.
     """
-    start = F.greatest(first, F.lit(1)).cast("int")
+    positions = codec.target_positions(F.col("tokens"), F.lit(1) if first is None else first)
     counted = (
         rows.repartition(*[F.col(u) for u in units])
-        .select(*units, F.explode_outer(ngram_keys(F.col(ids), start)).alias("key"))
+        .select(*units, "tokens", F.explode_outer(positions).alias("_p"))
+        .select(*units, codec.ngrams(F.col("tokens"), F.col("_p")).alias("key"))
         .groupBy(*units, "key")
         .agg(F.count("key").alias("_times"))
     )

@@ -27,7 +27,7 @@ def loss_mask(n_ids: Column, answer_start: Column) -> Column:
 def sft_examples(
     items: DataFrame, max_len: int = MAX_LEN, tokenizer: Tokenizer = BYTES
 ) -> DataFrame:
-    """(item_id, n_ids, answer_start, ids, mask) from question rows with ``correct_answer``.
+    """(item_id, n_ids, answer_start, tokens) from question rows with ``correct_answer``.
 
     Context and answer are encoded apart and the document mark ends the answer. Too long a row
     keeps its last ``max_len`` ids; an answer as long as that starts at 0.
@@ -42,7 +42,7 @@ def sft_examples(
         "item_id",
         n_ctx.alias("_n_ctx"),
         n_ans.alias("_n_ans"),
-        codec.last_ids(F.concat("_ctx", "_ans"), max_len).alias("_tokens"),
+        codec.last_ids(F.concat("_ctx", "_ans"), max_len).alias("tokens"),
     )
     n_all = F.col("_n_ctx") + F.col("_n_ans")
     start = F.when(
@@ -52,8 +52,15 @@ def sft_examples(
         "item_id",
         F.least(n_all, F.lit(max_len)).cast("long").alias("n_ids"),
         start.cast("long").alias("answer_start"),
-        codec.ids(F.col("_tokens")).alias("ids"),
-    ).withColumn("mask", loss_mask(F.col("n_ids"), F.col("answer_start")))
+        "tokens",
+    )
+
+
+def with_ids_and_mask(examples: DataFrame) -> DataFrame:
+    """Add ``ids`` and ``mask`` as arrays."""
+    return examples.withColumn("ids", codec.ids(F.col("tokens"))).withColumn(
+        "mask", loss_mask(F.col("n_ids"), F.col("answer_start"))
+    )
 
 
 def assign_batches(
@@ -91,7 +98,7 @@ def collate(batched: DataFrame) -> DataFrame:
     Adds ``max_len``, ``x`` (all but the last id), ``y`` (all but the first) and ``y_mask``.
     """
     in_batch = Window.partitionBy("epoch", "batch")
-    padded = batched.withColumn("max_len", F.max("n_ids").over(in_batch))
+    padded = with_ids_and_mask(batched).withColumn("max_len", F.max("n_ids").over(in_batch))
     missing = (F.col("max_len") - F.col("n_ids")).cast("int")
     n = F.col("max_len").cast("int") - 1
     return (

@@ -8,10 +8,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from corpusforge.functions import codec
 from corpusforge.operators import loader, mcq, metrics, ngram, pack, sft
 from corpusforge.operators.tokenize import BYTES, pretoken_dictionary, token_unigrams, tokenize
 from corpusforge.sources import fixtures
-from corpusforge.sources.corpus import read_documents, table
+from corpusforge.sources.corpus import read_documents
 
 # Parameters of the catalogue. The SQL twins use the same numbers.
 SHARD = 100_000
@@ -59,11 +60,13 @@ def plan(spark, sf, split=None):
 
 
 def sciq_rows(spark, sf):
-    return fixtures.sciq_shaped(table(spark, sf, "conversations"))
+    turns = spark.read.schema(fixtures.CONVERSATIONS).parquet(f"{sf}/conversations.parquet")
+    return fixtures.sciq_shaped(turns)
 
 
 def arc_rows(spark, sf):
-    return fixtures.arc_shaped(table(spark, sf, "benchmark"))
+    texts = spark.read.schema(fixtures.BENCHMARK).parquet(f"{sf}/benchmark.parquet")
+    return fixtures.arc_shaped(texts)
 
 
 def items(spark, sf):
@@ -75,13 +78,11 @@ def train_examples(spark, sf):
 
 
 def base_counts(spark, sf):
-    return ngram.count_keys(ngram.window_targets(windows(spark, sf, "train")))
+    return ngram.count_keys(ngram.targets(windows(spark, sf, "train")))
 
 
 def sft_counts(spark, sf):
-    return ngram.count_keys(
-        ngram.sequence_targets(train_examples(spark, sf), "ids", F.col("answer_start"))
-    )
+    return ngram.count_keys(ngram.targets(train_examples(spark, sf), first=F.col("answer_start")))
 
 
 def mixed_counts(spark, sf):
@@ -170,7 +171,7 @@ def split_counts(spark, sf):
 
 def sft_examples(spark, sf):
     total = F.lit(0).cast("long")
-    return train_examples(spark, sf).select(
+    return sft.with_ids_and_mask(train_examples(spark, sf)).select(
         "item_id",
         "n_ids",
         "answer_start",
@@ -288,26 +289,28 @@ def user_choice_scores(spark, sf):
 
 
 def next_tokens(spark, sf):
-    coded = items(spark, sf).select(BYTES.encode(F.col("context")).alias("t"))
-    h2, h1 = ngram.last_two(F.col("t"))
-    contexts = coded.select(h2.alias("h2"), h1.alias("h1"))
+    prompts = items(spark, sf).select(BYTES.encode(F.col("context")).alias("t"))
+    contexts = prompts.select(codec.last_ids(F.col("t"), ngram.CONTEXT).alias("context"))
     return base_model(spark, sf).next_token_topk(contexts, "base", TOP_K, TEMPERATURE)
 
 
 def next_token_topk(spark, sf):
-    h = ngram.context_string(F.col("h2"), F.col("h1"))
-    rows = next_tokens(spark, sf)
-    return rows.select(h.alias("h"), F.col("w").cast("long"), "rnk", F.round("p", 9).alias("p"))
+    return next_tokens(spark, sf).select(
+        ngram.context_string(F.col("context")).alias("h"),
+        codec.id_of(F.col("w")).alias("w"),
+        "rnk",
+        F.round("p", 9).alias("p"),
+    )
 
 
 def next_token_draw(spark, sf):
-    h = ngram.context_string(F.col("h2"), F.col("h1"))
-    drawn = ngram.next_token_draw(next_tokens(spark, sf), SEED)
-    return drawn.select(h.alias("h"), F.col("w").cast("long"))
+    return ngram.next_token_draw(next_tokens(spark, sf), SEED).select(
+        ngram.context_string(F.col("context")).alias("h"), codec.id_of(F.col("w")).alias("w")
+    )
 
 
 def run_throughput(spark, sf):
-    rows = metrics.run_throughput(fixtures.run_log(table(spark, sf, "events")), BATCH_TOKENS)
+    rows = metrics.run_throughput(fixtures.run_log(spark.read.parquet(f"{sf}/events.parquet")), BATCH_TOKENS)
     return _rounded(rows, "tokens_per_sec", "ms_per_step")
 
 

@@ -8,6 +8,9 @@ from corpusforge.functions.codec import idiv
 from corpusforge.functions.text import strip
 from corpusforge.operators.prefix import dense_rank_of, followers
 
+CONVERSATIONS = "conv_id bigint, turn bigint, role string, text string"
+BENCHMARK = "item_id bigint, text string"
+
 SENTENCE_END = r"[.!?\n]+"
 WORD_GAP = r"[ \t\n\r\f]+"
 SYSTEM_SALTS = 16
