@@ -91,16 +91,17 @@ def choice_scores(
     has nothing to be predicted from and is left out of the sum, not of the divisor.
     """
     keep = ["source", "split", "item_id", "gold_idx", "choice_idx"]
-    coded = choice_rows(items).select(
-        *keep,
-        codec.last_ids(tokenizer.encode(F.col("context")), CONTEXT).alias("_ctx"),
-        tokenizer.encode(answer_text(F.col("choice"))).alias("_choice"),
+    tails = items.withColumn(
+        "context", codec.last_ids(tokenizer.encode(F.col("context")), CONTEXT)
+    )
+    coded = choice_rows(tails).select(
+        *keep, "context", tokenizer.encode(answer_text(F.col("choice"))).alias("_choice")
     )
     rows = coded.select(
         *keep,
-        codec.n_ids(F.col("_ctx")).alias("_first"),
+        codec.n_ids(F.col("context")).alias("_first"),
         codec.n_ids(F.col("_choice")).alias("n_choice"),
-        F.concat("_ctx", "_choice").alias("tokens"),
+        F.concat("context", "_choice").alias("tokens"),
     )
     units = [*keep, "n_choice"]
     scored = score_units(rows, units, model, first=F.col("_first"))

@@ -19,14 +19,13 @@ def score_units(
     small, shuffled and split on skew beyond.
     """
     positions = codec.target_positions(F.col("tokens"), F.lit(1) if first is None else first)
-    counted = (
+    exploded = (
         rows.repartition(*[F.col(u) for u in units])
         .select(*units, "tokens", F.explode_outer(positions).alias("_p"))
         .select(*units, codec.ngrams(F.col("tokens"), F.col("_p")).alias("key"))
-        .groupBy(*units, "key")
-        .agg(F.count("key").alias("_times"))
     )
-    probs = model.log_probs(counted.where("key is not null"))
+    counted = exploded.groupBy(*units, "key").agg(F.count("key").alias("_times"))
+    probs = model.log_probs(exploded.where("key is not null"))
     return (
         counted.join(probs, "key", "left")
         .groupBy(*units)

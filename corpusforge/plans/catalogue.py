@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -9,10 +10,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusforge.functions import codec
-from corpusforge.operators import loader, mcq, metrics, ngram, pack, sft
+from corpusforge.operators import bpe, loader, mcq, metrics, ngram, pack, sft
 from corpusforge.operators.tokenize import BYTES, pretoken_dictionary, token_unigrams, tokenize
+from corpusforge.session import cut_lineage, shared_dir
 from corpusforge.sources import fixtures
 from corpusforge.sources.corpus import read_documents
+from corpusforge.streaming import packer
 
 # Parameters of the catalogue. The SQL twins use the same numbers.
 SHARD = 100_000
@@ -129,6 +132,25 @@ def unigrams(spark, sf):
     return token_unigrams(tokenized(spark, sf))
 
 
+def bpe_merges(spark, sf):
+    return bpe.merges_table(spark, bpe.learn_merges(documents(spark, sf), MERGES))
+
+
+def doc_token_counts_bpe(spark, sf):
+    docs = documents(spark, sf)
+    tokenizer = bpe.bpe_tokenizer(bpe.learn_merges(docs, MERGES))
+    return tokenize(docs, tokenizer).select("doc_id", "n_tokens")
+
+
+def stream_manifest(spark, sf):
+    """Every given document packed by the streaming job into a fresh folder."""
+    out = f"{shared_dir(spark).rstrip('/')}/corpusforge/stream-{uuid.uuid4().hex}"
+    # The pattern matches one file as well as a folder of files.
+    stream = packer.read_document_stream(spark, f"{sf}/documents.parque[t]")
+    packer.pack_stream(stream, out, SHARD).awaitTermination()
+    return packer.streamed_manifest(spark, out, SHARD)
+
+
 # --- loading -----------------------------------------------------------------------------
 
 
@@ -248,7 +270,8 @@ def step_loss(spark, sf):
 
 
 def scores(spark, sf):
-    return mcq.choice_scores(items(spark, sf), all_models(spark, sf))
+    written = cut_lineage(items(spark, sf), "items")
+    return mcq.choice_scores(written, all_models(spark, sf))
 
 
 def choice_scores(spark, sf):
@@ -323,6 +346,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shard_manifest": manifest,
     "pretoken_dictionary": words,
     "token_unigrams": unigrams,
+    "bpe_merges": bpe_merges,
+    "doc_token_counts_bpe": doc_token_counts_bpe,
+    "stream_manifest": stream_manifest,
     "window_summary": window_summary,
     "loader_plan": loader_plan,
     "loader_schedule": loader_schedule,
