@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from corpusforge.functions import codec
 from corpusforge.functions.text import PRETOKEN_PATTERN, pretokens
 from corpusforge.operators.tokenize import Tokenizer, pretoken_dictionary
-from corpusforge.session import cut_lineage
+from corpusforge.session import cut_lineage, spread
 
 # Ids below are the bytes.
 FIRST_NEW_ID = 256
@@ -35,17 +35,15 @@ def apply_merges(chars: Column, merges: list[tuple[int, int, int]]) -> Column:
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
-    """(pair, n) of neighbouring ids, weighted by word counts; ``words`` has (chars, n)."""
-    at = words.where(F.char_length("chars") > 1).select("n", F.split("chars", "").alias("c"))
-    size = F.size("c")
-    neighbours = F.arrays_zip(
-        F.slice("c", F.lit(1), size - 1).alias("l"), F.slice("c", F.lit(2), size - 1).alias("r")
-    )
-    return (
-        at.select("n", F.inline(neighbours).alias("l", "r"))
-        .groupBy("l", "r")
-        .agg(F.sum("n").alias("n"))
+    """(pair, n) of neighbouring ids, weighted by word counts; ``words`` has (chars, n).
+
+    A pair is a two-id binary, so pairs sort by left id, then right id.
+    """
+    at = words.select("n", codec.pack(F.col("chars")).alias("t")).withColumn(
+        "p", F.explode(codec.target_positions(F.col("t"), F.lit(1)))
     )
+    pair = F.substring("t", F.col("p") * 2 - 1, F.lit(4))
+    return at.select(pair.alias("pair"), "n").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def _safe_run(ranked: list[tuple[int, int, int]], room: int) -> list[tuple[int, int, int]]:
@@ -82,7 +80,7 @@ def learn_merges(
     docs: DataFrame,
     n_merges: int,
     pattern: str = PRETOKEN_PATTERN,
-    rewrite_every: int = 64,
+    rewrite_every: int = 32,
     look: int = 256,
 ) -> list[tuple[int, int, int, int]]:
     """[(left, right, new_id, n), ..] in rank order: most frequent pair first, ties smallest ids.
@@ -92,24 +90,19 @@ def learn_merges(
     most frequent to the driver, which takes every merge that is provably next. The driver holds
     the merges table and ``look`` pairs, never the dictionary.
     """
-    distinct = pretoken_dictionary(docs, pattern)
-    words = cut_lineage(
-        distinct.select(codec.byte_string(F.col("word")).alias("chars"), "n"), "bpe-words"
-    )
+    distinct = pretoken_dictionary(spread(docs), pattern)
+    chars = codec.byte_string(F.col("word"))
+    words = cut_lineage(spread(distinct.select(chars.alias("chars"), "n")), "bpe-words")
     done: list[tuple[int, int, int, int]] = []
     pending: list[tuple[int, int, int]] = []
     while len(done) < n_merges:
         current = words.withColumn("chars", apply_merges(F.col("chars"), pending))
-        top = (
-            pair_counts(current)
-            .select(F.ascii("l").alias("l"), F.ascii("r").alias("r"), "n")
-            .orderBy(F.desc("n"), "l", "r")
-            .limit(look)
-            .collect()
-        )
+        top = pair_counts(current).orderBy(F.desc("n"), "pair").limit(look).collect()
         if not top:
             break
-        ranked = [(row["l"], row["r"], row["n"]) for row in top]
+        ranked = [
+            (int.from_bytes(row["pair"][:2]), int.from_bytes(row["pair"][2:]), row["n"]) for row in top
+        ]
         if len(ranked) < look:
             ranked.append((-1, -1, 0))
         for left, right, n in _safe_run(ranked, n_merges - len(done)):
@@ -119,9 +112,8 @@ def learn_merges(
             done.append((left, right, new_id, n))
             pending.append((left, right, new_id))
         if len(pending) >= rewrite_every and len(done) < n_merges:
-            words = cut_lineage(
-                words.withColumn("chars", apply_merges(F.col("chars"), pending)), "bpe-words"
-            )
+            rewritten = words.withColumn("chars", apply_merges(F.col("chars"), pending))
+            words = cut_lineage(spread(rewritten), "bpe-words")
             pending = []
     return done
 

@@ -16,14 +16,16 @@ def token_logprob(window_rows: DataFrame, model: NgramModel) -> DataFrame:
     return score_units(window_rows.select("shard_idx", "w", "tokens"), ["shard_idx", "w"], model)
 
 
-def batch_losses(window_rows: DataFrame, batch_size: int, model: NgramModel) -> DataFrame:
+def batch_losses(
+    window_rows: DataFrame, batch_size: int, model: NgramModel, needed: DataFrame | None = None
+) -> DataFrame:
     """(shard_idx, batch, loss_<model>..): mean loss per token of each batch of windows."""
     rows = window_rows.select(
         "shard_idx",
         place_of_window(F.col("w"), batch_size, 1)["batch"].alias("batch"),
         "tokens",
     )
-    sums = score_units(rows, ["shard_idx", "batch"], model)
+    sums = score_units(rows, ["shard_idx", "batch"], model, needed=needed)
     return sums.select(
         "shard_idx",
         "batch",

@@ -6,28 +6,49 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusforge.functions import codec
 from corpusforge.operators.ngram import NgramModel
+from corpusforge.session import cut_lineage
+
+# A probability table of at most this many rows (some 20 MB with three models) is broadcast.
+BROADCAST_ROWS = 400_000
 
 
 def score_units(
-    rows: DataFrame, units: list[str], model: NgramModel, first: Column | None = None
+    rows: DataFrame,
+    units: list[str],
+    model: NgramModel,
+    first: Column | None = None,
+    needed: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """(units.., n_targets, sum_logp_<model>..) over targets of ``tokens`` from ``max(first, 1)``.
 
-    Rows are placed by unit while they are still packed binaries; counting each unit's distinct
-    n-grams then needs no further shuffle, and however often an n-gram occurs in a unit it
-    reaches the join once. That join is left to Spark: broadcast while the probability table is
-    small, shuffled and split on skew beyond.
+    The probabilities of the distinct n-grams are written once and counted. A small table is
+    broadcast: then every target meets its probability where it is, and sums start in the task.
+    A larger one is joined by shuffle, behind a count of each unit's distinct n-grams: rows are
+    placed by unit while they are still packed, so that count moves nothing more, and an n-gram
+    that fills the corpus reaches the join once per unit only.
+
+    ``needed`` may name a table of n-grams known to hold all targets, such as the model's own
+    counts for its training text.
     """
     positions = codec.target_positions(F.col("tokens"), F.lit(1) if first is None else first)
-    exploded = (
-        rows.repartition(*[F.col(u) for u in units])
-        .select(*units, "tokens", F.explode_outer(positions).alias("_p"))
-        .select(*units, codec.ngrams(F.col("tokens"), F.col("_p")).alias("key"))
-    )
-    counted = exploded.groupBy(*units, "key").agg(F.count("key").alias("_times"))
-    probs = model.log_probs(exploded.where("key is not null"))
+
+    def exploded(df: DataFrame) -> DataFrame:
+        return df.select(*units, "tokens", F.explode_outer(positions).alias("_p")).select(
+            *units, codec.ngrams(F.col("tokens"), F.col("_p")).alias("key")
+        )
+
+    if needed is None:
+        needed = exploded(rows).where("key is not null")
+    probs = cut_lineage(model.log_probs(needed), "log-probs")
+    if probs.count() <= broadcast_rows:
+        targets = exploded(rows).withColumn("_times", F.when(F.col("key").isNotNull(), 1).otherwise(0))
+        probs = F.broadcast(probs)
+    else:
+        placed = exploded(rows.repartition(*[F.col(u) for u in units]))
+        targets = placed.groupBy(*units, "key").agg(F.count("key").alias("_times"))
     return (
-        counted.join(probs, "key", "left")
+        targets.join(probs, "key", "left")
         .groupBy(*units)
         .agg(
             F.sum("_times").alias("n_targets"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusforge.functions import codec
 from corpusforge.operators import bpe, loader, mcq, metrics, ngram, pack, sft
 from corpusforge.operators.tokenize import BYTES, pretoken_dictionary, token_unigrams, tokenize
-from corpusforge.session import cut_lineage, shared_dir
+from corpusforge.session import cut_lineage, shared_dir, spread
 from corpusforge.sources import fixtures
 from corpusforge.sources.corpus import read_documents
 from corpusforge.streaming import packer
@@ -109,7 +109,7 @@ def doc_token_counts(spark, sf):
 
 
 def corpus_totals(spark, sf):
-    return pack.corpus_totals(tokenized(spark, sf), SHARD, BYTES.vocab_size)
+    return pack.corpus_totals(tokenize(spread(documents(spark, sf))), SHARD, BYTES.vocab_size)
 
 
 def doc_offsets(spark, sf):
@@ -125,11 +125,11 @@ def spilled_docs(spark, sf):
 
 
 def words(spark, sf):
-    return pretoken_dictionary(documents(spark, sf))
+    return pretoken_dictionary(spread(documents(spark, sf)))
 
 
 def unigrams(spark, sf):
-    return token_unigrams(tokenized(spark, sf))
+    return token_unigrams(tokenize(spread(documents(spark, sf))))
 
 
 def bpe_merges(spark, sf):
@@ -137,7 +137,7 @@ def bpe_merges(spark, sf):
 
 
 def doc_token_counts_bpe(spark, sf):
-    docs = documents(spark, sf)
+    docs = spread(documents(spark, sf))
     tokenizer = bpe.bpe_tokenizer(bpe.learn_merges(docs, MERGES))
     return tokenize(docs, tokenizer).select("doc_id", "n_tokens")
 
@@ -264,7 +264,11 @@ def step_loss(spark, sf):
     train = loader.with_split_tokens(plan(spark, sf, "train"))
     horizon = F.call_function("div", F.col("split_tokens"), F.lit(BATCH_TOKENS)) * grad_accum
     schedule = loader.loader_schedule(train, B, T, RANKS, micro_steps=horizon)
-    losses = metrics.batch_losses(windows(spark, sf, "train"), B, base_model(spark, sf))
+    # The windows are read twice, to count n-grams and to score them, so they are written once.
+    rows = cut_lineage(windows(spark, sf, "train"), "windows")
+    counts = ngram.count_keys(ngram.targets(rows), "base")
+    model = ngram.fit(counts, ("base",), BYTES.vocab_size)
+    losses = metrics.batch_losses(rows, B, model, needed=model.counts)
     at = metrics.scheduled_losses(losses, schedule, B, T)
     return _rounded(metrics.step_loss(at, grad_accum, "base"), "loss")
 

@@ -49,3 +49,12 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/corpusforge/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of an input with fewer splits than twice the cores, dealt out evenly; else unchanged.
+
+    For work that is heavy per row. A large input has splits enough and is left where it is.
+    """
+    wanted = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
