@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from corpusforge.functions import codec
 from corpusforge.functions.text import PRETOKEN_PATTERN, pretokens
 from corpusforge.operators.tokenize import Tokenizer, pretoken_dictionary
-from corpusforge.session import cut_lineage, spread
+from corpusforge.session import cut_lineage, dealt, spread
 
 # Ids below are the bytes.
 FIRST_NEW_ID = 256
@@ -92,7 +92,7 @@ def learn_merges(
     """
     distinct = pretoken_dictionary(spread(docs), pattern)
     chars = codec.byte_string(F.col("word"))
-    words = cut_lineage(spread(distinct.select(chars.alias("chars"), "n")), "bpe-words")
+    words = cut_lineage(dealt(distinct.select(chars.alias("chars"), "n")), "bpe-words")
     done: list[tuple[int, int, int, int]] = []
     pending: list[tuple[int, int, int]] = []
     while len(done) < n_merges:
@@ -113,7 +113,7 @@ def learn_merges(
             pending.append((left, right, new_id))
         if len(pending) >= rewrite_every and len(done) < n_merges:
             rewritten = words.withColumn("chars", apply_merges(F.col("chars"), pending))
-            words = cut_lineage(spread(rewritten), "bpe-words")
+            words = cut_lineage(dealt(rewritten), "bpe-words")
             pending = []
     return done
 

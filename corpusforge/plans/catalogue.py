@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusforge.functions import codec
 from corpusforge.operators import bpe, loader, mcq, metrics, ngram, pack, sft
 from corpusforge.operators.tokenize import BYTES, pretoken_dictionary, token_unigrams, tokenize
-from corpusforge.session import cut_lineage, shared_dir, spread
+from corpusforge.session import cut_lineage, dealt, shared_dir, spread
 from corpusforge.sources import fixtures
 from corpusforge.sources.corpus import read_documents
 from corpusforge.streaming import packer
@@ -72,24 +72,32 @@ def arc_rows(spark, sf):
     return fixtures.arc_shaped(texts)
 
 
-def items(spark, sf):
-    return mcq.from_sciq(sciq_rows(spark, sf)).unionByName(mcq.from_arc(arc_rows(spark, sf)))
+def written_sciq(spark, sf):
+    """The derived question rows as a table, for queries that both tune and score on them."""
+    return cut_lineage(dealt(sciq_rows(spark, sf)), "sciq")
 
 
-def train_examples(spark, sf):
-    return sft.sft_examples(sciq_rows(spark, sf).where("split = 'train'"))
+def items(spark, sf, sciq=None):
+    sciq = sciq_rows(spark, sf) if sciq is None else sciq
+    return mcq.from_sciq(sciq).unionByName(mcq.from_arc(arc_rows(spark, sf)))
+
+
+def train_examples(spark, sf, sciq=None):
+    sciq = sciq_rows(spark, sf) if sciq is None else sciq
+    return sft.sft_examples(sciq.where("split = 'train'"))
 
 
 def base_counts(spark, sf):
     return ngram.count_keys(ngram.targets(windows(spark, sf, "train")))
 
 
-def sft_counts(spark, sf):
-    return ngram.count_keys(ngram.targets(train_examples(spark, sf), first=F.col("answer_start")))
+def sft_counts(spark, sf, sciq=None):
+    examples = train_examples(spark, sf, sciq)
+    return ngram.count_keys(ngram.targets(examples, first=F.col("answer_start")))
 
 
-def mixed_counts(spark, sf):
-    return ngram.mix_counts(base_counts(spark, sf), sft_counts(spark, sf), SFT_WEIGHT)
+def mixed_counts(spark, sf, sciq=None):
+    return ngram.mix_counts(base_counts(spark, sf), sft_counts(spark, sf, sciq), SFT_WEIGHT)
 
 
 def base_model(spark, sf):
@@ -97,8 +105,8 @@ def base_model(spark, sf):
     return ngram.fit(counts, ("base",), BYTES.vocab_size)
 
 
-def all_models(spark, sf):
-    return ngram.fit(mixed_counts(spark, sf), MODELS, BYTES.vocab_size)
+def all_models(spark, sf, sciq=None):
+    return ngram.fit(mixed_counts(spark, sf, sciq), MODELS, BYTES.vocab_size)
 
 
 # --- corpus ------------------------------------------------------------------------------
@@ -253,7 +261,7 @@ def val_loss_steps(spark, sf):
 
 
 def masked_loss(spark, sf):
-    examples = train_examples(spark, sf)
+    examples = cut_lineage(dealt(train_examples(spark, sf)), "examples")
     batches = sft.assign_batches(examples.select("item_id"), SFT_EPOCHS, seed=SEED)
     rows = metrics.masked_loss(examples, batches, base_model(spark, sf), "base")
     return _rounded(rows, "loss")
@@ -274,8 +282,8 @@ def step_loss(spark, sf):
 
 
 def scores(spark, sf):
-    written = cut_lineage(items(spark, sf), "items")
-    return mcq.choice_scores(written, all_models(spark, sf))
+    sciq = written_sciq(spark, sf)
+    return mcq.choice_scores(items(spark, sf, sciq), all_models(spark, sf, sciq))
 
 
 def choice_scores(spark, sf):
@@ -294,8 +302,9 @@ def mcq_accuracy(spark, sf):
 
 def validation_accuracy(spark, sf):
     """The check after an epoch: the first 500 validation rows in source order."""
-    validation = mcq.from_sciq(sciq_rows(spark, sf).where("split = 'validation'"))
-    scored = mcq.choice_scores(mcq.first_items(validation), all_models(spark, sf))
+    sciq = written_sciq(spark, sf)
+    validation = mcq.from_sciq(sciq.where("split = 'validation'"))
+    scored = mcq.choice_scores(mcq.first_items(validation), all_models(spark, sf, sciq))
     return _rounded(mcq.accuracy(mcq.predictions(scored)), "accuracy")
 
 

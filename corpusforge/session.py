@@ -51,10 +51,16 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of an input with fewer splits than twice the cores, dealt out evenly; else unchanged.
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a file scan with fewer splits than twice the cores, dealt out evenly; else unchanged.
 
-    For work that is heavy per row. A large input has splits enough and is left where it is.
+    For work that is heavy per row. A large input has splits enough and is left where it is. Only
+    for scans: the number of splits of a plan with shuffles is not known before it has run.
     """
-    wanted = 2 * df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    wanted = 2 * scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt over twice the cores, for a derived table that is written once and read often."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
