@@ -34,11 +34,9 @@ HEADLINE = [
     "sft_batches",
     "masked_loss",
     "choice_scores",
-    "results_table",
     "next_token_topk",
     "run_throughput",
     "bpe_merges",
-    "doc_token_counts_bpe",
     "stream_manifest",
 ]
 

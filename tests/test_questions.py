@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions import codec
 from corpusforge.operators import mcq, ngram, sft
+from corpusforge.operators.scoring import score_units
 from corpusforge.sources import corpus, fixtures, results
 
 
@@ -230,3 +231,17 @@ def test_one_huge_conversation_loses_nothing(spark):
     assert [r["correct_answer"] for r in rows] == answers[:-3]
     assert all(r["support"] == "Sys." for r in rows)
     assert [r["distractor3"] for r in rows] == answers[3:]
+
+
+def test_broadcast_and_shuffle_joins_score_alike(spark):
+    rows = [(u, bytearray(b"".join(i.to_bytes(2, "big") for i in seq)), f) for u, (seq, f) in enumerate(CORPUS)]
+    rows += [(9, bytearray(b"\0a" * 500), 0)]
+    df = spark.createDataFrame(rows, "u long, tokens binary, first long")
+    model = make_model(spark, CORPUS)
+    small, large = (
+        sorted(map(tuple, score_units(df, ["u"], model, F.col("first"), broadcast_rows=limit).collect()))
+        for limit in (400_000, 0)
+    )
+    assert [r[:2] for r in small] == [r[:2] for r in large] and len(small) == 4
+    for a, b in zip(small, large):
+        assert a[2] == b[2] or a[2] == pytest.approx(b[2])
