@@ -9,7 +9,7 @@ BLANK = r"[\x20\x09-\x0D]+"
 OP2 = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '{BLANK}'), w -> w <> '') AS words
+         list_filter(regexp_split_to_array(coalesce(text, ''), '{BLANK}'), lambda w: w <> '') AS words
   FROM documents),
 w AS (
   SELECT doc_id, i, words[i] || chr(31) || words[i + 1] || chr(31) || words[i + 2] AS three
@@ -19,12 +19,12 @@ rep AS (
   FROM (SELECT doc_id, i FROM w QUALIFY count(*) OVER (PARTITION BY doc_id, three) > 1), range(3) AS r(k)
   GROUP BY doc_id),
 ln AS (
-  SELECT doc_id, host, text, line, len(list_filter(regexp_split_to_array(line, '{BLANK}'), w -> w <> '')) AS n,
-         trim(lower(regexp_replace(regexp_replace(line, '[0-9]', '0', 'g'), '{BLANK}', ' ', 'g')), ' ') AS plain
+  SELECT doc_id, host, text, line, len(list_filter(regexp_split_to_array(line, '{BLANK}'), lambda w: w <> '')) AS n,
+         trim(lower(regexp_replace(line, '{BLANK}', ' ', 'g')), ' ') AS plain
   FROM (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM ln GROUP BY doc_id),
-hosts AS (SELECT host, count(DISTINCT text) AS n FROM ln GROUP BY host),
+hosts AS (SELECT host, count(DISTINCT text) AS n FROM d GROUP BY host),
 often AS (
   SELECT host, plain FROM ln JOIN hosts USING (host) GROUP BY host, plain, hosts.n
   HAVING count(DISTINCT text) >= {q.LEAST_DOCS} AND count(DISTINCT text) * 100 > hosts.n * {q.HOST_PERCENT}),

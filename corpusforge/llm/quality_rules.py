@@ -25,20 +25,25 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, BLANK), lambda w: w != "")
 
 
-def repeat_words(words: Column, windows: Column) -> Column:
-    """Words in windows of three that occur twice or more; ``windows``: a hash for each window.
+def with_repeat_words(rows: DataFrame) -> DataFrame:
+    """Adds the number of words in windows of three that occur twice or more in the text.
 
-    Windows are sorted with their positions, equal neighbours are repeats, and each repeat covers
-    three words or as many as lie before the next one.
+    Only texts with an equal pair of ``windows`` are looked at further: windows are sorted with their
+    positions, equal neighbours are repeats, and each repeat covers three words or as many as lie
+    before the next one. Each array is a column of its own, so that none is built again per element.
     """
-    ordered = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    has_repeat = F.size(F.array_distinct("windows")) < F.size("windows")
+    ordered = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    rows = rows.withColumn("ordered", F.when(has_repeat, ordered))
 
     def repeated(e, k):
-        return (e.h == F.get(ordered, k - 1).h) | (e.h == F.get(ordered, k + 1).h)
+        return (e.h == F.get(F.col("ordered"), k - 1).h) | (e.h == F.get(F.col("ordered"), k + 1).h)
 
-    at = F.sort_array(F.transform(F.filter(ordered, repeated), lambda e: e.i))
-    sizes = F.transform(at, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1), p + 3) - p))
-    return F.aggregate(sizes, F.lit(0).cast("long"), lambda total, n: total + n)
+    at = F.sort_array(F.transform(F.filter("ordered", repeated), lambda e: e.i))
+    rows = rows.withColumn("at", at)
+    sizes = F.transform("at", lambda p, k: F.least(F.lit(3), F.coalesce(F.get(F.col("at"), k + 1), p + 3) - p))
+    total = F.aggregate(sizes, F.lit(0).cast("long"), lambda total, n: total + n)
+    return rows.withColumn("n_repeat_words", F.coalesce(total, F.lit(0).cast("long"))).drop("ordered", "at")
 
 
 def base_features(docs: DataFrame) -> DataFrame:
@@ -58,23 +63,19 @@ def base_features(docs: DataFrame) -> DataFrame:
         F.coalesce("source", F.lit("")).alias("host"),
         F.xxhash64(text).alias("text_hash"),
         n.cast("long").alias("n_words"),
-        F.length(F.regexp_replace(text, BLANK, "")).cast("long").alias("word_chars"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.coalesce(F.regexp_count(text, F.lit(SYMBOLS)), F.lit(0)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "words",
         windows.alias("windows"),
     )
-    has_repeat = F.size(F.array_distinct("windows")) < F.size("windows")
-    return counted.withColumn(
-        "n_repeat_words",
-        F.when(has_repeat, repeat_words(F.col("words"), F.col("windows"))).otherwise(F.lit(0).cast("long")),
-    ).drop("words", "windows")
+    return with_repeat_words(counted).drop("words", "windows")
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, host, text_hash, line_no, line_hash, words) of every line with a word.
 
-    Lines are normalised to lower case, single blanks and 0 for every digit before they are hashed.
+    Lines are normalised to lower case and single blanks before they are hashed.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
@@ -82,30 +83,33 @@ def document_lines(docs: DataFrame) -> DataFrame:
         F.coalesce("source", F.lit("")).alias("host"),
         F.xxhash64(text).alias("text_hash"),
         F.posexplode(F.split(text, "\n")).alias("line_no", "line"),
-    ).where(F.col("line").rlike(SOLID))
-    plain = F.lower(F.regexp_replace(F.regexp_replace(F.col("line"), "[0-9]", "0"), BLANK, " "))
-    return rows.select(
+    ).withColumn("line", words_of(F.col("line")))
+    return rows.where(F.size("line") > 0).select(
         "doc_id", "host", "text_hash", "line_no",
-        F.xxhash64(F.trim(plain)).alias("line_hash"),
-        F.size(words_of(F.col("line"))).cast("long").alias("words"),
+        F.xxhash64(F.lower(F.array_join("line", " "))).alias("line_hash"),
+        F.size("line").cast("long").alias("words"),
     )
 
 
-def frequent_lines(lines: DataFrame) -> DataFrame:
+def frequent_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(host, line_hash) of the lines above the limits; identical texts count as one document."""
     once = lines.select("host", "line_hash", "text_hash").distinct()
     counts = once.groupBy("host", "line_hash").agg(F.count("*").alias("n_docs"))
-    hosts = lines.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
+    texts = docs.select(
+        F.coalesce("source", F.lit("")).alias("host"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+    )
+    hosts = texts.distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
     often = counts.where(F.col("n_docs") >= LEAST_DOCS).join(hosts, "host")
     return often.where(F.col("n_docs") * 100 > F.col("host_docs") * HOST_PERCENT).select("host", "line_hash")
 
 
-def removed_words(lines: DataFrame) -> DataFrame:
+def removed_words(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, removed_words): words in lines above the limits.
 
     A line may stand in a third of all documents, so both sides of the join are salted.
     """
-    often = frequent_lines(lines).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    lines = document_lines(docs)
+    often = frequent_lines(docs, lines).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = lines.withColumn("salt", F.pmod(F.xxhash64("doc_id", "line_no"), F.lit(SALTS)).cast("int"))
     hit = dealt.join(often, ["host", "line_hash", "salt"], "left_semi")
     once = hit.select("doc_id", "text_hash", "line_no", "words").distinct()
@@ -123,7 +127,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     """
     docs = columns_of(docs, "doc_id", "text", "source")
     base = base_features(docs)
-    removed = removed_words(document_lines(docs)).withColumnRenamed("doc_id", "d").withColumnRenamed("text_hash", "t")
+    removed = removed_words(docs).withColumnRenamed("doc_id", "d").withColumnRenamed("text_hash", "t")
     both = base.join(removed, base.doc_id.eqNullSafe(F.col("d")) & (base.text_hash == F.col("t")), "left")
     gone = F.coalesce("removed_words", F.lit(0).cast("long"))
     failed = (F.col("n_words") < MIN_WORDS) | (
