@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 """Text bytes of a document group: small enough for some dozen numpy arrays of that length."""
 
 BASE = 0x9E3779B97F4A7C15 | 3

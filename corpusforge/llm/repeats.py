@@ -1,7 +1,7 @@
-"""Windows of one document that also start in a document with a smaller id.
+"""Parts of one document that also stand in a document with a smaller id.
 
-Both dedup operators on exact repeats stand on these steps; they differ in their symbols (bytes or
-words) and in how contexts are compared.
+The dedup operators on repeated bytes, words and lines stand on these steps; they differ in their
+symbols, in how anchors are chosen and in how contexts are compared. In terms of windows:
 
 1. Documents are dealt into groups of a few MB. A group winnows its documents: every window of
    ``window`` symbols holds at least one anchor, a ``k``-gram chosen by the window's content alone.
@@ -61,14 +61,21 @@ class Units:
 @dataclass(frozen=True)
 class Setup:
     read: Callable[[pa.Table], Units]
-    window: int
-    k: int
+    anchors: Callable[[Units], tuple]  # (anchor hash, context hash, document, start, end) of each anchor
+    earlier: Callable  # finds the parts of contexts that stand in a smaller document
     dtype: str  # of ``values``
     buckets: int
+    window: int = 0  # length of the windows that contexts of hot anchors are cut into; 0: never
 
-    @property
-    def reach(self) -> int:
-        return self.window - self.k
+
+def window_anchors(units: Units, window: int, k: int) -> tuple:
+    """Winnowed anchors with everything that a window around them can reach."""
+    at = winnowed(units.hashes, units.bounds, window, k)
+    own = np.searchsorted(units.bounds, at, "right") - 1
+    start = np.maximum(units.bounds[own], at - (window - k))
+    end = np.minimum(units.bounds[own + 1], at + window)
+    context = mixed(units.hashes.of(start, end) + (at - start).astype(np.uint64))
+    return units.hashes.of(at, at + k), context, own, start, end
 
 
 @dataclass(frozen=True)
@@ -91,13 +98,8 @@ def anchors_of(table: pa.Table, setup: Setup) -> tuple[Anchors, list[tuple[np.nd
     for piece in slices(table):
         units = setup.read(piece)
         docs = piece.column("doc_id").to_numpy()
-        at = winnowed(units.hashes, units.bounds, setup.window, setup.k)
-        own = np.searchsorted(units.bounds, at, "right") - 1
-        start = np.maximum(units.bounds[own], at - setup.reach)
-        end = np.minimum(units.bounds[own + 1], at + setup.window)
-        anchor = units.hashes.of(at, at + setup.k)
-        context = mixed(units.hashes.of(start, end) + (at - start).astype(np.uint64))
-        parts.append((anchor, context, docs[own], np.full(len(at), len(pieces)), start, end))
+        anchor, context, own, start, end = setup.anchors(units)
+        parts.append((anchor, context, docs[own], np.full(len(own), len(pieces)), start, end))
         pieces.append((docs, units))
     anchor, context, doc, piece, start, end = (np.concatenate(x) for x in zip(*parts))
     bucket = (anchor % np.uint64(setup.buckets)).astype(np.int64)
@@ -127,7 +129,7 @@ def questions(table: pa.Table, setup: Setup) -> pa.Table:
     )
 
 
-def answers(table: pa.Table) -> pa.Table:
+def answers(table: pa.Table, hot: int) -> pa.Table:
     """What each group has to know about each of its questions, one byte per question."""
     groups = table.column("g").to_pylist()
     blobs = [table.column(name).to_pylist() for name in ("anchors", "contexts", "docs")]
@@ -147,7 +149,7 @@ def answers(table: pa.Table) -> pa.Table:
     edge = np.flatnonzero(outer)
     count = np.diff(np.append(edge, len(head)))
     lowest, highest = np.minimum.reduceat(doc[head], edge), np.maximum.reduceat(doc[head], edge)
-    further = np.where(lowest == highest, NOTHING, np.where(count > HOT_CONTEXTS, COMPARE_HOT, COMPARE))
+    further = np.where(lowest == highest, NOTHING, np.where(count > hot, COMPARE_HOT, COMPARE))
     codes[head] = further[runs_of(outer)].astype(np.uint8)
     placed = np.empty_like(codes)
     placed[order] = codes
@@ -222,8 +224,8 @@ def contexts(table: pa.Table, replies: pa.Table, setup: Setup) -> pa.Table:
 SPANS = "g int, docs binary, starts binary, ends binary"
 
 
-def matched(table: pa.Table, setup: Setup, earlier: Callable) -> pa.Table:
-    """Spans of the contexts of a route whose windows start in a smaller document."""
+def matched(table: pa.Table, setup: Setup) -> pa.Table:
+    """Spans of the contexts of a route that stand in a smaller document."""
     parts = []
     for i, (g, docs, starts, sizes) in enumerate(
         zip(*(table.column(name).to_pylist() for name in ("g", "docs", "starts", "sizes")))
@@ -233,15 +235,16 @@ def matched(table: pa.Table, setup: Setup, earlier: Callable) -> pa.Table:
     group, doc, start, size = (np.concatenate(x) for x in zip(*parts))
     values = np.frombuffer(b"".join(table.column("content").to_pylist()), setup.dtype)
     edge = np.concatenate(([0], np.cumsum(size)))
-    row, offset = earlier(values, edge, doc, setup.window)
+    row, offset, length = setup.earlier(values, edge, doc)
     g, d, s = group[row], doc[row], start[row] + offset
-    order = np.lexsort((s, d, g))
-    g, d, s = g[order], d[order], s[order]
-    fresh = heads(g, d) if len(g) else np.zeros(0, bool)
-    fresh[1:] |= s[1:] > s[:-1] + 1
+    e = s + length
+    order = np.lexsort((e, s, d, g))
+    g, d, s, e = g[order], d[order], s[order], e[order]
+    fresh = heads(g, d)
+    fresh[1:] |= s[1:] > e[:-1]
     first = np.flatnonzero(fresh)
     last = np.append(first[1:], len(s)) - 1 if len(s) else first
-    g, d, e, s = g[first], d[first], s[last] + setup.window, s[first]
+    g, d, e, s = g[first], d[first], e[last], s[first]
     edges = np.append(np.flatnonzero(heads(g)), len(g)) if len(g) else [0]
     spans = list(zip(edges[:-1], edges[1:]))
     return pa.table(
@@ -282,7 +285,7 @@ def removed(table: pa.Table, replies: pa.Table, setup: Setup):
         yield piece, units, np.cumsum(change[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, make_setup: Callable[[int], Setup], earlier: Callable, cut: Callable, schema: str) -> DataFrame:
+def remove_repeats(docs: DataFrame, make_setup: Callable[[int], Setup], cut: Callable, schema: str) -> DataFrame:
     """Apply ``cut(rows, units, mask)`` to every document; see the module's text for the steps."""
     last = F.lit((1 << 63) - 1)
     docs = columns_of(docs, "doc_id", "text")
@@ -293,13 +296,16 @@ def remove_repeats(docs: DataFrame, make_setup: Callable[[int], Setup], earlier:
     asked = rows.groupBy("g").applyInArrow(
         lambda table: questions(table, setup), "g int, bucket int, anchors binary, contexts binary, docs binary"
     )
-    replies = asked.groupBy("bucket").applyInArrow(answers, "g int, bucket int, codes binary")
+    hot = HOT_CONTEXTS if setup.window else 1 << 62
+    replies = asked.groupBy("bucket").applyInArrow(
+        lambda table: answers(table, hot), "g int, bucket int, codes binary"
+    )
     compared = (
         rows.groupBy("g")
         .cogroup(replies.groupBy("g"))
         .applyInArrow(lambda table, codes: contexts(table, codes, setup), CONTEXTS)
         .groupBy("route")
-        .applyInArrow(lambda table: matched(table, setup, earlier), SPANS)
+        .applyInArrow(lambda table: matched(table, setup), SPANS)
     )
     none = F.lit(None).cast("binary")
     told = replies.select("g", "bucket", "codes", none.alias("docs"), none.alias("starts"), none.alias("ends")).unionByName(

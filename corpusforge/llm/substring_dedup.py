@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,7 +23,7 @@ def read_words(rows: pa.Table) -> repeats.Units:
 
 
 def extended(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, window: int):
-    """(context, offset) of the windows around a seed that a smaller document holds as well.
+    """(context, offset, length) of the windows around a seed that a smaller document holds as well.
 
     A seed extended by i words to the left and the rest to the right reaches the length threshold
     exactly if the window at that offset is shared. Equal windows stand together after sorting, the
@@ -43,7 +45,7 @@ def extended(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, window: int
     for step in range(window):  # word by word, beyond the hash of the whole window
         same &= values[mine + step] == values[other + step]
     found = order[later][same]
-    return row[found], offset[found]
+    return row[found], offset[found], window
 
 
 SCHEMA = "doc_id long, n_words long, n_removed long, kept string"
@@ -86,6 +88,13 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     """
 
     def setup(groups: int) -> repeats.Setup:
-        return repeats.Setup(read_words, window, anchor, "<u8", max(1, groups // 2))
-
-    return repeats.remove_repeats(docs, setup, extended, cut, SCHEMA)
+        return repeats.Setup(
+            read_words,
+            partial(repeats.window_anchors, window=window, k=anchor),
+            partial(extended, window=window),
+            "<u8",
+            max(1, groups // 2),
+            window,
+        )
+
+    return repeats.remove_repeats(docs, setup, cut, SCHEMA)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,13 +51,13 @@ def previous_factor(docs: np.ndarray, lcp: np.ndarray, least: int) -> np.ndarray
 
 
 def earlier_windows(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, window: int):
-    """(context, offset) of the windows whose bytes also start in a smaller document."""
+    """(context, offset, length) of the windows whose bytes also start in a smaller document."""
     many = np.diff(edge) - window + 1
     row = np.repeat(np.arange(len(many)), many)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
     order, lcp = suffix_order(values, edge[row] + offset, docs[row], window)
     at = order[previous_factor(docs[row][order], lcp, window) >= window]
-    return row[at], offset[at]
+    return row[at], offset[at], window
 
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
@@ -96,6 +98,13 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) ->
     """
 
     def setup(groups: int) -> repeats.Setup:
-        return repeats.Setup(read_bytes, window, anchor, "<u1", max(1, groups // 2))
-
-    return repeats.remove_repeats(docs, setup, earlier_windows, cut, SCHEMA)
+        return repeats.Setup(
+            read_bytes,
+            partial(repeats.window_anchors, window=window, k=anchor),
+            partial(earlier_windows, window=window),
+            "<u1",
+            max(1, groups // 2),
+            window,
+        )
+
+    return repeats.remove_repeats(docs, setup, cut, SCHEMA)

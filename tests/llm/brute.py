@@ -45,3 +45,55 @@ def words_removed(rows, window=13):
         kept = " ".join(w for w, m in zip(words, mask) if not m)
         out.append((doc, len(words), sum(mask), hashlib.sha256(kept.encode()).hexdigest()))
     return sorted(out)
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def lines_removed(rows, edits=2, least=24):
+    rows = sorted((d, (t or "").split("\n") if t else []) for d, t in rows)
+    first = {}
+    for doc, lines in rows:
+        for line in lines:
+            if len(line) >= least:
+                first.setdefault(line, doc)
+    by_length = {}
+    for line in first:
+        by_length.setdefault(len(line), []).append(line)
+
+    def gone(line, doc):
+        if first[line] < doc:
+            return True
+        for n in range(len(line) - edits, len(line) + edits + 1):
+            for other in by_length.get(n, ()):
+                if first[other] < doc and sum(a != b for a, b in zip(sorted(line), sorted(other))) < len(line):
+                    if near(line, other, edits):
+                        return True
+        return False
+
+    out = []
+    for doc, lines in rows:
+        seen, stay = set(), []
+        for line in lines:
+            if len(line) < least:
+                stay.append(line)
+            elif line not in seen and not gone(line, doc):
+                stay.append(line)
+            seen.add(line)
+        out.append((doc, len(lines), len(lines) - len(stay), "\n".join(stay)))
+    return out
+
+
+def near(a, b, edits):
+    """Edit distance at most ``edits``, after equal ends are cut off."""
+    while a and b and a[0] == b[0]:
+        a, b = a[1:], b[1:]
+    while a and b and a[-1] == b[-1]:
+        a, b = a[:-1], b[:-1]
+    return max(len(a), len(b)) <= 60 and edit_distance(a, b) <= edits if a and b else max(len(a), len(b)) <= edits
