@@ -167,26 +167,24 @@ def earlier_lines(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, edits:
 SCHEMA = "doc_id long, n_lines long, n_removed long, kept string"
 
 
-def cut(rows, units, mask, least: int) -> pa.Table:
-    ids, n_lines, n_removed, kept = pa.array([], pa.int64()), [], [], []
-    if rows is not None:
-        ids = rows.column("doc_id").combine_chunks()
-        for text, base in zip(rows.column("text").to_pylist(), units.bounds):
-            text, stay, at, seen = text or "", [], int(base), set()
-            lines = text.split("\n")
-            for line in lines:
-                if len(line) < least:
-                    stay.append(line)
-                elif not mask[at] and line not in seen:
-                    seen.add(line)
-                    stay.append(line)
-                at += len(line) + 1
-            n_lines.append(len(lines) if text else 0)
-            n_removed.append(len(lines) - len(stay))
-            kept.append("\n".join(stay))
+def cut(rows: pa.Table, units: repeats.Units, mask: np.ndarray, least: int) -> pa.Table:
+    n_lines, n_removed, kept = [], [], []
+    for text, base in zip(rows.column("text").to_pylist(), units.bounds):
+        text, stay, at, seen = text or "", [], int(base), set()
+        lines = text.split("\n") if text else []
+        for line in lines:
+            if len(line) < least:
+                stay.append(line)
+            elif not mask[at] and line not in seen:
+                seen.add(line)
+                stay.append(line)
+            at += len(line) + 1
+        n_lines.append(len(lines))
+        n_removed.append(len(lines) - len(stay))
+        kept.append("\n".join(stay))
     return pa.table(
         {
-            "doc_id": ids,
+            "doc_id": rows.column("doc_id"),
             "n_lines": pa.array(n_lines, pa.int64()),
             "n_removed": pa.array(n_removed, pa.int64()),
             "kept": pa.array(kept, pa.string()),
@@ -194,11 +192,13 @@ def cut(rows, units, mask, least: int) -> pa.Table:
     )
 
 
-def line_dedup(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS) -> DataFrame:
+def line_dedup(
+    docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Remove every line that a document with a smaller id holds within ``edits`` edits.
 
-    Takes (doc_id, text) and ignores other columns; returns (doc_id, n_lines, n_removed, kept). Lines
-    end at \\n; edits are insertions, deletions and substitutions of characters. Exact repeats of a
+    Takes (doc_id, text) and ignores other columns; returns (doc_id, n_lines, n_removed, kept) and the
+    columns named in ``carry``. Lines end at \\n; edits are insertions, deletions and substitutions of characters. Exact repeats of a
     line inside one document go too, the first stays. Lines under ``least`` characters always stay.
     Lines are judged on the input, so a chain of near copies keeps its first line only. Null texts
     count as empty and stay empty; rows that share a doc_id are one document against others; an empty
@@ -214,4 +214,4 @@ def line_dedup(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS)
             max(1, groups // 2),
         )
 
-    return repeats.remove_repeats(docs, setup, partial(cut, least=least), SCHEMA)
+    return repeats.remove_repeats(docs, setup, partial(cut, least=least), SCHEMA, carry)

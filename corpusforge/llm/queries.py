@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusforge.llm.bpe_codec import encode_decode
+from corpusforge.llm.class_model import class_model_scores
+from corpusforge.llm.decontaminate import decontaminate
+from corpusforge.llm.line_dedup import line_dedup
 from corpusforge.llm.quality_rules import quality_rules
+from corpusforge.llm.simhash_dedup import hex_fingerprint, simhash_dedup
 from corpusforge.llm.substring_dedup import substring_dedup
 from corpusforge.llm.suffix_dedup import suffix_dedup
 from corpusforge.llm.token_counts import count_tokens
+from corpusforge.llm.toxicity import toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 TOKEN_BUDGET = 2048
@@ -36,6 +41,20 @@ def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules(documents(spark, sf))
 
 
+def op3_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    rows = simhash_dedup(documents(spark, sf))
+    return rows.select("doc_id", hex_fingerprint("f").alias("fingerprint"), "component_id")
+
+
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    rows = toxicity(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+    return rows.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
+
+
+def op5_class_model(spark: SparkSession, sf: str) -> DataFrame:
+    return class_model_scores(documents(spark, sf))
+
+
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_tokens(documents(spark, sf), public_tokenizers.path(VOCABULARY), TOKEN_BUDGET)
 
@@ -50,10 +69,25 @@ def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", sha256("kept").alias("kept_sha256"))
 
 
+def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    rows = line_dedup(documents(spark, sf))
+    return rows.select("doc_id", "n_lines", "n_removed", sha256("kept").alias("kept_sha256"))
+
+
+def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """One row for each benchmark item that a document leaks; clean documents have none."""
+    return decontaminate(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_quality_rules": op2_quality_rules,
+    "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op5_class_model": op5_class_model,
     "op6_token_counts": op6_token_counts,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }

@@ -30,7 +30,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusforge.llm.batches import (
     Hashes,
-    columns_of,
     group_count,
     group_of,
     heads,
@@ -285,15 +284,23 @@ def removed(table: pa.Table, replies: pa.Table, setup: Setup):
         yield piece, units, np.cumsum(change[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, make_setup: Callable[[int], Setup], cut: Callable, schema: str) -> DataFrame:
-    """Apply ``cut(rows, units, mask)`` to every document; see the module's text for the steps."""
+def remove_repeats(
+    docs: DataFrame, make_setup: Callable[[int], Setup], cut: Callable, schema: str, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Apply ``cut(rows, units, mask)`` to every document; see the module's text for the steps.
+
+    Columns named in ``carry`` go through unchanged.
+    """
     last = F.lit((1 << 63) - 1)
-    docs = columns_of(docs, "doc_id", "text")
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), last).alias("doc_id"), "text")
+    carried = F.struct(*[docs[f"`{name}`"] for name in carry]) if carry else F.struct(F.lit(0))
+    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), carried.alias("carried"))
+    kind = docs.schema["carried"].dataType.simpleString()
+    docs = docs.withColumn("doc_id", F.coalesce("doc_id", last))
     groups = group_count(docs)
     setup = make_setup(groups)
     rows = docs.withColumn("g", group_of("doc_id", groups))
-    asked = rows.groupBy("g").applyInArrow(
+    bare = rows.drop("carried")
+    asked = bare.groupBy("g").applyInArrow(
         lambda table: questions(table, setup), "g int, bucket int, anchors binary, contexts binary, docs binary"
     )
     hot = HOT_CONTEXTS if setup.window else 1 << 62
@@ -301,7 +308,7 @@ def remove_repeats(docs: DataFrame, make_setup: Callable[[int], Setup], cut: Cal
         lambda table: answers(table, hot), "g int, bucket int, codes binary"
     )
     compared = (
-        rows.groupBy("g")
+        bare.groupBy("g")
         .cogroup(replies.groupBy("g"))
         .applyInArrow(lambda table, codes: contexts(table, codes, setup), CONTEXTS)
         .groupBy("route")
@@ -314,8 +321,11 @@ def remove_repeats(docs: DataFrame, make_setup: Callable[[int], Setup], cut: Cal
 
     def finish(table: pa.Table, told_rows: pa.Table) -> pa.Table:
         if not len(table):
-            return cut(None, None, None)
-        return pa.concat_tables([cut(*x) for x in removed(table, told_rows, setup)])
-
-    done = rows.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(finish, schema)
-    return done.withColumn("doc_id", F.nullif(F.col("doc_id"), last))
+            return cut(table, setup.read(table), np.zeros(0, bool)).append_column("carried", table.column("carried"))
+        done = [cut(*x).append_column("carried", x[0].column("carried")) for x in removed(table, told_rows, setup)]
+        return pa.concat_tables(done)
+
+    done = rows.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(finish, f"{schema}, carried {kind}")
+    kept = [F.col("carried").getField(name).alias(name) for name in carry]
+    own = [name for name in done.columns if name not in ("carried", "doc_id")]
+    return done.select(F.nullif(F.col("doc_id"), last).alias("doc_id"), *own, *kept)

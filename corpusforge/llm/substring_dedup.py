@@ -51,29 +51,29 @@ def extended(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, window: int
 SCHEMA = "doc_id long, n_words long, n_removed long, kept string"
 
 
-def cut(rows, units, mask) -> pa.Table:
-    ids, kept, counts = pa.array([], pa.int64()), pa.array([], pa.string()), [[], []]
-    if rows is not None:
-        ids = rows.column("doc_id").combine_chunks()
-        data, offsets = utf8(rows.column("text"))
-        starts, ends, own = word_spans(data, offsets)
-        stays = ~mask
-        start, size, doc = starts[stays], (ends - starts)[stays] + 1, own[stays]
-        size[np.append(doc[1:] != doc[:-1], True)[: len(doc)]] -= 1  # no blank after the last word
-        out = np.cumsum(size) - size
-        index = np.repeat(start - out, size) + np.arange(size.sum())
-        text = np.concatenate((data, [np.uint8(32)]))[index]
-        blank = (out + size - 1)[size == (ends - starts)[stays] + 1]
-        text[blank] = 32
-        per_doc = np.bincount(doc, size, len(rows)).astype(np.int64)
-        where = np.concatenate(([0], np.cumsum(per_doc)))
-        kept = pa.Array.from_buffers(
-            pa.large_string(), len(rows), [None, pa.py_buffer(where.astype(np.int64)), pa.py_buffer(text.tobytes())]
-        ).cast(pa.string())
-        n_words = np.diff(units.bounds)
-        counts = [n_words, n_words - np.bincount(doc, minlength=len(rows))]
+def cut(rows: pa.Table, units: repeats.Units, mask: np.ndarray) -> pa.Table:
+    data, offsets = utf8(rows.column("text"))
+    starts, ends, own = word_spans(data, offsets)
+    stays = ~mask
+    start, size, doc = starts[stays], (ends - starts)[stays] + 1, own[stays]
+    last = np.ones(len(doc), bool)
+    last[:-1] = doc[1:] != doc[:-1]
+    size -= last  # no blank after the last word
+    out = np.cumsum(size) - size
+    text = np.append(data, np.uint8(32))[np.repeat(start - out, size) + np.arange(size.sum())]
+    text[(out + size - 1)[~last]] = 32
+    where = np.concatenate(([0], np.cumsum(np.bincount(doc, size, len(rows)).astype(np.int64))))
+    kept = pa.Array.from_buffers(
+        pa.large_string(), len(rows), [None, pa.py_buffer(where.astype(np.int64)), pa.py_buffer(text.tobytes())]
+    )
+    n_words = np.diff(units.bounds)
     return pa.table(
-        {"doc_id": ids, **{n: pa.array(x, pa.int64()) for n, x in zip(("n_words", "n_removed"), counts)}, "kept": kept}
+        {
+            "doc_id": rows.column("doc_id"),
+            "n_words": pa.array(n_words, pa.int64()),
+            "n_removed": pa.array(n_words - np.bincount(doc, minlength=len(rows)), pa.int64()),
+            "kept": kept.cast(pa.string()),
+        }
     )
 
 

@@ -63,24 +63,20 @@ def earlier_windows(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, wind
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
-def cut(rows, units, mask) -> pa.Table:
-    kept, counts = [], [[], [], []]
-    ids = pa.array([], pa.int64()) if rows is None else rows.column("doc_id").combine_chunks()
-    if rows is not None:
-        data, bounds = units.values, units.bounds
-        left, stay = data[~mask].tobytes(), np.concatenate(([0], np.cumsum(~mask)))[bounds]
-        kept = [left[a:b] for a, b in zip(stay[:-1], stay[1:])]
-        opens = mask.copy()
-        opens[1:] &= ~mask[:-1]
-        border = bounds[:-1][bounds[:-1] < len(mask)]
-        opens[border] = mask[border]
-        spans = np.concatenate(([0], np.cumsum(opens)))[bounds]
-        counts = [np.diff(bounds), np.diff(bounds) - np.diff(stay), np.diff(spans)]
+def cut(rows: pa.Table, units: repeats.Units, mask: np.ndarray) -> pa.Table:
+    data, bounds = units.values, units.bounds
+    left, stay = data[~mask].tobytes(), np.concatenate(([0], np.cumsum(~mask)))[bounds]
+    opens = mask.copy()
+    opens[1:] &= ~mask[:-1]
+    border = bounds[:-1][bounds[:-1] < len(mask)]
+    opens[border] = mask[border]
+    spans = np.concatenate(([0], np.cumsum(opens)))[bounds]
+    counts = (np.diff(bounds), np.diff(bounds) - np.diff(stay), np.diff(spans))
     return pa.table(
         {
-            "doc_id": ids,
+            "doc_id": rows.column("doc_id"),
             **{n: pa.array(x, pa.int64()) for n, x in zip(("n_bytes", "n_removed", "n_spans"), counts)},
-            "kept": pa.array(kept, pa.binary()),
+            "kept": pa.array([left[a:b] for a, b in zip(stay[:-1], stay[1:])], pa.binary()),
         }
     )
 
