@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from corpusforge.llm.batches import (
     Hashes,
@@ -294,7 +295,7 @@ def remove_repeats(
     last = F.lit((1 << 63) - 1)
     carried = F.struct(*[docs[f"`{name}`"] for name in carry]) if carry else F.struct(F.lit(0))
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), carried.alias("carried"))
-    kind = docs.schema["carried"].dataType.simpleString()
+    output = StructType.fromDDL(schema).add("carried", docs.schema["carried"].dataType)
     docs = docs.withColumn("doc_id", F.coalesce("doc_id", last))
     groups = group_count(docs)
     setup = make_setup(groups)
@@ -325,7 +326,7 @@ def remove_repeats(
         done = [cut(*x).append_column("carried", x[0].column("carried")) for x in removed(table, told_rows, setup)]
         return pa.concat_tables(done)
 
-    done = rows.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(finish, f"{schema}, carried {kind}")
+    done = rows.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(finish, output)
     kept = [F.col("carried").getField(name).alias(name) for name in carry]
     own = [name for name in done.columns if name not in ("carried", "doc_id")]
     return done.select(F.nullif(F.col("doc_id"), last).alias("doc_id"), *own, *kept)
