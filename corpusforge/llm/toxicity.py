@@ -19,9 +19,9 @@ from corpusforge.llm.batches import columns_of, slices
 from corpusforge.llm.bpe_tables import Memo
 
 FOLDS = 5
-SAMPLE_PER_CLASS = 5_000
+SAMPLE_PER_CLASS = 4_000
 """Labelled documents of each class that the model is fitted on, chosen by a hash of their ids."""
-FEATURES = 20_000
+FEATURES = 4_000
 STEPS = 150
 RATE = 1.0
 DECAY = 1e-4
@@ -62,24 +62,25 @@ def fit(table: pa.Table) -> pa.Table:
     order = np.argsort(table.column("doc_id").to_numpy(), kind="stable")
     labels = table.column("toxic").to_numpy()[order]
     texts = table.column("text").to_pylist()
-    bags = [[set(chain.from_iterable(map(features, words))) for _, _, words in sentences(texts[i])] for i in order]
     if len(set(labels.tolist())) < 2:
         return pa.table({"feature": pa.array([], pa.string()), "weight": pa.array([], pa.float64())})
+    # Two passes over the texts, so that only chosen features are ever held for all sentences.
     seen: list[dict[str, int]] = [{}, {}]
-    for label, bag in zip(labels, bags):
-        for name in set().union(*bag):
+    for label, i in zip(labels, order):
+        words = set().union(*(words for _, _, words in sentences(texts[i])))
+        for name in set(chain.from_iterable(map(features, words))):
             seen[label][name] = seen[label].get(name, 0) + 1
     names = chosen(seen, [int((labels == c).sum()) for c in (0, 1)])
     column = {name: i for i, name in enumerate(names)}
-    rows, cols, docs, n = [], [], [], 0
-    for d, bag in enumerate(bags):
-        for names_here in bag:
-            hits = [column[x] for x in names_here if x in column]
-            rows += [n] * len(hits)
-            cols += hits
+    hits, docs = [], []
+    for d, i in enumerate(order):
+        for _, _, words in sentences(texts[i]):
+            found = {column[x] for x in chain.from_iterable(map(features, words)) if x in column}
+            hits.append(np.fromiter(found, np.int32, len(found)))
             docs.append(d)
-            n += 1
-    rows, cols, docs = (np.array(x, np.int64) for x in (rows, cols, docs))
+    n, sizes = len(hits), [len(h) for h in hits]
+    rows, docs = np.repeat(np.arange(n), sizes), np.array(docs, np.int64)
+    cols = np.concatenate([np.zeros(0, np.int32), *hits])
     weight, bias = np.zeros(len(names)), -4.0
     speed, speed_b = np.full(len(names), 1e-8), 1e-8
     # Rates grow with a feature's documents, so that beginnings learn before single words do.
@@ -88,10 +89,10 @@ def fit(table: pa.Table) -> pa.Table:
     for _ in range(STEPS):
         z = bias + np.bincount(rows, weight[cols], n)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        clean = np.exp(np.bincount(docs, np.log1p(-np.minimum(p, 1 - 1e-12)), len(bags)))
+        clean = np.exp(np.bincount(docs, np.log1p(-np.minimum(p, 1 - 1e-12)), len(labels)))
         toxic = np.maximum(1 - clean, 1e-12)
-        pull = np.where(labels == 1, clean / toxic, -1.0)[docs] * p / len(bags)
-        step = np.bincount(cols, pull[rows], len(names)) - DECAY / len(bags) * weight
+        pull = np.where(labels == 1, clean / toxic, -1.0)[docs] * p / len(labels)
+        step = np.bincount(cols, pull[rows], len(names)) - DECAY / len(labels) * weight
         speed += step**2
         weight += rate * step / np.sqrt(speed)
         speed_b += pull.sum() ** 2
