@@ -13,7 +13,7 @@ from corpusforge.llm.batches import Hashes, heads, mixed, runs_of
 
 MAX_EDITS = 2
 MIN_CHARS = 24
-FILTER_BINS = 32
+FILTER_BINS = (7, 32)
 PAIR_BLOCK = 1 << 20
 NEWLINE = 10
 
@@ -46,13 +46,13 @@ def segment(length: np.ndarray, number: int, parts: int) -> tuple[np.ndarray, np
 
 
 def probes(hashes: Hashes, starts: np.ndarray, ends: np.ndarray, edits: int):
-    """(line, key): the line's own segments and the substrings that may equal another line's.
+    """(line, key, own): the line's own segments and the substrings that may equal another line's.
 
     A line within ``edits`` edits and not longer keeps one of its ``edits`` + 1 segments whole. For
     each such length and segment only starts are probed that leave few enough edits on both sides.
     """
     parts, length = edits + 1, ends - starts
-    rows, keys = [], []
+    rows, keys, own = [], [], []
     for shorter in range(edits + 1):
         other = length - shorter
         for number in range(parts):
@@ -70,12 +70,13 @@ def probes(hashes: Hashes, starts: np.ndarray, ends: np.ndarray, edits: int):
                 key = mixed(key + (other[fits] * parts + number).astype(np.uint64))
                 rows.append(fits)
                 keys.append(key)
-    return np.concatenate(rows), np.concatenate(keys)
+                own.append(np.full(len(fits), shorter == shift == 0))
+    return np.concatenate(rows), np.concatenate(keys), np.concatenate(own)
 
 
 def line_anchors(units: repeats.Units, edits: int, least: int) -> tuple:
     own, starts, ends = lines_of(units, least)
-    line, key = probes(units.hashes, starts, ends, edits)
+    line, key, _ = probes(units.hashes, starts, ends, edits)
     return key, units.hashes.of(starts, ends)[line], own[line], starts[line], ends[line]
 
 
@@ -118,32 +119,34 @@ def within(values: np.ndarray, a: np.ndarray, a_end: np.ndarray, b: np.ndarray,
     return good
 
 
-def letters(values: np.ndarray, edge: np.ndarray) -> np.ndarray:
+def letters(values: np.ndarray, edge: np.ndarray, bins: int) -> np.ndarray:
     """Counts of each text's characters in a few bins; one edit changes two counts by one at most."""
     row = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
-    flat = np.bincount(row * FILTER_BINS + values % FILTER_BINS, minlength=(len(edge) - 1) * FILTER_BINS)
-    return flat.reshape(-1, FILTER_BINS).astype(np.int32)
+    flat = np.bincount(row * bins + values % bins, minlength=(len(edge) - 1) * bins)
+    return flat.reshape(-1, bins).astype(np.int32)
 
 
 def earlier_lines(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, edits: int):
     """(line, 0, length) of the lines within ``edits`` edits of a line of a smaller document.
 
-    Lines with an equal key are compared from the smallest document on, and a line is done with its
-    first match, so that a large family of near copies costs about one comparison a line. Bounds by
-    length and letter counts come first.
+    Lines with an equal key are compared from the smallest document on, if it is a segment of one of
+    them, and a line is done with its first match, so that a large family of near copies costs about
+    one comparison a line. Bounds by length and letter counts come first.
     """
     starts, ends = edge[:-1], edge[1:]
     hashes = Hashes(mixed(values.astype(np.uint64) + np.uint64(1)))
-    line, key = probes(hashes, starts, ends, edits)
-    order = np.lexsort((line, docs[line], key))
-    line, key = line[order], key[order]
+    line, key, own = probes(hashes, starts, ends, edits)
+    order = np.lexsort((~own, line, docs[line], key))
+    line, key, own = line[order], key[order], own[order]
     once = heads(line, key)
-    line, key = line[once], key[once]
+    line, key, own = line[once], key[once], own[once]
+    some = np.add.reduceat(own, np.flatnonzero(heads(key)), dtype=np.int64)[runs_of(heads(key))] > 0
+    line, key, own = line[some], key[some], own[some]
     first = heads(key)
     head = np.flatnonzero(first)
     run = runs_of(first)
     place = np.arange(len(line)) - head[run]
-    counts, length = letters(values, edge), ends - starts
+    counts, length = [letters(values, edge, bins) for bins in FILTER_BINS], ends - starts
     found = np.zeros(len(docs), bool)
     turn = 0
     waiting = np.flatnonzero(place > 0)
@@ -151,12 +154,15 @@ def earlier_lines(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, edits:
         # The turn-th line of each key's run against all later ones that still wait.
         waiting = waiting[(place[waiting] > turn) & ~found[line[waiting]]]
         for at in range(0, len(waiting), PAIR_BLOCK):
-            mine = line[waiting[at : at + PAIR_BLOCK]]
-            other = line[head[run[waiting[at : at + PAIR_BLOCK]]] + turn]
+            mine = waiting[at : at + PAIR_BLOCK]
+            other = head[run[mine]] + turn
+            near = own[mine] | own[other]
+            mine, other = line[mine[near]], line[other[near]]
             near = (docs[other] < docs[mine]) & (np.abs(length[other] - length[mine]) <= edits)
             mine, other = mine[near], other[near]
-            near = np.abs(counts[mine] - counts[other]).sum(axis=1) <= 2 * edits
-            mine, other = mine[near], other[near]
+            for bins in counts:
+                near = np.abs(bins[mine] - bins[other]).sum(axis=1) <= 2 * edits
+                mine, other = mine[near], other[near]
             same = within(values, starts[mine], ends[mine], starts[other], ends[other], edits)
             found[mine[same]] = True
         turn += 1
