@@ -8,8 +8,8 @@ from corpusforge.functions import codec
 from corpusforge.functions.codec import idiv
 from corpusforge.operators.prefix import exclusive_prefix
 
-# A rank's shards are summed in one group of at most 2**20 rows.
-SHARD_BITS = 20
+# Shard numbers below 2**40; a rank's shards are summed in groups of at most 2**20 rows.
+SHARD_BITS = 40
 
 VAL_STEPS = 20
 VAL_EVERY = 250

@@ -38,7 +38,7 @@ def split_of(shard_idx: Column, n_tokens: Column, shard_size: int) -> Column:
 
 
 def file_stem(split: Column, shard_idx: Column) -> Column:
-    return F.concat_ws("_", F.lit(FILE_STEM), split, F.lpad(shard_idx.cast("string"), 6, "0"))
+    return F.concat_ws("_", F.lit(FILE_STEM), split, F.format_string("%06d", shard_idx))
 
 
 def shard_pieces(offsets: DataFrame, shard_size: int) -> DataFrame:

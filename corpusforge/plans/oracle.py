@@ -67,7 +67,7 @@ PARTS: dict[str, str] = {
                    WHERE role = 'system' GROUP BY conv_id) s ON s.conv_id = a.conv_id
         WHERE a.role = 'assistant'""",
     "sq0": f"""
-        SELECT conv_id, conv_id * 1000000000 + turn * 10000 + i AS item_id, question, support, answer
+        SELECT conv_id, row_number() OVER (ORDER BY conv_id, turn, i) - 1 AS item_id, question, support, answer
         FROM (SELECT conv_id, turn, question, support, unnest(ss) AS answer,
                      generate_subscripts(ss, 1) - 1 AS i
               FROM (SELECT *, list_filter(list_transform(regexp_split_to_array(reply, '[.!?\\n]+'),
@@ -278,7 +278,7 @@ LEVELS = """
 
 MANIFEST = query(
     STREAM,
-    """SELECT shard_idx, split, 'fineweb_edu_' || split || '_' || lpad(CAST(shard_idx AS VARCHAR), 6, '0') AS file_stem,
+    """SELECT shard_idx, split, 'fineweb_edu_' || split || '_' || printf('%06d', shard_idx) AS file_stem,
               n AS n_tokens, 2 * n AS n_bytes FROM shards""",
 )
 

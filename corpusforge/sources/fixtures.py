@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusforge.functions.codec import idiv
 from corpusforge.functions.text import strip
-from corpusforge.operators.prefix import dense_rank_of, followers
+from corpusforge.operators.prefix import dense_rank_of, exclusive_prefix, followers
+from corpusforge.session import cut_lineage
 
 CONVERSATIONS = "conv_id bigint, turn bigint, role string, text string"
 BENCHMARK = "item_id bigint, text string"
@@ -16,6 +17,21 @@ WORD_GAP = r"[ \t\n\r\f]+"
 SYSTEM_SALTS = 16
 
 
+def _places(turns: DataFrame) -> DataFrame:
+    """(conv_id, turn, _place): sentences before each turn, in order of conversation and turn.
+
+    Sums over conversations and inside each, so any id and any number of sentences gets its place.
+    The counts are written once: no text is read again for the levels of the sums.
+    """
+    sizes = cut_lineage(turns, "turn-sizes")
+    whole = sizes.groupBy("conv_id").agg(F.sum("_n").alias("_n"))
+    before = exclusive_prefix(whole, "conv_id", "_n", "_before").select("conv_id", "_before")
+    inside = exclusive_prefix(sizes, "turn", "_n", "_inside", ["conv_id"])
+    return inside.join(before, "conv_id").select(
+        "conv_id", "turn", (F.col("_before") + F.col("_inside")).alias("_place")
+    )
+
+
 def sciq_shaped(conversations: DataFrame) -> DataFrame:
     """One question row per sentence of an assistant turn that answers a user turn.
 
@@ -38,19 +54,18 @@ def sciq_shaped(conversations: DataFrame) -> DataFrame:
     sentences = F.filter(
         F.transform(F.split("text", SENTENCE_END), strip), lambda s: s != ""
     )
-    place = F.col("conv_id") * 1_000_000_000 + F.col("turn") * 10_000 + F.col("_s")
+    answers = turns.where("role = 'assistant'").join(asked, ["conv_id", "turn"])
     rows = (
-        turns.where("role = 'assistant'")
-        .join(asked, ["conv_id", "turn"])
+        answers.join(_places(answers.select("conv_id", "turn", F.size(sentences).alias("_n"))), ["conv_id", "turn"])
         .withColumn("_salt", salt)
         .join(system, ["conv_id", "_salt"], "left")
         .select(
-            "conv_id", "turn", "question", "support",
+            "conv_id", "turn", "question", "support", "_place",
             F.posexplode(sentences).alias("_s", "correct_answer"),
         )
-        .withColumn("item_id", place)
+        .withColumn("item_id", F.col("_place") + F.col("_s"))
     )
-    ranked = followers(dense_rank_of(rows, "item_id", "_rank"), "_rank", "correct_answer", 3, "_next")
+    ranked = followers(rows, "item_id", "correct_answer", 3, "_next")
     bucket = F.col("conv_id") % 10
     split = F.when(bucket < 8, "train").when(bucket == 8, "validation").otherwise("test")
     return ranked.where(F.size("_next") == 3).select(

@@ -1,4 +1,4 @@
-"""Append-only result and metric tables."""
+"""Result tables, one set of rows per model, and append-only metric tables."""
 
 from __future__ import annotations
 
@@ -9,13 +9,16 @@ METRIC_SCHEMA = "run_id string, step long, ts timestamp, name string, value doub
 
 
 def append_results(board: DataFrame, path: str) -> None:
-    """Append each model's rows; the constant random row is for display and is not stored."""
+    """Write each model's rows in place of its former ones; the constant random row is not stored."""
     rows = board.where(F.col("total").isNotNull())
-    rows.select("model", "dataset", "correct", "total", "accuracy").write.mode("append").parquet(path)
+    rows.select("dataset", "correct", "total", "accuracy", "model").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("model").parquet(path)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RESULT_SCHEMA).parquet(path)
+    rows = spark.read.schema(RESULT_SCHEMA).parquet(path)
+    return rows.select("model", "dataset", "correct", "total", "accuracy")
 
 
 def append_metrics(values: DataFrame, path: str, run_id: str, name: str) -> None:

@@ -86,7 +86,7 @@ def pack_stream(
 def streamed_pieces(spark: SparkSession, out: str) -> DataFrame:
     """The pieces of all batches named in the ledger."""
     done = _table(spark, f"{out}/ledger", LEDGER).select("batch_id")
-    return _table(spark, f"{out}/pieces", PIECES).join(F.broadcast(done), "batch_id", "left_semi")
+    return _table(spark, f"{out}/pieces", PIECES).join(done, "batch_id", "left_semi")
 
 
 def streamed_manifest(spark: SparkSession, out: str, shard_size: int) -> DataFrame:

@@ -25,16 +25,12 @@ def one(support, question, answer, item=0):
     return ("train", item, support, question, answer, "x", "y", "z")
 
 
-def replay_example(support, question, answer, max_len):
-    support, question, answer = support.strip(), question.strip(), answer.strip()
-    ctx = list((f"{support} {question}" if support else question).encode())
-    ans = [*f" {answer}".encode(), 256]
-    ids = ctx + ans
-    start = len(ctx)
-    if len(ids) > max_len:
-        ids = ids[-max_len:]
-        start = max(0, len(ids) - len(ans))
-    return ids, [0] * start + [1] * (len(ids) - start)
+def wanted(support, question, answer, limit):
+    """The last ids of the joined texts; the mask holds the answer, its blank and the end mark."""
+    text = " ".join(filter(None, map(str.strip, (support, question, answer))))
+    ids = [*text.encode(), 256][-limit:]
+    scored = len(answer.strip().encode()) + 2
+    return ids, [int(left <= scored) for left in range(len(ids), 0, -1)]
 
 
 @pytest.mark.parametrize("total", [255, 256, 257, 300])
@@ -43,7 +39,7 @@ def test_examples_around_the_length_limit(spark, total):
     rows = [one("", question, "abc"), one("s", "q" * 10, "a" * (total - 14), 1), one(" ", "é ", " ü", 2)]
     got = sft.with_ids_and_mask(sft.sft_examples(sciq(spark, rows))).collect()
     for r in got:
-        expected = replay_example(*rows[r["item_id"]][2:5], 256)
+        expected = wanted(*rows[r["item_id"]][2:5], 256)
         assert (r["ids"], r["mask"]) == expected and r["n_ids"] == len(expected[0])
 
 
@@ -64,7 +60,7 @@ def test_batches_follow_the_md5_order_and_are_padded_and_shifted(spark):
         assert [mine[k]["item_id"] for k in sorted(mine)] == order
         assert sorted({b for b, _ in mine}) == [0, 1, 2]
     for r in got:
-        ids, mask = replay_example(*rows[r["item_id"]][2:5], 256)
+        ids, mask = wanted(*rows[r["item_id"]][2:5], 256)
         pad = r["max_len"] - len(ids)
         ids, mask = ids + [0] * pad, mask + [0] * pad
         assert (r["x"], r["y"], r["y_mask"]) == (ids[:-1], ids[1:], mask[1:])
@@ -205,7 +201,7 @@ def test_leaderboard_appends_without_the_random_row(spark, tmp_path):
     for _ in range(2):
         results.append_results(board, str(tmp_path / "results"))
     stored = results.read_results(spark, str(tmp_path / "results")).collect()
-    assert [tuple(r) for r in stored] == [("m", "s (test)", 1, 1, 1.0)] * 2
+    assert [tuple(r) for r in stored] == [("m", "s (test)", 1, 1, 1.0)]
 
 
 def test_first_items_are_the_first_in_order(spark):
@@ -245,3 +241,11 @@ def test_broadcast_and_shuffle_joins_score_alike(spark):
     assert [r[:2] for r in small] == [r[:2] for r in large] and len(small) == 4
     for a, b in zip(small, large):
         assert a[2] == b[2] or a[2] == pytest.approx(b[2])
+
+
+def test_places_of_long_replies_and_large_ids(spark):
+    """Ids are places in the order of conversation, turn and sentence, whatever their sizes."""
+    schema = "conv_id long, turn long, role string, text string"
+    talk = [(c, t, r, x) for c in (7, 2**40) for t, r, x in ((0, "user", "q"), (1, "assistant", "a. " * 10_010), (2, "user", "q"), (3, "assistant", "b. c. d. e"))]
+    rows = fixtures.sciq_shaped(spark.createDataFrame(talk, schema)).select("item_id", "question")
+    assert sorted(r["item_id"] for r in rows.collect()) == list(range(2 * 10_014 - 3))

@@ -1,5 +1,6 @@
 """Offsets, shards, loader tables against a plain replay of the sequential rules."""
 
+import itertools
 import random
 
 import pytest
@@ -19,17 +20,10 @@ def make_docs(spark, texts, ids=None):
 
 
 def sequential_shards(texts, size):
-    """Fill a buffer, flush when full: [(split, ids), ..]."""
-    out, buffer, first = [], [], True
-    for t in texts:
-        for token in [256, *t.encode()]:
-            buffer.append(token)
-            if len(buffer) == size:
-                out.append(("val" if first else "train", buffer))
-                buffer, first = [], False
-    if buffer:
-        out.append(("train", buffer))
-    return out
+    """All ids in one list, sliced; the first slice is validation if it is a whole one."""
+    ids = [i for t in texts for i in (256, *t.encode())]
+    slices = [ids[at : at + size] for at in range(0, len(ids), size)]
+    return [("val" if k == 0 and len(x) == size else "train", x) for k, x in enumerate(slices)]
 
 
 def texts_of(seed, n=60):
@@ -63,6 +57,19 @@ def test_split_rule_at_the_edges(spark, length, expected):
     assert manifest[0]["n_bytes"] == 2 * expected[0][1]
 
 
+def test_file_stems_of_long_shard_numbers(spark):
+    numbers = spark.createDataFrame([(n,) for n in (7, 999_999, 1_000_000, 10_000_000)], "n long")
+    stems = [r[0] for r in numbers.select(pack.file_stem(F.lit("train"), F.col("n"))).collect()]
+    assert [x.rpartition("_")[2] for x in stems] == ["000007", "999999", "1000000", "10000000"]
+
+
+def test_shard_numbers_beyond_twenty_bits(spark):
+    shards = spark.createDataFrame([("train", n, 100) for n in (0, 1 << 20, 3 << 30)], "split string, shard_idx long, n_tokens long")
+    rows = loader.loader_schedule(loader.loader_plan(shards, 1, 10, 1), 1, 10, 1, epochs=1).collect()
+    order = [r["shard_idx"] for r in sorted(rows, key=lambda r: r["micro_step"])]
+    assert order == sorted(order) and set(order) == {0, 1 << 20, 3 << 30}
+
+
 def test_document_over_three_shards_is_spilled(spark):
     pieces = pack.shard_pieces(pack.doc_offsets(tokenize(make_docs(spark, ["x" * 25, "y"]))), 10)
     assert {r["doc_id"]: r["n_pieces"] for r in pack.spilled_docs(pieces).collect()} == {0: 3}
@@ -112,15 +119,12 @@ def test_previous_value_crosses_blocks(spark):
 # --- loader ------------------------------------------------------------------------------
 
 
-def replay_reads(lengths, B, T, N, rank, n_batches):
-    """The moving cursor: [(shard, pos), ..]; needs every shard readable by the rank."""
-    shard, pos, out = 0, B * T * rank, []
-    for _ in range(n_batches):
-        out.append((shard, pos))
-        pos += B * T * N
-        if pos + B * T * N + 1 > lengths[shard]:
-            shard, pos = (shard + 1) % len(lengths), B * T * rank
-    return out
+def reads_of(lengths, B, T, N, rank):
+    """Endless (shard, position): a rank's first batch of each shard and all whose stride still fits."""
+    stride = B * T * N
+    for shard, length in itertools.cycle(enumerate(lengths)):
+        starts = range(B * T * rank, length, stride)
+        yield from ((shard, p) for k, p in enumerate(starts) if k == 0 or p + stride < length)
 
 
 @pytest.mark.parametrize("B, T, N", [(1, 2, 1), (2, 3, 2), (1, 5, 4), (3, 1, 2)])
@@ -134,7 +138,7 @@ def test_schedule_equals_the_moving_cursor(spark, B, T, N):
     for rank in range(N):
         mine = sorted((r for r in rows if r["rank"] == rank), key=lambda r: r["micro_step"])
         assert [r["micro_step"] for r in mine] == list(range(37))
-        assert [(r["shard_idx"], r["pos"]) for r in mine] == replay_reads(lengths, B, T, N, rank, 37)
+        assert [(r["shard_idx"], r["pos"]) for r in mine] == list(itertools.islice(reads_of(lengths, B, T, N, rank), 37))
         passes = [r["epoch"] for r in mine]
         assert passes == sorted(passes)
     reads = [(r["epoch"], r["rank"], r["shard_idx"], r["pos"]) for r in rows]
@@ -176,7 +180,7 @@ def test_steps_follow_the_schedule_and_resume(spark):
     rows = loader.step_layout(plan, B, T, N, batch_tokens, total_tokens=300, val_every=4, log_every=2).collect()
     assert len(rows) == (300 // batch_tokens) * N
     for r in rows:
-        reads = replay_reads(lengths, B, T, N, r["rank"], (r["step"] + 1) * 3)[-3:]
+        reads = list(itertools.islice(reads_of(lengths, B, T, N, r["rank"]), (r["step"] + 1) * 3))[-3:]
         assert (r["first_shard"], r["last_shard"]) == (reads[0][0], reads[-1][0])
         assert (r["n_micro"], r["n_tokens"]) == (3, 12)
         assert r["is_val"] == (r["step"] % 4 == 0) and r["is_log"] == (r["step"] % 2 == 0)
