@@ -243,6 +243,33 @@ def test_broadcast_and_shuffle_joins_score_alike(spark):
         assert a[2] == b[2] or a[2] == pytest.approx(b[2])
 
 
+@pytest.mark.parametrize("limit", [1, 3, 50])
+def test_a_hot_ngram_is_scored_apart(spark, limit):
+    """A thousand units share one n-gram: above the limit it is broadcast, rare ones are shuffled."""
+    one = lambda seq: bytearray(b"".join(i.to_bytes(2, "big") for i in seq))
+    rows = [(u, one([1, 2, 3] if u % 10 else [1, 2, 3, u % 7, u % 5]), 1) for u in range(1000)]
+    rows.append((1000, one([4]), 1))
+    df = spark.createDataFrame(rows, "u long, tokens binary, first long")
+    model = make_model(spark, CORPUS)
+    whole, parts = (
+        {r["u"]: r for r in score_units(df, ["u"], model, F.col("first"), broadcast_rows=x).collect()}
+        for x in (400_000, limit)
+    )
+    assert len(parts) == 1001 and parts[1000]["n_targets"] == 0
+    for u, row in parts.items():
+        assert row["n_targets"] == whole[u]["n_targets"]
+        assert row[2] == whole[u][2] or row[2] == pytest.approx(whole[u][2])
+
+
+def test_long_choices_count_by_the_ids_scored(spark):
+    items = spark.createDataFrame(
+        [("s", "test", 1, "abc", ["x" * 9], 0)],
+        "source string, split string, item_id long, context string, choices array<string>, gold_idx long",
+    )
+    lengths = lambda b: -(b["ctx_ids"].map(len) * 100 + b["choice_ids"].map(len)).astype(float)
+    assert mcq.user_scores(items, lengths, "net", max_ctx=4).first()["score"] == -1
+
+
 def test_places_of_long_replies_and_large_ids(spark):
     """Ids are places in the order of conversation, turn and sentence, whatever their sizes."""
     schema = "conv_id long, turn long, role string, text string"
