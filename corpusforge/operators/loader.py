@@ -155,6 +155,36 @@ def val_batches(
     ).select("rank", "micro_step", "shard_idx", "pos")
 
 
+def training_batches(
+    window_rows: DataFrame,
+    schedule: DataFrame,
+    batch_size: int,
+    seq_len: int,
+    grad_accum: int,
+    start_step: int = 0,
+) -> DataFrame:
+    """(rank, step, micro_step, row_in_batch, tokens): the rows of every batch a rank reads.
+
+    ``inputs_and_targets`` makes x and y of the tokens. ``start_step`` resumes: earlier steps are
+    dropped from the schedule before any window is moved. A window meets each of its readings by
+    (shard, batch), so a second epoch costs one more row, not another scan.
+    """
+    batch = idiv(F.col("pos"), F.lit(batch_size * seq_len).cast("long"))
+    step = idiv(F.col("micro_step"), F.lit(grad_accum).cast("long"))
+    readings = (
+        schedule.withColumn("step", step)
+        .where(F.col("step") >= start_step)
+        .select("rank", "step", "micro_step", "shard_idx", batch.alias("batch"))
+    )
+    place = place_of_window(F.col("w"), batch_size, 1)
+    rows = window_rows.select(
+        "shard_idx", place["batch"].alias("batch"), place["row_in_batch"].alias("row_in_batch"), "tokens"
+    )
+    return readings.join(rows, ["shard_idx", "batch"]).select(
+        "rank", "step", "micro_step", "row_in_batch", "tokens"
+    )
+
+
 def micro_steps_per_step(batch_tokens: int, batch_size: int, seq_len: int, n_ranks: int) -> int:
     per_micro = batch_size * seq_len * n_ranks
     if batch_tokens <= 0 or batch_tokens % per_micro:
@@ -222,20 +252,18 @@ def step_layout(
     )
 
 
-def window_summary(window_rows: DataFrame) -> DataFrame:
-    """(shard_idx, w, sum_x, sum_y, first_id, last_id)."""
-    split = window_rows.select("shard_idx", "w", codec.ids(F.col("tokens")).alias("ids"))
+def window_summary(window_rows: DataFrame, names: tuple[str, ...] = ("shard_idx", "w")) -> DataFrame:
+    """(names.., sum_x, sum_y, first_id, last_id)."""
+    split = window_rows.select(*names, codec.ids(F.col("tokens")).alias("ids"))
     total = F.aggregate("ids", F.lit(0).cast("long"), lambda acc, x: acc + x)
     return (
         split.select(
-            "shard_idx",
-            "w",
+            *names,
             total.alias("_total"),
             F.get("ids", F.lit(0)).cast("long").alias("first_id"),
             F.element_at("ids", -1).cast("long").alias("last_id"),
         ).select(
-            "shard_idx",
-            "w",
+            *names,
             (F.col("_total") - F.col("last_id")).alias("sum_x"),
             (F.col("_total") - F.col("first_id")).alias("sum_y"),
             "first_id",

@@ -120,24 +120,28 @@ def user_scores(
     """The columns of :func:`choice_scores` from a scoring function the user brings.
 
     ``score_batch`` gets a frame of ``ctx_ids`` and ``choice_ids`` (lists of ids; the two together
-    cropped on the left to ``max_ctx``) and returns log P(choice | context), one sum per row. It
+    cropped on the left to ``max_ctx``) and returns log P(choice | context), one sum per row. The
+    sum is divided by the ids that were scored, so a choice longer than ``max_ctx`` counts by its
+    last ``max_ctx`` ids. Contexts are encoded once per item, before the choices are unfolded. It
     runs on Arrow batches inside the tasks; load a network once per process inside it.
     """
     keep = ["source", "split", "item_id", "gold_idx", "choice_idx"]
-    coded = choice_rows(items).select(
+    contexts = items.withColumn(
+        "context", codec.last_ids(tokenizer.encode(F.col("context")), max_ctx)
+    )
+    coded = choice_rows(contexts).select(
         *keep,
-        tokenizer.encode(F.col("context")).alias("_ctx"),
-        tokenizer.encode(answer_text(F.col("choice"))).alias("_choice"),
+        F.col("context").alias("_ctx"),
+        codec.last_ids(tokenizer.encode(answer_text(F.col("choice"))), max_ctx).alias("_choice"),
     )
     n_choice = codec.n_ids(F.col("_choice"))
-    room = F.greatest(F.lit(0).cast("long"), max_ctx - n_choice)
     n_ctx = codec.n_ids(F.col("_ctx"))
-    kept = F.least(n_ctx, room)
+    kept = F.least(n_ctx, max_ctx - n_choice)
     rows = coded.select(
         *keep,
         n_choice.alias("n_choice"),
         codec.ids(codec.cut(F.col("_ctx"), n_ctx - kept, kept)).alias("ctx_ids"),
-        codec.ids(codec.last_ids(F.col("_choice"), max_ctx)).alias("choice_ids"),
+        codec.ids(F.col("_choice")).alias("choice_ids"),
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -20,14 +20,18 @@ ID_BITS = 36
 DOC_BLOCK_BITS = 8
 
 
-def doc_offsets(tokenized: DataFrame, id_bits: int = ID_BITS) -> DataFrame:
+def doc_offsets(
+    tokenized: DataFrame, id_bits: int = ID_BITS, below: int | None = None
+) -> DataFrame:
     """Add ``start`` (place of the document's first token in the stream) and ``total``.
 
     ``doc_id`` orders the corpus and is unique, in 0 .. 2**id_bits - 1; pass 63 for hashed ids.
+    ``below`` asks for the documents that start before that token only, such as those of the
+    validation shard; the others are counted but not moved.
     """
     return exclusive_prefix(
         tokenized, "doc_id", "n_tokens", "start", total="total",
-        id_bits=id_bits, block_bits=DOC_BLOCK_BITS,
+        id_bits=id_bits, block_bits=DOC_BLOCK_BITS, write_totals=True, below=below,
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusforge.functions.codec import idiv
+from corpusforge.session import cut_lineage
 
 # The last level of a running sum is one sorted group; it never has more rows than this.
 TOP_BITS = 23
@@ -33,6 +34,8 @@ def exclusive_prefix(
     total: str | None = None,
     id_bits: int = 63,
     block_bits: int = 20,
+    write_totals: bool = False,
+    below: int | None = None,
 ) -> DataFrame:
     """Add ``out`` = sum of ``value`` over rows with a smaller ``key`` (inside each ``by`` group).
 
@@ -42,6 +45,10 @@ def exclusive_prefix(
     base comes back by an equi-join on the block. So neither a window nor a join sees more rows
     of one group than a block holds, however the keys are spread, and ``df`` is moved once.
     ``total`` names an extra column with the group's full sum.
+
+    ``write_totals`` writes the block totals once, so that ``df`` is read twice however many
+    levels there are. ``below`` keeps only rows whose ``out`` is smaller: blocks that begin at or
+    beyond it are dropped before their rows are moved.
     """
     in_range = F.shiftright(F.col(key).cast("long"), min(id_bits, 62)) == 0
     too_big = F.raise_error(F.lit(f"{key} is not in 0 .. 2**{id_bits} - 1; pass a larger id_bits"))
@@ -50,7 +57,8 @@ def exclusive_prefix(
     value_column = F.when(in_range, F.col(value)).otherwise(too_big.cast("long")).cast("long")
     df = df.withColumn("_value", value_column)
     shifts = level_shifts(id_bits, block_bits)
-    return _prefix(df, key, "_value", out, list(by), total, shifts).drop("_value")
+    done = _prefix(df, key, "_value", out, list(by), total, shifts, write_totals, below)
+    return (done if below is None else done.where(F.col(out) < below)).drop("_value")
 
 
 def _prefix(
@@ -61,6 +69,8 @@ def _prefix(
     by: list[str],
     total: str | None,
     shifts: Sequence[int],
+    write_totals: bool = False,
+    below: int | None = None,
 ) -> DataFrame:
     if not shifts:
         group = Window.partitionBy(*by)
@@ -71,8 +81,14 @@ def _prefix(
     block, level_sum, base = (f"_{name}_{len(shifts)}" for name in ("block", "sum", "base"))
     df = df.withColumn(block, F.shiftright(F.col(key).cast("long"), shifts[0]))
     totals = df.groupBy(*by, block).agg(F.sum(value).alias(level_sum))
+    if write_totals:
+        totals = cut_lineage(totals, "block-totals")
     bases = _prefix(totals, block, level_sum, base, by, total, shifts[1:])
     bases = bases.select(*by, block, base, *([total] if total else []))
+    if below is not None:
+        # Written, so that Spark knows how few they are before it plans the join.
+        bases = cut_lineage(bases.where(F.col(base) < below), "leading-blocks")
+        df = df.join(bases.select(*by, block), [*by, block], "left_semi")
     running = (
         Window.partitionBy(*by, block).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     )

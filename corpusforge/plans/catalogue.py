@@ -13,7 +13,7 @@ from corpusforge.functions import codec
 from corpusforge.operators import bpe, loader, mcq, metrics, ngram, pack, sft
 from corpusforge.operators.tokenize import BYTES, pretoken_dictionary, token_unigrams, tokenize
 from corpusforge.session import cut_lineage, dealt, shared_dir, spread
-from corpusforge.sources import fixtures
+from corpusforge.sources import fixtures, results, shards
 from corpusforge.sources.corpus import read_documents
 from corpusforge.streaming import packer
 
@@ -27,6 +27,8 @@ SFT_WEIGHT = 5
 TOP_K, TEMPERATURE = 5, 1.0
 SEED = 0
 MERGES = 64
+RESUME_STEP = 100
+USER_CONTEXT = 128
 MODELS = ("base", "finetuned", "sft_only")
 
 
@@ -34,6 +36,10 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return read_documents(spark, f"{sf}/documents.parquet")
 
 
+def fresh_folder(spark, name):
+    return f"{shared_dir(spark).rstrip('/')}/corpusforge/{name}-{uuid.uuid4().hex}"
+
+
 def tokenized(spark, sf):
     return tokenize(documents(spark, sf))
 
@@ -51,15 +57,18 @@ def manifest(spark, sf):
 
 
 def windows(spark, sf, split=None):
-    rows = pieces(spark, sf)
+    if split == "val":  # shard 0 only: later documents are counted, not moved
+        rows = pack.shard_pieces(pack.doc_offsets(tokenized(spark, sf), below=SHARD), SHARD)
+    else:
+        rows = pieces(spark, sf)
     return loader.windows(rows if split is None else rows.where(F.col("split") == split), B, T)
 
 
 def plan(spark, sf, split=None):
-    shards = manifest(spark, sf)
+    rows = manifest(spark, sf)
     if split is not None:
-        shards = shards.where(F.col("split") == split)
-    return loader.loader_plan(shards, B, T, RANKS)
+        rows = rows.where(F.col("split") == split)
+    return loader.loader_plan(rows, B, T, RANKS)
 
 
 def sciq_rows(spark, sf):
@@ -152,7 +161,7 @@ def doc_token_counts_bpe(spark, sf):
 
 def stream_manifest(spark, sf):
     """Every given document packed by the streaming job into a fresh folder."""
-    out = f"{shared_dir(spark).rstrip('/')}/corpusforge/stream-{uuid.uuid4().hex}"
+    out = fresh_folder(spark, "stream")
     # The pattern matches one file as well as a folder of files.
     stream = packer.read_document_stream(spark, f"{sf}/documents.parque[t]")
     packer.pack_stream(stream, out, SHARD).awaitTermination()
@@ -182,6 +191,27 @@ def step_layout(spark, sf):
     return loader.step_layout(plan(spark, sf, "train"), B, T, RANKS, BATCH_TOKENS)
 
 
+def resumed_layout(spark, sf):
+    """The step layout of a run that resumes at a step, without replaying the steps before."""
+    return loader.step_layout(plan(spark, sf, "train"), B, T, RANKS, BATCH_TOKENS, start_step=RESUME_STEP)
+
+
+def training_batches(spark, sf):
+    """Sums and ends of x and y of every row that every rank reads in one pass."""
+    grad_accum = loader.micro_steps_per_step(BATCH_TOKENS, B, T, RANKS)
+    schedule = loader.loader_schedule(plan(spark, sf, "train"), B, T, RANKS, epochs=1)
+    rows = loader.training_batches(windows(spark, sf, "train"), schedule, B, T, grad_accum)
+    return loader.window_summary(rows, ("rank", "step", "micro_step", "row_in_batch"))
+
+
+def written_shards(spark, sf):
+    """The manifest of shards written to a fresh folder and read back, both splits."""
+    out = fresh_folder(spark, "shards")
+    shards.write_shards(pieces(spark, sf), out)
+    both = spark.read.schema(shards.SHARD_SCHEMA).parquet(out)
+    return pack.shard_manifest(both, SHARD)
+
+
 # --- questions ---------------------------------------------------------------------------
 
 
@@ -312,13 +342,37 @@ def results_table(spark, sf):
     return _rounded(mcq.leaderboard(mcq.accuracy(mcq.predictions(scores(spark, sf)))), "accuracy")
 
 
+def stored_results(spark, sf):
+    """The board stored twice, as by a repeated run, and read back: one set of rows per model."""
+    out = fresh_folder(spark, "results")
+    board = cut_lineage(results_table(spark, sf), "leaderboard")
+    for _ in range(2):
+        results.append_results(board, out)
+    return results.read_results(spark, out)
+
+
+def step_metrics(spark, sf):
+    """The losses by step appended as one run's metric and read back."""
+    out = fresh_folder(spark, "metrics")
+    results.append_metrics(step_loss(spark, sf).withColumnRenamed("loss", "value"), out, "pass-0", "train_loss")
+    return results.read_metrics(spark, out).drop("ts")
+
+
 def plain_length_scorer(batch: pd.DataFrame) -> pd.Series:
-    """A stand-in for a network: log P of an id falls with the id's value."""
-    return batch["choice_ids"].map(lambda ids: -np.log(np.asarray(ids, dtype="float64") + 2.0).sum())
+    """A stand-in for a network: log P of an id falls with the id's value and the context's sum."""
+
+    def summed(column, value):
+        sizes = batch[column].map(len).to_numpy()
+        flat = np.concatenate([np.zeros(0), *batch[column]]).astype("float64")
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        return np.bincount(owner, value(flat), len(sizes))
+
+    logs = summed("choice_ids", lambda ids: -np.log(ids + 2.0))
+    return pd.Series(logs - np.log(summed("ctx_ids", lambda ids: ids) + 1.0))
 
 
 def user_choice_scores(spark, sf):
-    rows = mcq.user_scores(items(spark, sf), plain_length_scorer, "user")
+    rows = mcq.user_scores(items(spark, sf), plain_length_scorer, "user", USER_CONTEXT)
     return _rounded(
         rows.select("model", "source", "split", "item_id", "choice_idx", "score"), "score"
     )
@@ -367,6 +421,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loader_schedule": loader_schedule,
     "val_batches": val_batches,
     "step_layout": step_layout,
+    "resumed_layout": resumed_layout,
+    "training_batches": training_batches,
+    "written_shards": written_shards,
     "mcq_items": mcq_items,
     "mcq_labels": mcq_labels,
     "split_counts": split_counts,
@@ -384,6 +441,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mcq_accuracy": mcq_accuracy,
     "validation_accuracy": validation_accuracy,
     "results_table": results_table,
+    "stored_results": stored_results,
+    "step_metrics": step_metrics,
     "user_choice_scores": user_choice_scores,
     "next_token_topk": next_token_topk,
     "next_token_draw": next_token_draw,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from corpusforge.functions.text import PRETOKEN_PATTERN, STRIP_CLASS
 from corpusforge.plans.catalogue import (
-    B, BATCH_TOKENS, RANKS, SEED, SFT_EPOCHS, SFT_WEIGHT, SHARD, T, TOP_K,
+    B, BATCH_TOKENS, MERGES, RANKS, RESUME_STEP, SEED, SFT_EPOCHS, SFT_WEIGHT, SHARD, T, TOP_K, USER_CONTEXT,
 )
 
 BT = B * T
@@ -283,8 +283,84 @@ MANIFEST = query(
 )
 
 
+LAYOUT = f"""SELECT rank, micro_step // {GRAD_ACCUM} AS step, count(*) AS n_micro,
+       count(*) * {BT} AS n_tokens, arg_min(shard_idx, micro_step) AS first_shard,
+       arg_max(shard_idx, micro_step) AS last_shard,
+       (micro_step // {GRAD_ACCUM}) % 250 = 0 AS is_val,
+       (micro_step // {GRAD_ACCUM}) % 10 = 0 AS is_log
+FROM sched WHERE split = 'train' AND micro_step // {GRAD_ACCUM} <
+     (SELECT sum(n) FROM shards WHERE split = 'train') // {BATCH_TOKENS}
+GROUP BY rank, micro_step // {GRAD_ACCUM}"""
+
+STEP_LOSS = query(
+    [*TOKENS, "lp", "sched", "cnt_base", "cnt1", "train_t"],
+    f"""SELECT step, round(avg(loss), 6) AS loss
+        FROM (SELECT micro_step // {GRAD_ACCUM} AS step, rank, avg(loss) AS loss
+              FROM sched JOIN bl ON bl.shard_idx = sched.shard_idx AND bl.batch = pos // {BT}
+              WHERE split = 'train' AND micro_step // {GRAD_ACCUM} <
+                    (SELECT sum(n) FROM shards WHERE split = 'train') // {BATCH_TOKENS}
+              GROUP BY micro_step // {GRAD_ACCUM}, rank)
+        GROUP BY step""",
+    probs=("cnt1", "train_t"),
+    extra=[("bl", BATCH_LOSS.format(targets=joined_probs("train_t")))],
+)
+
+# A symbol is its id beyond this code point, so that no byte is a control sign in SQL text.
+SYMBOLS = 1024
+
+
+def merge_chain() -> list[tuple[str, str]]:
+    """One pair count and one replacement per merge: (m1, w1), (m2, w2), .."""
+    words = f"""
+        SELECT word, count(*) AS n,
+               array_to_string(list_transform({byte_ids("word")}, lambda x: chr(x + {SYMBOLS})), '') AS c
+        FROM (SELECT unnest(regexp_extract_all(text, '{PRETOKEN_PATTERN}')) AS word FROM documents)
+        GROUP BY word"""
+    chain = [("w0", words)]
+    for k in range(1, MERGES + 1):
+        top = f"""
+            SELECT p, CAST(sum(n) AS BIGINT) AS n
+            FROM (SELECT n, substr(c, unnest(range(1, length(c))), 2) AS p FROM w{k - 1})
+            GROUP BY p ORDER BY sum(n) DESC, p LIMIT 1"""
+        merged = f"SELECT word, w{k - 1}.n, replace(c, p, chr({SYMBOLS + 255 + k})) AS c FROM w{k - 1}, m{k}"
+        chain += [(f"m{k}", top), (f"w{k}", merged)]
+    return chain
+
+
 def all_sql() -> dict[str, str]:
     return {
+        "bpe_merges": query(
+            [],
+            " UNION ALL ".join(
+                f"""SELECT CAST({k - 1} AS BIGINT) AS rank, CAST(unicode(p[1]) - {SYMBOLS} AS BIGINT) AS "left",
+                           CAST(unicode(p[2]) - {SYMBOLS} AS BIGINT) AS "right",
+                           CAST({255 + k} AS BIGINT) AS new_id, n FROM m{k}"""
+                for k in range(1, MERGES + 1)
+            ),
+            extra=merge_chain(),
+        ),
+        "doc_token_counts_bpe": query(
+            [],
+            f"""SELECT doc_id, CAST(1 + coalesce(sum(length(c)), 0) AS BIGINT) AS n_tokens
+                FROM documents
+                LEFT JOIN (SELECT doc_id, unnest(regexp_extract_all(text, '{PRETOKEN_PATTERN}')) AS word
+                           FROM documents) USING (doc_id)
+                LEFT JOIN w{MERGES} USING (word) GROUP BY doc_id""",
+            extra=merge_chain(),
+        ),
+        "resumed_layout": query(
+            [*STREAM, "lp", "sched"], f"SELECT * FROM ({LAYOUT}) WHERE step >= {RESUME_STEP}"
+        ),
+        "training_batches": query(
+            [*TOKENS, "lp", "sched"],
+            f"""SELECT rank, micro_step // {GRAD_ACCUM} AS step, micro_step, w % {B} AS row_in_batch,
+                       CAST(sum(h1) AS BIGINT) AS sum_x, CAST(sum(y) AS BIGINT) AS sum_y,
+                       CAST(arg_min(h1, q) AS BIGINT) AS first_id, CAST(arg_max(y, q) AS BIGINT) AS last_id
+                FROM wt JOIN sched ON sched.shard_idx = wt.shard_idx AND w // {B} = pos // {BT}
+                WHERE sched.split = 'train' AND epoch = 0
+                GROUP BY rank, micro_step, wt.shard_idx, w""",
+        ),
+        "written_shards": MANIFEST,
         "doc_token_counts": "SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS n_tokens FROM documents",
         "corpus_totals": f"""
             SELECT count(*) AS n_docs, CAST(sum(len(ids)) AS BIGINT) AS n_tokens,
@@ -327,17 +403,7 @@ def all_sql() -> dict[str, str]:
             """SELECT rank, micro_step, shard_idx, pos FROM sched
                WHERE split = 'val' AND micro_step < 20""",
         ),
-        "step_layout": query(
-            [*STREAM, "lp", "sched"],
-            f"""SELECT rank, micro_step // {GRAD_ACCUM} AS step, count(*) AS n_micro,
-                       count(*) * {BT} AS n_tokens, arg_min(shard_idx, micro_step) AS first_shard,
-                       arg_max(shard_idx, micro_step) AS last_shard,
-                       (micro_step // {GRAD_ACCUM}) % 250 = 0 AS is_val,
-                       (micro_step // {GRAD_ACCUM}) % 10 = 0 AS is_log
-                FROM sched WHERE split = 'train' AND micro_step // {GRAD_ACCUM} <
-                     (SELECT sum(n) FROM shards WHERE split = 'train') // {BATCH_TOKENS}
-                GROUP BY rank, micro_step // {GRAD_ACCUM}""",
-        ),
+        "step_layout": query([*STREAM, "lp", "sched"], LAYOUT),
         "mcq_items": query(
             [*ITEMS, "ch"], "SELECT source, split, item_id, choice_idx, context, choice FROM ch"
         ),
@@ -396,18 +462,9 @@ def all_sql() -> dict[str, str]:
                 GROUP BY epoch, batch""",
             probs=("cnt1", "sft_t"),
         ),
-        "step_loss": query(
-            [*TOKENS, "lp", "sched", "cnt_base", "cnt1", "train_t"],
-            f"""SELECT step, round(avg(loss), 6) AS loss
-                FROM (SELECT micro_step // {GRAD_ACCUM} AS step, rank, avg(loss) AS loss
-                      FROM sched JOIN bl ON bl.shard_idx = sched.shard_idx AND bl.batch = pos // {BT}
-                      WHERE split = 'train' AND micro_step // {GRAD_ACCUM} <
-                            (SELECT sum(n) FROM shards WHERE split = 'train') // {BATCH_TOKENS}
-                      GROUP BY micro_step // {GRAD_ACCUM}, rank)
-                GROUP BY step""",
-            probs=("cnt1", "train_t"),
-            extra=[("bl", BATCH_LOSS.format(targets=joined_probs("train_t")))],
-        ),
+        "step_loss": STEP_LOSS,
+        "step_metrics": f"""
+            SELECT 'pass-0' AS run_id, step, 'train_loss' AS name, loss AS value FROM ({STEP_LOSS})""",
         "choice_scores": query(
             SCORED,
             "SELECT model, source, split, item_id, choice_idx, round(score, 6) AS score FROM sc",
@@ -450,11 +507,22 @@ def all_sql() -> dict[str, str]:
             probs=("cnt3", "choice_t"),
             extra=[SCORES, PREDICTED, ACCURACY],
         ),
+        "stored_results": query(
+            SCORED,
+            "SELECT model, source || ' (' || split || ')' AS dataset, correct, total, accuracy FROM ac",
+            probs=("cnt3", "choice_t"),
+            extra=[SCORES, PREDICTED, ACCURACY],
+        ),
         "user_choice_scores": query(
             [*ITEMS, "ch"],
             f"""SELECT 'user' AS model, source, split, item_id, choice_idx,
-                       round(-list_sum(list_transform(ids, lambda x: ln(x + 2e0))) / len(ids), 6) AS score
-                FROM (SELECT *, {byte_ids("' ' || " + strip('choice'))} AS ids FROM ch)""",
+                       round((-list_sum(list_transform(ids, lambda x: ln(x + 2e0)))
+                              - ln(1e0 + coalesce(list_sum(
+                                    ctx[greatest(1, len(ctx) + len(ids) - {USER_CONTEXT - 1}):len(ctx)]), 0)))
+                             / len(ids), 6) AS score
+                FROM (SELECT *, all_ids[greatest(1, len(all_ids) - {USER_CONTEXT - 1}):len(all_ids)] AS ids
+                      FROM (SELECT *, {byte_ids("' ' || " + strip('choice'))} AS all_ids,
+                                   {byte_ids('context')} AS ctx FROM ch))""",
         ),
         "next_token_topk": next_token(
             "SELECT h, CAST(w AS BIGINT) AS w, rnk, round(p, 9) AS p FROM kept"

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusforge.operators import loader, mcq, metrics, ngram, pack, sft
-from corpusforge.operators.tokenize import BYTES, Tokenizer, tokenize
+from corpusforge.operators.tokenize import BYTES, Tokenizer, check_ids, tokenize
 from corpusforge.session import cut_lineage
 from corpusforge.sources import shards as shard_io
 from corpusforge.sources.corpus import read_documents
@@ -28,7 +32,8 @@ def prepare_shards(
     tokenized = tokenize(read_documents(spark, documents_path), tokenizer)
     if tokenizer.count is None:
         tokenized = cut_lineage(tokenized, "tokens")
-    pieces = pack.shard_pieces(pack.doc_offsets(tokenized, id_bits), shard_size)
+    offsets = check_ids(pack.doc_offsets(tokenized, id_bits), tokenizer.vocab_size)
+    pieces = pack.shard_pieces(offsets, shard_size)
     shard_io.write_shards(pieces, shards_path)
     written = spark.read.schema(shard_io.SHARD_SCHEMA).parquet(shards_path)
     return pack.with_sizes_in_mib(pack.shard_manifest(written, shard_size))
@@ -76,13 +81,22 @@ def validation_loss(
 def evaluate(
     sciq: DataFrame,
     arc: DataFrame,
-    model: ngram.NgramModel,
+    model: ngram.NgramModel | None = None,
     results_path: str | None = None,
     tokenizer: Tokenizer = BYTES,
+    scorers: dict[str, Callable[[pd.DataFrame], pd.Series]] | None = None,
 ) -> DataFrame:
-    """All models, data sets, items and choices in one job; results are appended when asked."""
+    """All models, data sets, items and choices on one board; results are stored when asked.
+
+    ``scorers`` names the user's own models by their scoring functions, see ``mcq.user_scores``.
+    """
     items = mcq.from_sciq(sciq).unionByName(mcq.from_arc(arc))
-    predicted = mcq.predictions(mcq.choice_scores(items, model, tokenizer))
+    scores = [mcq.choice_scores(items, model, tokenizer)] if model is not None else []
+    for name, scorer in (scorers or {}).items():
+        scores.append(mcq.user_scores(items, scorer, name, tokenizer=tokenizer))
+    if not scores:
+        raise ValueError("give a model or scorers")
+    predicted = mcq.predictions(functools.reduce(DataFrame.unionByName, scores))
     board = cut_lineage(mcq.leaderboard(mcq.accuracy(predicted)), "leaderboard")
     if results_path is not None:
         append_results(board, results_path)

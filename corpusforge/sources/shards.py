@@ -18,7 +18,7 @@ def write_shards(pieces: DataFrame, path: str, one_file_per_shard: bool = True)
     """
     rows = pieces
     if one_file_per_shard:
-        rows = rows.repartitionByRange("shard_idx").sortWithinPartitions("split", "shard_idx", "lo")
+        rows = rows.repartition("shard_idx").sortWithinPartitions("split", "shard_idx", "lo")
     rows.write.mode("overwrite").partitionBy("split", "shard_idx").parquet(path)
 
 

@@ -4,7 +4,7 @@ import pytest
 
 from corpusforge.operators import bpe
 from corpusforge.operators.tokenize import BYTES
-from corpusforge.plans import stages
+from corpusforge.plans import catalogue, stages
 from corpusforge.sources import fixtures
 from corpusforge.sources.corpus import read_documents
 from corpusforge.sources.results import read_results
@@ -31,3 +31,5 @@ def test_stages(spark, tmp_path, kind):
     out = str(tmp_path / "results")
     board = stages.evaluate(sciq, arc, model, out, tokenizer)
     assert read_results(spark, out).count() == board.where("total is not null").count() > 0
+    mine = stages.evaluate(sciq, arc, None, tokenizer=tokenizer, scorers={"mine": catalogue.plain_length_scorer})
+    assert {r["model"] for r in mine.collect()} == {"mine", "random baseline"}

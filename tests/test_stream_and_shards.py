@@ -236,3 +236,35 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, tmp_path):
     assert all(r in final for r in full_so_far)
     packer.write_batch(docs.where("doc_id >= 15 and doc_id < 30"), 1, out, size)
     assert streamed() == expected
+
+
+def test_leading_offsets_equal_the_cut_of_all(spark):
+    """Documents before a token, found block by block, are those that the whole stream gives."""
+    rows = [(i * 97, 1 + i % 13) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, n_tokens long")
+    everything = pack.doc_offsets(df).collect()
+    for below in (1, 500, 10_000):
+        some = pack.doc_offsets(df, below=below).collect()
+        assert sorted(some) == sorted(r for r in everything if r["start"] < below)
+
+
+def test_batches_resume_where_they_stopped(spark):
+    """Rows of later steps do not depend on where the run starts; y is x moved on by one id."""
+    ids = list(range(1, 200))
+    piece = (("train", 0, 0, len(ids), len(ids), 0, bytearray(b"".join(i.to_bytes(2, "big") for i in ids))))
+    pieces = spark.createDataFrame(
+        [piece], "split string, shard_idx long, lo long, hi long, shard_len long, doc_id long, tokens binary"
+    )
+    shards = pieces.select("split", "shard_idx", F.col("shard_len").alias("n_tokens"))
+    schedule = loader.loader_schedule(loader.loader_plan(shards, 2, 8, 2), 2, 8, 2, epochs=2)
+    windows = loader.windows(pieces, 2, 8)
+    names = ["rank", "step", "micro_step", "row_in_batch", "x", "y"]
+    whole, later = (
+        [tuple(r) for r in loader.inputs_and_targets(loader.training_batches(windows, schedule, 2, 8, 2, start)).select(names).collect()]
+        for start in (0, 3)
+    )
+    assert sorted(later) == sorted(r for r in whole if r[1] >= 3) and later
+    for rank, step, micro, row, x, y in whole:
+        assert x[1:] == y[:-1] and step == micro // 2
+    first = {(r[0], r[3]): r[4] for r in whole if r[2] == 0}
+    assert first[0, 0] == list(range(1, 9)) and first[1, 1] == list(range(25, 33))
