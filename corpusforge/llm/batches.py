@@ -88,9 +88,13 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values (the splitmix64 finaliser)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    y = x >> np.uint64(30)
+    y ^= x
+    y *= np.uint64(0xBF58476D1CE4E5B9)
+    y ^= y >> np.uint64(27)
+    y *= np.uint64(0x94D049BB133111EB)
+    y ^= y >> np.uint64(31)
+    return y
 
 
 @functools.lru_cache(1)

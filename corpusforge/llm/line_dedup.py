@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from corpusforge.llm import repeats
-from corpusforge.llm.batches import Hashes, heads, mixed, runs_of
+from corpusforge.llm.batches import BASE, Hashes, heads, mixed, runs_of
 
 MAX_EDITS = 2
 MIN_CHARS = 24
@@ -67,7 +67,8 @@ def probes(hashes: Hashes, starts: np.ndarray, ends: np.ndarray, edits: int):
                 fits = np.flatnonzero((at >= 0) & (at + size <= length) & (size > 0))
                 begin = starts[fits] + at[fits]
                 key = hashes.of(begin, begin + size[fits])
-                key = mixed(key + (other[fits] * parts + number).astype(np.uint64))
+                # Anchors are scrambled once more where they are dealt, so a sum tells keys apart here.
+                key += (other[fits] * parts + number).astype(np.uint64) * np.uint64(BASE)
                 rows.append(fits)
                 keys.append(key)
                 own.append(np.full(len(fits), shorter == shift == 0))
@@ -102,7 +103,7 @@ def within(values: np.ndarray, a: np.ndarray, a_end: np.ndarray, b: np.ndarray,
         equal = np.zeros(count, np.int64)
         for d in range(band):
             at = step + d - edits
-            there = values[np.clip(b[:count] + at, 0, len(values) - 1)]
+            there = values[np.minimum(np.maximum(b[:count] + at, 0), len(values) - 1)]
             equal |= ((there == mine) & (at >= 0) & (at < m[:count])).astype(np.int64) << d
         before = None
         for errors in range(edits + 1):

@@ -104,7 +104,7 @@ def anchors_of(table: pa.Table, setup: Setup) -> tuple[Anchors, list[tuple[np.nd
     anchor, context, doc, piece, start, end = (np.concatenate(x) for x in zip(*parts))
     bucket = (anchor % np.uint64(setup.buckets)).astype(np.int64)
     anchor = mixed(anchor) >> np.uint64(64 - 8 * ANCHOR_BYTES)
-    order = np.lexsort((start, piece, doc, context, anchor, bucket))
+    order = np.lexsort((doc, context, anchor, bucket))  # stable: pieces stay in order
     columns = [x[order] for x in (bucket, anchor, context, doc, piece, start, end)]
     first = heads(*columns[:3])
     return Anchors(*columns, runs_of(first), np.flatnonzero(first)), pieces
