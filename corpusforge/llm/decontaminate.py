@@ -33,6 +33,8 @@ QUESTION_SHARE = 2 / 3
 GRAM = 5
 OVERLAP = 0.5
 """Share of the question's and of the answer's word 5-grams that a contaminated document holds."""
+ENTRIES = 1 << 20
+"""Index entries that are looked at together, about."""
 CHUNK_ITEMS = 5_000
 """Items of one index; a larger benchmark is searched chunk by chunk, so no broadcast grows with it."""
 
@@ -54,16 +56,34 @@ def lookup(keys: np.ndarray, found: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Index:
+    """Postings by term and part; those of a term in one block of parts are an entry with its largest impact."""
+
     items: np.ndarray
     terms: np.ndarray  # sorted word hashes
-    impact: np.ndarray  # (terms + 1, parts): BM25 of one occurrence in the query
-    highest: np.ndarray  # (terms + 1, blocks): the largest impact in each block of parts
+    entry_of: np.ndarray  # (terms + 2,): first entry of each term; the last "term" is any other word and has none
+    block: np.ndarray  # block of each entry
+    highest: np.ndarray  # largest impact in each entry
+    posting_of: np.ndarray  # (entries + 1,): first posting of each entry
+    part: np.ndarray  # part of each posting
+    weight: np.ndarray  # BM25 of one occurrence in the query
     least: np.ndarray  # score at which a part is retrieved
     part_item: np.ndarray
     grams: np.ndarray  # sorted hashes of the items' word n-grams
     pairs: np.ndarray  # rows (gram, item, in answer), sorted
     sizes: np.ndarray  # (items, 2): different grams of question and answer
 
+    @property
+    def impact(self) -> np.ndarray:
+        """(terms + 1, parts): the weights as a dense table, for small indexes."""
+        dense = np.zeros((len(self.terms) + 1, len(self.least)), np.float32)
+        dense[np.repeat(np.arange(len(self.terms) + 1), np.diff(self.posting_of[self.entry_of])), self.part] = self.weight
+        return dense
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each range, one range after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
 
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     at = np.arange(max(0, len(words) - size + 1))
@@ -89,23 +109,22 @@ def build_index(ids: list[int], texts: list[str]) -> Index:
             size.append(len(grams))
         sizes.append(size)
     terms = np.unique(words)
-    tf = np.zeros((len(terms) + 1, len(parts)), np.float32)
-    for p, own in enumerate(parts):
-        np.add.at(tf[:, p], lookup(terms, own), 1)
-    df = (tf > 0).sum(axis=1)
+    length = np.array([len(own) for own in parts], np.float64)
+    part_of = np.repeat(np.arange(len(parts)), length.astype(np.int64))
+    keys, tf = np.unique(lookup(terms, words) * max(1, len(parts)) + part_of, return_counts=True)
+    term, part = np.divmod(keys, max(1, len(parts)))
+    df = np.bincount(term, minlength=len(terms))
     idf = np.log(1 + (len(parts) - df + 0.5) / (df + 0.5))
-    length = tf.sum(axis=0)
     norm = K1 * (1 - B + B * length / max(length.mean(), 1)) if len(parts) else length
-    impact = (idf[:, None] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
-    impact[-1] = 0
-    blocks = -(-len(parts) // BLOCK)
-    highest = np.zeros((len(terms) + 1, blocks), np.float32)
-    for b in range(blocks):
-        highest[:, b] = impact[:, b * BLOCK : (b + 1) * BLOCK].max(axis=1)
-    least = RETRIEVE * (impact * tf).sum(axis=0)
+    weight = (idf[term] * tf * (K1 + 1) / (tf + norm[part])).astype(np.float32)
+    least = RETRIEVE * np.bincount(part, weight * tf, len(parts))
+    begin = np.flatnonzero(heads(term, part // BLOCK))
+    highest = np.maximum.reduceat(weight, begin) if len(begin) else weight
+    entry_of = np.searchsorted(term[begin], np.arange(len(terms) + 2))
     rows = np.array(sorted(pairs), np.uint64).reshape(-1, 3)
     return Index(
-        np.array(ids, np.int64), terms, impact, highest, least, np.array(part_item, np.int64),
+        np.array(ids, np.int64), terms, entry_of, part[begin] // BLOCK, highest, np.append(begin, len(part)),
+        part, weight, least, np.array(part_item, np.int64),
         np.unique(rows[:, 0]), rows, np.array(sizes, np.int64).reshape(-1, 2),
     )
 
@@ -113,46 +132,76 @@ def build_index(ids: list[int], texts: list[str]) -> Index:
 def retrieved(index: Index, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(document, part, score) of every passage and part at or above the part's threshold.
 
-    A passage's score in a block of parts is at most the sum of its words' highest impacts there.
-    Running sums give that bound for all passages at once; only blocks whose bound reaches their
-    lowest threshold are scored part by part.
+    A passage is two neighbouring strides of a document. Its score in a block of parts is at most the
+    sum of its words' highest impacts there; only blocks whose bound reaches their lowest threshold
+    are scored part by part, through the postings of that block.
     """
-    term = lookup(index.terms, words)
-    starts = [np.arange(a, max(b - PASSAGE, a) + STRIDE, STRIDE) for a, b in zip(first[:-1], first[1:]) if b > a]
-    if not starts:
+    if not len(index.least):
         return
-    doc = np.repeat(np.flatnonzero(np.diff(first) > 0), [len(s) for s in starts])
-    start = np.concatenate(starts)
-    end = np.minimum(start + PASSAGE, first[doc + 1])
-    start = np.minimum(start, end)
-    for b in range(index.highest.shape[1]):
-        parts = slice(b * BLOCK, (b + 1) * BLOCK)
-        sums = np.concatenate(([0], np.cumsum(index.highest[term, b], dtype=np.float64)))
-        near = np.flatnonzero(sums[end] - sums[start] >= index.least[parts].min() * (1 - 1e-6))
-        for at in range(0, len(near), 4096):
-            rows = near[at : at + 4096]
-            size = end[rows] - start[rows]
-            row = np.repeat(np.arange(len(rows)), size)
-            word = np.repeat(start[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            known = term[word] < len(index.terms)
-            row, word = row[known], word[known]
-            known_words = np.cumsum(index.impact[term[word], parts], axis=0, dtype=np.float64)
-            totals = np.concatenate((np.zeros((1, known_words.shape[1])), known_words))
-            edge = np.searchsorted(row, np.arange(len(rows) + 1))
-            scores = totals[edge[1:]] - totals[edge[:-1]]
-            i, p = np.nonzero(scores >= index.least[parts] * (1 - 1e-9))
-            yield doc[rows[i]], p + b * BLOCK, scores[i, p]
-
-
-def overlaps(index: Index, words: np.ndarray, first: np.ndarray) -> dict[tuple[int, int], list[int]]:
-    """Different question and answer grams of each item that stand in each document."""
+    term = lookup(index.terms, words)
+    strides = -(-np.diff(first) // STRIDE)
+    doc = np.repeat(np.arange(len(strides)), strides)
+    begin = ranges(np.zeros(len(strides), np.int64), strides) * STRIDE + first[doc]
+    n = len(begin)
+    # A document's last stride begins no passage, unless it is the only one.
+    inner = np.append(doc[1:] == doc[:-1], False) if n else np.zeros(0, bool)
+    alone = ~inner & (strides[doc] == 1)
+    asked = np.flatnonzero(inner | alone)
+    known = np.flatnonzero(term < len(index.terms))
+    of_word = np.searchsorted(begin, known, "right") - 1
+    entries = index.entry_of[term[known] + 1] - index.entry_of[term[known]]
+    work = np.concatenate(([0], np.cumsum(np.bincount(of_word, entries, n))))
+    blocks = -(-len(index.least) // BLOCK)
+    lowest = np.minimum.reduceat(index.least, np.arange(0, len(index.least), BLOCK)) * (1 - 1e-6)
+    at = 0
+    while at < n:
+        # Some strides at a time and the one after them, so that the entries held stay few.
+        to = min(max(at + 1, int(np.searchsorted(work, work[at] + ENTRIES, "right")) - 1), at + max(1, ENTRIES // blocks), n)
+        here = slice(*np.searchsorted(of_word, (at, min(to + 1, n))))
+        size = entries[here]
+        entry = ranges(index.entry_of[term[known[here]]], size)
+        cell = np.repeat((of_word[here] - at) * blocks, size) + index.block[entry]
+        bound = np.bincount(cell, index.highest[entry], (to + 1 - at) * blocks).reshape(-1, blocks)
+        own = asked[slice(*np.searchsorted(asked, (at, to)))]
+        second = np.where(inner[own], bound[own - at + 1].T, 0).T
+        row, block = np.nonzero(bound[own - at] + second >= lowest)
+        row = own[row] - at
+        # Both strides of each near passage are scored in its block, each of them once.
+        pair = inner[row + at]
+        needed = np.zeros((to + 1 - at) * blocks, bool)
+        needed[row * blocks + block] = True
+        needed[(row[pair] + 1) * blocks + block[pair]] = True
+        place = np.cumsum(needed) - 1
+        near = needed[cell]
+        entry, cell = entry[near], place[cell[near]]
+        size = index.posting_of[entry + 1] - index.posting_of[entry]
+        posting = ranges(index.posting_of[entry], size)
+        exact = np.bincount(
+            np.repeat(cell * BLOCK, size) + index.part[posting] % BLOCK, index.weight[posting], needed.sum() * BLOCK
+        ).reshape(-1, BLOCK)
+        for k in range(0, len(row), 65_536):
+            r, b = row[k : k + 65_536], block[k : k + 65_536]
+            scores = exact[place[r * blocks + b]]
+            two = inner[r + at]
+            scores[two] += exact[place[(r[two] + 1) * blocks + b[two]]]
+            part = b[:, None] * BLOCK + np.arange(BLOCK)
+            least = np.append(index.least, np.inf)[np.minimum(part, len(index.least))]
+            i, p = np.nonzero(scores >= least * (1 - 1e-9))
+            yield doc[r[i] + at], part[i, p], scores[i, p]
+        at = to
+
+
+def overlaps(index: Index, words: np.ndarray, first: np.ndarray, asked: np.ndarray) -> dict[tuple[int, int], list[int]]:
+    """Different question and answer grams of each item that stand in each of the documents asked for."""
+    sizes = first[asked + 1] - first[asked]
+    words, first = words[ranges(first[asked], sizes)], np.concatenate(([0], np.cumsum(sizes)))
     found = []
     for size in range(1, GRAM + 1):
         grams = gram_hashes(words, size)
         own = np.searchsorted(first, np.arange(len(grams)), "right") - 1
         inside = np.arange(len(grams)) + size <= first[own + 1]
         at = np.flatnonzero(inside & (lookup(index.grams, grams) < len(index.grams)))
-        found.append(np.stack((own[at], grams[at].view(np.int64)), axis=1))
+        found.append(np.stack((asked[own[at]], grams[at].view(np.int64)), axis=1))
     held: dict[tuple[int, int], list[int]] = {}
     for d, g in np.unique(np.concatenate(found), axis=0):
         key = np.uint64(np.int64(g).view(np.uint64))
@@ -174,7 +223,7 @@ def leaks(index: Index, rows: pa.Table) -> pa.RecordBatch:
         for d, i, s, n in zip(doc[edge], item[edge], score[edge], np.diff(np.append(edge, len(doc)))):
             kept = best.setdefault((int(d), int(i)), [0.0, 0])
             kept[0], kept[1] = max(kept[0], float(s)), kept[1] + int(n)
-    held = overlaps(index, words, first) if best else {}
+    held = overlaps(index, words, first, np.unique([d for d, _ in best])) if best else {}
     out = {name: [] for name in ("doc_id", "item_id", "n_passages", "score", "question_overlap", "answer_overlap")}
     for (d, i), (score, n) in sorted(best.items()):
         shares = [h / s if s else None for h, s in zip(held.get((d, i), (0, 0)), index.sizes[i])]
