@@ -185,6 +185,40 @@ def test_simhash_components(spark, monkeypatch):
     assert got[900].f == 0 and got[901].component_id == 900
 
 
+def test_near_copies_leave_the_pipeline(spark, tmp_path):
+    """Against all pairs: five-word shingles, Jaccard similarity of 0.8 or more."""
+    r = random.Random(12)
+    words = [f"w{i}" for i in range(500)]
+    footer = [f"foot{i}" for i in range(30)]
+    texts = [[r.choice(words) for _ in range(r.randint(1, 200))] for _ in range(100)]
+    for i in range(200):
+        near = list(texts[i % 100])
+        for _ in range(r.randint(1, 4)):
+            near[r.randrange(len(near))] = r.choice(words)
+        texts.append(near + footer * (i % 3 == 0))
+    rows = [(i, " ".join(t), None) for i, t in enumerate(texts)] + [(900, "", None), (901, None, None), (None, "W1 w2", None), (902, "w1 w2", None)]
+
+    def shingles(text):
+        own = (text or "").lower().split()
+        return {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))}
+
+    sets = [shingles(t) for _, t, _ in rows]
+    ids = [2**63 - 1 if d is None else d for d, _, _ in rows]
+    label, pairs = list(ids), []
+    for i in range(len(rows)):
+        pairs += [(i, j) for j in range(i) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])]
+    while True:
+        before = list(label)
+        for i, j in pairs:
+            label[i] = label[j] = min(label[i], label[j])
+        if label == before:
+            break
+    assert sum(sets[i] != sets[j] for i, j in pairs) > 50
+    docs = table(spark, rows)
+    kept = corpus_pipeline.one_of_each_group(spark, docs, str(tmp_path)).collect()
+    assert sorted(x.doc_id for x in kept) == sorted(d for d, low in zip(ids, label) if d == low)
+
+
 def test_shards_hold_every_close_pair():
     r = np.random.default_rng(1)
     points = np.unique(r.integers(0, 2**63, 4000).astype(np.uint64))
