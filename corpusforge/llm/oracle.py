@@ -42,4 +42,58 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM v
 """
 
-SQL = {"op2_quality_rules": OP2}
+# Every equal pair of words at a lag of at most a quarter of the text, then islands on each diagonal.
+OP12 = rf"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t),
+d0 AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{BLANK}'), lambda w: w <> '') AS words,
+         xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS h
+  FROM documents, crc),
+d1 AS (SELECT doc_id, words, h, h // 10 AS g, len(words) AS n FROM d0),
+d2 AS (SELECT doc_id, words, n, h % 10 = 0 AND n > 0 AS again, g % greatest(n, 1) AS a, g FROM d1),
+d3 AS (SELECT doc_id, words, n, again, a, 1 + (n - a) // (3 + g % 8) AS p FROM d2),
+w AS (
+  SELECT doc_id, n, i, words[CASE WHEN again AND i >= a THEN a + (i - a) % p ELSE i END + 1] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM d3)),
+m AS (
+  SELECT x.doc_id, x.i, x.i - y.i AS q FROM w AS x JOIN w AS y
+  ON x.doc_id = y.doc_id AND x.word = y.word AND y.i < x.i AND (x.i - y.i) * 4 <= x.n),
+s AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM m),
+r0 AS (SELECT doc_id, q, min(i) - q AS start, count(*) + q AS length FROM s GROUP BY doc_id, q, island),
+r AS (
+  SELECT doc_id, start, length, min(q) AS period FROM r0
+  WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+top AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(concat_ws(',', start, length, period) || chr(10), '' ORDER BY start, period) AS runs,
+         arg_min(struct_pack(start := start, length := length, period := period), (-length, start, period)) AS t
+  FROM r GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS words FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d3.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, t.start::BIGINT AS start, t.length::BIGINT AS length, t.period::BIGINT AS period,
+       (1000 * t.length // t.period)::BIGINT AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256,
+       sha256(coalesce(kept.words, '')) AS collapsed_sha256
+FROM d3 LEFT JOIN top USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+OP13 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS own(turn, role)),
+f AS (
+  SELECT *, '### ' || replace(replace(replace(replace(role, '', '\s'), ':', '\c'), '#', '\h'), '<', '\l') || ': '
+         || replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>') || ' </turn>' || chr(10) AS piece
+  FROM t)
+SELECT conv_id::BIGINT AS conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(piece))::BIGINT AS formatted_chars, count(*) FILTER (role = 'assistant') AS n_examples
+FROM f GROUP BY conv_id
+"""
+
+SQL = {"op2_quality_rules": OP2, "op12_periodic_runs": OP12, "op13_chat_format": OP13}
