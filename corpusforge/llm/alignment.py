@@ -17,31 +17,33 @@ Steps over a corpus:
 
 from __future__ import annotations
 
-import hashlib
+import itertools
+import json
 import math
 import os
+import re
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-import regex
+import public_tokenizers
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from corpusforge.llm.batches import array_of, heads, runs_of, slices
-from corpusforge.llm.bpe_tables import byte_letters
+from corpusforge.llm.batches import array_of, slices
+from corpusforge.llm.bpe_tables import COMMON, byte_letters
 from corpusforge.operators.scoring import join_in_two
 from corpusforge.session import cut_lineage
 
 # Signs that no tokenizer takes for white space; U+2581 stands for a blank in B.
 SOLID = r"[!-~\u00a1-\u167f\u2070-\u2580\u2582-\u2fff\u3001-\ud7ff]"
-CUT = regex.compile(f"(?<={SOLID}) (?={SOLID})")
+CUT = re.compile(f"(?<={SOLID}) (?={SOLID})")
 BLANK_SIGN = "\u2581"
 
-MEMO_PARTS = 200_000
+MEMO_PARTS = 300_000
 MEMO_PART_CHARS = 64
 COUNTED_AT_ONCE = 1 << 21
 MOST_PAIRS = 8_000_000
@@ -63,11 +65,23 @@ class Side:
     def clear(self):
         self.ids, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def add(self, encoded: list[list[int]]):
+    def keep(self, parts: np.ndarray):
+        """Only the given parts, numbered anew."""
+        ids, counts = self.gather(parts)
+        self.ids, self.first = ids, np.concatenate(([0], np.cumsum(counts)))
+
+    def add(self, encoded: list[list[int]], spelled: list[bytes]) -> np.ndarray:
+        """Add the parts; is each spelled byte by byte by its ids?"""
         counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        new = np.fromiter((i for ids in encoded for i in ids), np.int32, int(counts.sum()))
+        flat = list(itertools.chain.from_iterable(encoded))
+        new = np.array(flat, np.int32)
         self.ids = np.concatenate((self.ids, new))
         self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(counts)))
+        sizes = np.add.reduceat(np.append(self.sizes[new], 0), np.cumsum(counts) - counts) * (counts > 0)
+        same = sizes == np.fromiter(map(len, spelled), np.int64, len(spelled))
+        if same.all() and b"".join(map(self.spelled.__getitem__, flat)) == b"".join(spelled):
+            return same
+        return np.array([b"".join(map(self.spelled.__getitem__, ids)) == want for ids, want in zip(encoded, spelled)], bool)
 
     def gather(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the parts one after the other, number of ids of each part)."""
@@ -83,8 +97,15 @@ class Aligner:
         self.a_tool.no_truncation()
         self.a_tool.no_padding()
         self.a_tool.encode_special_tokens = True
-        self.b_tool = sentencepiece.SentencePieceProcessor(model_proto=piece_bpe)
+        # A token's rank is its id: tokens are numbered in the order of their merges.
         value = {letter: byte for byte, letter in enumerate(byte_letters())}
+        model = json.loads(byte_bpe)["model"]
+        made = [model["vocab"][a + b] for a, b in model["merges"]]
+        if made != sorted(made):
+            raise ValueError("ids of merged tokens are not in the order of the merges")
+        ranks = {bytes(map(value.__getitem__, token)): i for token, i in model["vocab"].items()}
+        self.ranks = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.b_tool = sentencepiece.SentencePieceProcessor(model_proto=piece_bpe)
         size = self.a_tool.get_vocab_size()
         special = set(self.a_tool.get_added_tokens_decoder())
         a_names = [self.a_tool.id_to_token(i) or "" for i in range(size)]
@@ -95,36 +116,49 @@ class Aligner:
             b_names.append(bytes([int(piece[3:-1], 16)]) if tool.is_byte(i) else piece.replace(BLANK_SIGN, " ").encode())
         self.b = Side(b_names)
         self.known: dict[str, int] = {}
-        self.same = np.zeros(0, bool)
+        self.same, self.uses = np.zeros(0, bool), np.zeros(0, np.int64)
+
+    def forget(self):
+        """Keep the parts that came more than once since the last time, if they are the fewer."""
+        often = self.uses > 1
+        if 2 * int(often.sum()) > len(self.known):
+            often[:] = False
+        kept = [(part, i) for part, i in self.known.items() if often[i]]
+        old = np.array([i for _, i in kept], np.int64)
+        self.known = {part: i for i, (part, _) in enumerate(kept)}
+        self.same, self.uses = self.same[old], np.zeros(len(old), np.int64)
+        self.a.keep(old)
+        self.b.keep(old)
 
     def numbers(self, parts: list[str]) -> np.ndarray:
         """A number for each part; new parts are encoded by both sides."""
-        if len(self.known) > MEMO_PARTS or len(self.a.ids) > 16 * MEMO_PARTS:
-            self.known, self.same = {}, np.zeros(0, bool)
-            self.a.clear()
-            self.b.clear()
-        known = self.known
-        new = [part for part in dict.fromkeys(parts) if part not in known]
-        if new:
-            known.update(zip(new, range(len(self.same), len(self.same) + len(new))))
-            a = [x.ids for x in self.a_tool.encode_batch_fast([" " + part for part in new], add_special_tokens=False)]
-            b = self.b_tool.encode(new, num_threads=1)
-            same = []
-            for part, x, y in zip(new, a, b):
-                want = b" " + part.encode()
-                same.append(self.spell(self.a, x) == want and self.spell(self.b, y) == want)
-            self.same = np.concatenate((self.same, np.array(same, bool)))
-            self.a.add(a)
-            self.b.add(b)
-        numbers = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
-        for part in new:
-            if len(part) > MEMO_PART_CHARS:  # kept until the next clearing, but not found again
-                del known[part]
+        if len(self.uses) > MEMO_PARTS or len(self.a.ids) > 8 * MEMO_PARTS:
+            self.forget()
+        known, size = self.known, len(self.uses)
+        numbers = np.fromiter(map(known.get, parts, itertools.repeat(-1)), np.int64, len(parts))
+        missed = np.flatnonzero(numbers < 0)
+        new: dict[str, int] = {}
+        if len(missed):
+            numbers[missed] = [new.setdefault(parts[i], size + len(new)) for i in missed.tolist()]
+            spaced = [" " + part for part in new]
+            spelled = list(map(str.encode, spaced))
+            b = self.b_tool.encode(list(new), num_threads=1)
+            same = self.a.add(self.encode_a(spaced), spelled) & self.b.add(b, spelled)
+            self.same = np.concatenate((self.same, same))
+            # A long part is encoded again when it comes back.
+            known.update((part, i) for part, i in new.items() if len(part) <= MEMO_PART_CHARS)
+        uses = np.bincount(numbers, minlength=size + len(new))
+        uses[:size] += self.uses
+        self.uses = uses
         return numbers
 
-    @staticmethod
-    def spell(side: Side, ids: list[int]) -> bytes:
-        return b"".join(map(side.spelled.__getitem__, ids))
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        """Ids of A. Of texts in common letters by ranks, which is faster; else by the tokenizer file."""
+        rare = [text for text in texts if not (text.isascii() or COMMON.fullmatch(text))]
+        if not rare:
+            return list(map(self.ranks.encode_ordinary, texts))
+        found = dict(zip(rare, (x.ids for x in self.a_tool.encode_batch_fast(rare, add_special_tokens=False))))
+        return [found[text] if text in found else self.ranks.encode_ordinary(text) for text in texts]
 
     def align(self, texts: list[str | None]) -> dict[str, list]:
         """The columns of ``SCHEMA`` but doc_id for a batch of texts."""
@@ -146,7 +180,7 @@ class Aligner:
         a_at, b_at = overlaps(a_end - self.a.sizes[a_ids], a_doc, b_end - self.b.sizes[b_ids], b_doc)
         links = (b_ids[b_at].astype(np.uint32) << np.uint32(16)) | a_ids[a_at].astype(np.uint32)
         # A group ends where tokens of both sides end.
-        a_last, b_last = np.isin(a_end, b_end, kind="sort"), np.isin(b_end, a_end, kind="sort")
+        a_last, b_last = among(a_end, b_end), among(b_end, a_end)
         a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
         groups = int(a_last.sum())
         a_before = np.concatenate(([0], np.cumsum(np.bincount(a_group, minlength=groups))))
@@ -170,20 +204,28 @@ class Aligner:
         }
 
 
+def among(values: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Is each value among the others? Both ascend, and the last ones are equal."""
+    return others[np.searchsorted(others, values)] == values if len(values) else np.zeros(0, bool)
+
+
 def overlaps(a_start: np.ndarray, a_doc: np.ndarray, b_start: np.ndarray, b_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place in A, place in B) of all tokens that share bytes, in order of documents.
 
     Of two tokens that overlap, the one that starts later starts inside the other; tokens that start
     together are found in both directions and kept once.
     """
-    a = pd.DataFrame({"start": a_start, "doc": a_doc, "a": np.arange(len(a_start))})
-    b = pd.DataFrame({"start": b_start, "doc": b_doc, "b": np.arange(len(b_start)), "b_start": b_start})
-    into_b = pd.merge_asof(a, b, on="start", by="doc")
-    into_a = pd.merge_asof(b[["start", "doc", "b"]], a.assign(a_start=a_start), on="start", by="doc")
-    into_a = into_a[into_a["a_start"] != into_a["start"]]
-    a_at = np.concatenate((into_b["a"].to_numpy(), into_a["a"].to_numpy())).astype(np.int64)
-    b_at = np.concatenate((into_b["b"].to_numpy(), into_a["b"].to_numpy())).astype(np.int64)
-    order = np.argsort(a_at + b_at, kind="stable")  # a step along either side raises the sum by one
+    a, b = np.arange(len(a_start)), np.arange(len(b_start))
+    a_side = pd.DataFrame({"start": a_start, "doc": a_doc, "other": a}, copy=False)
+    b_side = pd.DataFrame({"start": b_start, "doc": b_doc, "other": b}, copy=False)
+    into_b = pd.merge_asof(a_side[["start", "doc"]], b_side, on="start", by="doc")["other"].to_numpy(np.int64)
+    into_a = pd.merge_asof(b_side[["start", "doc"]], a_side, on="start", by="doc")["other"].to_numpy(np.int64)
+    inside = a_start[into_a] != b_start
+    a_at, b_at = np.concatenate((a, into_a[inside])), np.concatenate((into_b, b[inside]))
+    # A step along either side raises the sum of both places, so it is a place for the link.
+    where = np.full(len(a) + len(b), -1, np.int64)
+    where[a_at + b_at] = np.arange(len(a_at))
+    order = where[where >= 0]
     return a_at[order], b_at[order]
 
 
