@@ -1,21 +1,26 @@
-"""Token sequences as binary columns, two bytes per id.
+"""Token sequences as binary columns, two bytes per id, high byte first.
 
-A sequence is stored as UTF-16BE text whose code points are the ids. That keeps the two bytes
-per token of the usual on-disk format, makes every cut an O(1) ``substring`` on a binary, joins
-sequences with ``concat``/``listagg``, and unpacks to ``ARRAY<INT>`` without any Python.
+That keeps the two bytes per token of the usual on-disk format and every 16-bit id, makes every cut
+an O(1) ``substring`` on a binary, joins sequences with ``concat``/``listagg``, sorts like the ids,
+and unpacks to ``ARRAY<INT>`` without any Python.
 """
 
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import Column, functions as F
 
-# Ids are code points below the UTF-16 surrogate range.
-MAX_VOCAB = 0xD800
+# Ids are 16-bit numbers.
+MAX_VOCAB = 1 << 16
 
 # Byte tokens: ids 0..255 are the byte values, 256 marks the start of a document.
 BYTE_EOT = 256
 BYTE_VOCAB = 257
 
+# A longer text or sequence is cut into parts of this many bytes or ids before it is taken apart.
+PART = 1 << 20
+
 
 def idiv(a: Column, b) -> Column:
     """Exact integer division, truncating."""
@@ -28,7 +33,7 @@ def byte_string(text: Column) -> Column:
 
 
 def pack(chars: Column) -> Column:
-    """String of id code points -> token binary."""
+    """String of id code points -> token binary; for ids below 55,296, where surrogates begin."""
     return F.encode(chars, "UTF-16BE")
 
 
@@ -38,7 +43,7 @@ def byte_tokens(text: Column) -> Column:
 
 
 def const_tokens(*ids: int) -> Column:
-    return F.lit("".join(map(chr, ids)).encode("utf-16-be"))
+    return F.lit(struct.pack(f">{len(ids)}H", *ids))
 
 
 def n_ids(tokens: Column) -> Column:
@@ -57,18 +62,28 @@ def last_ids(tokens: Column, count: int) -> Column:
     )
 
 
+def hex_ids(tokens: Column) -> Column:
+    """The ids as four hex digits each, which sort like the ids."""
+    return F.regexp_extract_all(F.hex(tokens), F.lit("(....)"), F.lit(1))
+
+
+def of_hex(digits: Column) -> Column:
+    return F.conv(digits, 16, 10).cast("int")
+
+
 def ids(tokens: Column) -> Column:
     """Token binary -> ``ARRAY<INT>``."""
-    chars = F.split(F.decode(tokens, "UTF-16BE"), "")
-    return F.when(F.octet_length(tokens) > 0, F.transform(chars, lambda c: F.ascii(c))).otherwise(
-        F.array().cast("array<int>")
-    )
+    return F.transform(hex_ids(tokens), of_hex)
 
 
 def max_id(tokens: Column) -> Column:
     """Largest id of a sequence, -1 when it is empty."""
-    top = F.ascii(F.array_max(F.split(F.decode(tokens, "UTF-16BE"), "")))
-    return F.when(F.octet_length(tokens) > 0, top).otherwise(F.lit(-1))
+    return F.coalesce(of_hex(F.array_max(hex_ids(tokens))), F.lit(-1))
+
+
+def part_numbers(size: Column, part: int = PART) -> Column:
+    """0, 1, .. for the parts of something of ``size`` bytes or ids; one part where it is empty."""
+    return F.sequence(F.lit(0).cast("long"), idiv(F.greatest(size - 1, F.lit(0)).cast("long"), F.lit(part).cast("long")))
 
 
 def id_of(two_bytes: Column) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from corpusforge.functions.codec import PART
+
 # What Python's str.strip removes, as a regular-expression class that Java and
 # RE2 read alike.
 STRIP_CLASS = (
@@ -24,6 +26,22 @@ def pretokens(text: Column, pattern: str = PRETOKEN_PATTERN) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
 
 
+def safe_cut(raw: Column, size: Column, i: Column, part: int = PART) -> Column:
+    """The first byte place from ``i * part`` on where UTF-8 text may be cut; its end if there is none.
+
+    A cut lies before an ASCII blank, tab or line end that follows another sign: there a pre-token
+    begins whatever stands around it. Most texts show one nearby, so a little is looked at first.
+    """
+    at = i * part
+
+    def found(reach: Column) -> Column:
+        near = F.decode(F.substring(raw, at.cast("int"), reach.cast("int")), "ISO-8859-1")
+        return F.nullif(F.regexp_instr(near, F.lit(r"(?<=[^ \t\n\r\f])[ \t\n\r\f]")), F.lit(0))
+
+    place = F.coalesce(*[found(F.lit(reach)) for reach in (4096, part + 1, 16 * part)], found(size))
+    return F.when(i == 0, F.lit(0).cast("long")).when(at >= size, size).otherwise(F.coalesce(at + place - 2, size))
+
+
 def question_context(support: Column, question: Column) -> Column:
     """``support + " " + question``, or the bare question where there is no support."""
     s, q = strip(support), strip(question)

@@ -107,7 +107,7 @@ class NgramModel:
         return NgramModel(counts, self.models, self.vocab_size, self.add, self.weight)
 
     def unigram(self) -> DataFrame:
-        """(w, p0_<model>..) for every id of the vocabulary: at most 55,296 rows."""
+        """(w, p0_<model>..) for every id of the vocabulary: at most 65,536 rows."""
         spark = self.counts.sparkSession
         vocab = spark.range(0, self.vocab_size, 1, 1).select(codec.one_id(F.col("id")).alias("w"))
         c0 = self._sums("c0", w=key_parts(F.col("key"))["w"])

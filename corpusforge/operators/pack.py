@@ -103,9 +103,13 @@ def with_sizes_in_mib(manifest: DataFrame) -> DataFrame:
 
 
 def corpus_totals(tokenized: DataFrame, shard_size: int, vocab_size: int) -> DataFrame:
-    """(n_docs, n_tokens, n_shards, max_id), failing when an id is outside the vocabulary."""
+    """(n_docs, n_tokens, n_shards, max_id), failing when an id is outside the vocabulary.
+
+    Takes the rows of ``tokenize`` or of ``tokenize_parts``.
+    """
+    first = F.col("part") == 0 if "part" in tokenized.columns else F.lit(True)
     summed = tokenized.agg(
-        F.count(F.lit(1)).alias("n_docs"),
+        F.count_if(first).alias("n_docs"),
         F.sum("n_tokens").alias("n_tokens"),
         F.max(codec.max_id(F.col("tokens"))).cast("long").alias("max_id"),
     )

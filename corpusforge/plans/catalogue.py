@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusforge.functions import codec
 from corpusforge.operators import bpe, loader, mcq, metrics, ngram, pack, sft
-from corpusforge.operators.tokenize import BYTES, pretoken_dictionary, token_unigrams, tokenize
+from corpusforge.operators.tokenize import BYTES, pretoken_dictionary, token_unigrams, tokenize, tokenize_parts
 from corpusforge.session import cut_lineage, dealt, shared_dir, spread
 from corpusforge.sources import fixtures, results, shards
 from corpusforge.sources.corpus import read_documents
@@ -126,7 +126,7 @@ def doc_token_counts(spark, sf):
 
 
 def corpus_totals(spark, sf):
-    return pack.corpus_totals(tokenize(spread(documents(spark, sf))), SHARD, BYTES.vocab_size)
+    return pack.corpus_totals(tokenize_parts(spread(documents(spark, sf))), SHARD, BYTES.vocab_size)
 
 
 def doc_offsets(spark, sf):
@@ -146,7 +146,7 @@ def words(spark, sf):
 
 
 def unigrams(spark, sf):
-    return token_unigrams(tokenize(spread(documents(spark, sf))))
+    return token_unigrams(tokenize_parts(spread(documents(spark, sf))))
 
 
 def bpe_merges(spark, sf):

@@ -1,11 +1,16 @@
 """Column expressions against plain Python."""
 
+import random
+import struct
+from collections import Counter
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from corpusforge.functions import codec, text
-from corpusforge.operators.tokenize import check_ids, token_unigrams, tokenize
+from corpusforge.operators import loader, ngram, pack
+from corpusforge.operators.tokenize import check_ids, text_parts, token_unigrams, tokenize, tokenize_parts
 
 TEXTS = ["", "a", "héé\n\t x", "<|endoftext|> plain", "日本 12,3!!  end ", " nb \x1f", "🙂 ok"]
 
@@ -79,3 +84,45 @@ def test_id_guard(spark):
     assert check_ids(rows, 257).count() == 1
     with pytest.raises(Exception, match="outside the vocabulary"):
         check_ids(rows, 256).collect()
+
+
+def test_every_sixteen_bit_id_survives(spark):
+    """Ids in the surrogate range too, through offsets, shards, windows and n-grams."""
+    rng = random.Random(4)
+    texts = {d: [rng.choice([0, 255, 0xD7FF, 0xD800, 0xDBFF, 0xDC00, 0xDFFF, 0xE000, 65_535]) for _ in range(40)] for d in range(3)}
+    rows = [(d, 40, struct.pack(">40H", *ids)) for d, ids in texts.items()]
+    tokenized = spark.createDataFrame(rows, "doc_id long, n_tokens long, tokens binary")
+    got = tokenized.select("doc_id", codec.ids(F.col("tokens")).alias("ids"), codec.max_id(F.col("tokens")).alias("top"))
+    assert {r.doc_id: (r.ids, r.top) for r in got.collect()} == {d: (ids, max(ids)) for d, ids in texts.items()}
+    stream = [i for d in sorted(texts) for i in texts[d]]
+    counted = {r.token_id: r.n for r in token_unigrams(tokenized).collect()}
+    assert counted == Counter(stream)
+    assert check_ids(tokenized, 65_536).count() == 3
+    with pytest.raises(Exception, match="outside the vocabulary"):
+        check_ids(tokenized, 65_535).collect()
+    windows = loader.windows(pack.shard_pieces(pack.doc_offsets(tokenized), 1000), 1, 7)
+    cut = {r.w: r.ids for r in windows.select("w", codec.ids(F.col("tokens")).alias("ids")).collect()}
+    assert cut == {w: stream[w * 7 : w * 7 + 8] for w in range(119 // 7)}
+    grams = ngram.by_context_length(ngram.count_keys(ngram.targets(tokenized)))
+    pairs = Counter((f"{a}", b) for ids in texts.values() for a, b in zip(ids, ids[1:]))
+    assert {(r.h, r.w): r.n for r in grams.where("k = 1").collect()} == pairs
+
+
+@pytest.mark.parametrize("part", [3, 7, 50])
+def test_parts_of_a_text_make_it_up_and_keep_its_pretokens(spark, part):
+    rng = random.Random(part)
+    signs = ["a", "é", " ", "\n", "12", "!", "日", "🙂"]
+    texts = TEXTS + ["".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(150)] + ["x" * 200, "\n" * 40, None]
+    table = docs(spark, texts)
+    for safe in (True, False):
+        joined = {}
+        for r in sorted(text_parts(table, safe, part).collect(), key=lambda r: (r.doc_id, r.part)):
+            joined[r.doc_id] = joined.get(r.doc_id, b"") + bytes(r.raw)
+        assert joined == {i: (t or "").encode() for i, t in enumerate(texts)}
+    parts = text_parts(table, True, part).select(F.explode(text.pretokens(F.decode("raw", "UTF-8"))).alias("w"))
+    whole = table.select(F.explode(text.pretokens(F.col("text"))).alias("w"))
+    assert sorted(map(tuple, parts.groupBy("w").count().collect())) == sorted(map(tuple, whole.groupBy("w").count().collect()))
+    by_part = tokenize_parts(table, part=part).groupBy("doc_id").agg(F.expr("listagg(tokens) within group (order by part)").alias("tokens"))
+    assert by_part.exceptAll(tokenize(table).select("doc_id", "tokens")).count() == 0
+    totals = [pack.corpus_totals(t, 10, 257).first() for t in (tokenize(table), tokenize_parts(table, part=part))]
+    assert totals[0] == totals[1]
