@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusforge.functions import codec
-from corpusforge.functions.text import PRETOKEN_PATTERN, pretokens, safe_cut
+from corpusforge.functions.text import GPT2_PATTERN, PRETOKEN_PATTERN, pretokens, safe_cut
 
 
 @dataclass(frozen=True)
@@ -98,11 +98,11 @@ def token_unigrams(tokenized: DataFrame) -> DataFrame:
 def pretoken_dictionary(docs: DataFrame, pattern: str = PRETOKEN_PATTERN) -> DataFrame:
     """(word, n): every distinct pre-token of the corpus with its count.
 
-    With the default pattern long texts are cut first. Another pattern may look further ahead, so
-    its texts are split whole.
+    With the library's own patterns long texts are cut first. Another pattern may look further
+    around itself, so its texts are split whole.
     """
     text = F.col("text")
-    if pattern == PRETOKEN_PATTERN:
+    if pattern in (PRETOKEN_PATTERN, GPT2_PATTERN):
         docs, text = text_parts(docs.select(F.lit(None).alias("doc_id"), "text")), F.decode(F.col("raw"), "UTF-8")
     return (
         docs.select(F.explode(pretokens(text, pattern)).alias("word"))

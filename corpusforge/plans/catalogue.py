@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusforge.functions import codec
@@ -14,7 +15,7 @@ from corpusforge.operators import bpe, loader, mcq, metrics, ngram, pack, sft
 from corpusforge.operators.tokenize import BYTES, pretoken_dictionary, token_unigrams, tokenize, tokenize_parts
 from corpusforge.session import cut_lineage, dealt, shared_dir, spread
 from corpusforge.sources import fixtures, results, shards
-from corpusforge.sources.corpus import read_documents
+from corpusforge.sources.corpus import read_documents, read_ranks
 from corpusforge.streaming import packer
 
 # Parameters of the catalogue. The SQL twins use the same numbers.
@@ -27,6 +28,8 @@ SFT_WEIGHT = 5
 TOP_K, TEMPERATURE = 5, 1.0
 SEED = 0
 MERGES = 64
+MANY_MERGES = 5_000
+RANK_FILE, GPT2_EOT = "byte_bpe_50k.tiktoken", 50_256
 RESUME_STEP = 100
 USER_CONTEXT = 128
 MODELS = ("base", "finetuned", "sft_only")
@@ -159,6 +162,32 @@ def doc_token_counts_bpe(spark, sf):
     return tokenize(docs, tokenizer).select("doc_id", "n_tokens")
 
 
+def bpe_merges_5k(spark, sf):
+    """A vocabulary of usual size learned from every given text."""
+    return bpe.merges_table(spark, bpe.learn_merges(documents(spark, sf), MANY_MERGES))
+
+
+def _coded(docs, tokenizer):
+    return tokenize(docs, tokenizer).select("doc_id", "n_tokens", F.sha2("tokens", 256).alias("tokens_sha256"))
+
+
+def doc_tokens_bpe_5k(spark, sf):
+    """Every document encoded with the learned vocabulary of usual size."""
+    docs = documents(spark, sf)
+    return _coded(spread(docs), bpe.bpe_tokenizer(bpe.learn_merges(docs, MANY_MERGES)))
+
+
+def gpt2_tokenizer(spark):
+    """The public vocabulary of 50,257 ids: bytes in its own order, the document mark last."""
+    ranks = read_ranks(spark, "file://" + public_tokenizers.path(RANK_FILE))
+    return bpe.vocabulary_tokenizer(bpe.load_ranks(ranks), GPT2_EOT)
+
+
+def doc_tokens_gpt2(spark, sf):
+    """Every document with the ids of the public vocabulary."""
+    return _coded(spread(documents(spark, sf)), gpt2_tokenizer(spark))
+
+
 def stream_manifest(spark, sf):
     """Every given document packed by the streaming job into a fresh folder."""
     out = fresh_folder(spark, "stream")
@@ -415,6 +444,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "token_unigrams": unigrams,
     "bpe_merges": bpe_merges,
     "doc_token_counts_bpe": doc_token_counts_bpe,
+    "bpe_merges_5k": bpe_merges_5k,
+    "doc_tokens_bpe_5k": doc_tokens_bpe_5k,
+    "doc_tokens_gpt2": doc_tokens_gpt2,
     "stream_manifest": stream_manifest,
     "window_summary": window_summary,
     "loader_plan": loader_plan,

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,12 +43,50 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+_scratch: contextvars.ContextVar[str | None] = contextvars.ContextVar("corpusforge_scratch", default=None)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A database in the shared folder for the tables that ``cut_lineage`` writes inside the block.
+
+    It goes with all its tables when the block ends, so a stage leaves only its outputs. What the
+    block returns must have been computed or written before. A block inside another has its own.
+    """
+    name = f"corpusforge_{uuid.uuid4().hex}"
+    place = f"{shared_dir(spark).rstrip('/')}/corpusforge/{name}".replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{place}'")
+    token = _scratch.set(name)
+    try:
+        yield name
+    finally:
+        _scratch.reset(token)
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def scratch_table(df: DataFrame, name: str) -> str:
+    """Write ``df`` as a table of the scratch database around; its name, for ``drop_table``."""
+    database = _scratch.get()
+    if database is None:
+        raise RuntimeError("use scratch_table inside scratch()")
+    table = f"{database}.{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    df.write.format("parquet").saveAsTable(table)
+    return table
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    spark.sql(f"DROP TABLE {table}")
+
+
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from that table.
 
     The table outlives executors, later plans start from it, and its size is known to Spark when
-    it chooses between a broadcast and a shuffle.
+    it chooses between a broadcast and a shuffle. Inside ``scratch`` it goes with the block; outside
+    it stays, since a returned plan may still read it.
     """
+    if _scratch.get() is not None:
+        return df.sparkSession.table(scratch_table(df, name))
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/corpusforge/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

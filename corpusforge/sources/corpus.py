@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 # Schemas are stated, so that opening a table costs no job.
@@ -32,3 +32,11 @@ def read_arc(spark: SparkSession, path: str, split: str | None = None) -> DataFr
     """Question rows with nested choices and an answer key, of one split or all."""
     rows = spark.read.schema(ARC).parquet(path)
     return rows if split is None else rows.where(rows.split == split)
+
+
+def read_ranks(spark: SparkSession, path: str) -> DataFrame:
+    """(token, id) of a public rank file: one line per token, its bytes in base 64, a blank, its id."""
+    parts = F.split("value", " ")
+    return spark.read.text(path).where("value != ''").select(
+        F.unbase64(parts[0]).alias("token"), parts[1].cast("int").alias("id")
+    )

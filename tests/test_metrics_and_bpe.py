@@ -69,10 +69,11 @@ def corpus(spark, seed):
     return texts, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
 
 
-@pytest.mark.parametrize("seed, rewrite_every, look", [(0, 64, 256), (1, 3, 4), (2, 1, 2)])
-def test_merges_equal_the_sequential_learner(spark, seed, rewrite_every, look):
+@pytest.mark.parametrize("seed, look, most", [(0, 4096, 10**6), (1, 4, 10**6), (2, 1, 10**6), (3, 64, 30), (4, 8, 60)])
+def test_merges_equal_the_sequential_learner(spark, seed, look, most):
+    """In one round, in rounds of few pairs, pair by pair, and with a bound that halves the rounds."""
     texts, docs = corpus(spark, seed)
-    got = bpe.learn_merges(docs, 25, rewrite_every=rewrite_every, look=look)
+    got = bpe.learn_merges(docs, 25, look=look, most_symbols=most)
     assert got == sequential_merges(texts, 25)
 
 
