@@ -155,6 +155,17 @@ def val_batches(
     ).select("rank", "micro_step", "shard_idx", "pos")
 
 
+def scheduled_windows(
+    window_rows: DataFrame, schedule: DataFrame, batch_size: int, seq_len: int
+) -> DataFrame:
+    """The windows that the schedule reads, each once; others go before anything is made of them."""
+    batch = idiv(F.col("pos"), F.lit(batch_size * seq_len).cast("long")).alias("_batch")
+    read = schedule.select("shard_idx", batch).distinct()
+    place = place_of_window(F.col("w"), batch_size, 1)
+    rows = window_rows.withColumn("_batch", place["batch"])
+    return rows.join(read, ["shard_idx", "_batch"], "left_semi").drop("_batch")
+
+
 def training_batches(
     window_rows: DataFrame,
     schedule: DataFrame,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusforge.functions import codec
 from corpusforge.functions.text import answer_text, question_context, strip
-from corpusforge.operators.ngram import CONTEXT, ROUND_FOR_RANK, NgramModel
+from corpusforge.operators.ngram import CONTEXT, NgramModel
 from corpusforge.operators.scoring import score_units
 from corpusforge.operators.tokenize import BYTES, Tokenizer
 
@@ -18,6 +18,8 @@ DIGIT_LABELS = {"1": "A", "2": "B", "3": "C", "4": "D"}
 
 RANDOM_BASELINE = 0.25
 FIRST_EXAMPLES = 500
+# Scores tie where they agree to this many decimals.
+SCORE_DECIMALS = 12
 
 
 def from_sciq(rows: DataFrame, source: str = "sciq") -> DataFrame:
@@ -165,7 +167,7 @@ def predictions(scores: DataFrame) -> DataFrame:
     Scores are rounded so that equal scores tie; an unresolved gold label is never a hit.
     """
     rank = F.struct(
-        F.round("score", ROUND_FOR_RANK).alias("s"), (-F.col("choice_idx")).alias("back")
+        F.round("score", SCORE_DECIMALS).alias("s"), (-F.col("choice_idx")).alias("back")
     )
     pred = F.col("pred_idx")
     return (

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from corpusforge.functions import codec
 from corpusforge.session import cut_lineage
@@ -17,7 +17,8 @@ from corpusforge.session import cut_lineage
 ADD = 1.0
 LAMBDA = 0.7
 CONTEXT = 2
-ROUND_FOR_RANK = 12
+# Probabilities tie where their logarithms agree to this many decimals, however small they are.
+LOG_DECIMALS = 10
 
 
 def key_parts(key: Column) -> dict[str, Column]:
@@ -208,7 +209,7 @@ class NgramModel:
             return (
                 df.withColumn("_place", place)
                 .withColumn("_kth", F.min(F.when(F.col("_place") <= k, F.col(score))).over(group))
-                .where(F.col(score) >= F.col("_kth") - 1e-9)
+                .where(F.col(score) >= F.col("_kth") * (1 - 1e-9))
                 .drop("_place", "_kth")
             )
 
@@ -231,7 +232,7 @@ class NgramModel:
         scored = one.two_token_level(one.one_token_level(triples))
 
         group = Window.partitionBy("context")
-        order = F.desc(F.round(F.col(p2), ROUND_FOR_RANK))
+        order = F.desc(rank_value(F.col(p2)))
         kept = scored.withColumn("rnk", F.rank().over(group.orderBy(order)).cast("long")).where(
             F.col("rnk") <= k
         )
@@ -243,9 +244,28 @@ class NgramModel:
         )
 
 
-def fit(counts: DataFrame, models: tuple[str, ...], vocab_size: int) -> NgramModel:
-    """Write the counts once, as training leaves a checkpoint, and build the model on that table."""
-    return NgramModel(cut_lineage(counts, "ngram-counts"), models, vocab_size)
+def fit(
+    counts: DataFrame, models: tuple[str, ...], vocab_size: int, path: str | None = None
+) -> NgramModel:
+    """Write the counts once, as training leaves a checkpoint, and build the model on that table.
+
+    ``path`` names the checkpoint; without one it is an intermediate table.
+    """
+    if path is None:
+        return NgramModel(cut_lineage(counts, "ngram-counts"), models, vocab_size)
+    counts.write.mode("overwrite").parquet(path)
+    return load_model(counts.sparkSession, path, models, vocab_size)
+
+
+def load_model(spark: SparkSession, path: str, models: tuple[str, ...], vocab_size: int) -> NgramModel:
+    """A model from the counts that ``fit`` wrote."""
+    schema = ", ".join(["key binary", *[f"{m} long" for m in models]])
+    return NgramModel(spark.read.schema(schema).parquet(path), models, vocab_size)
+
+
+def rank_value(p: Column) -> Column:
+    """What probabilities are ranked by: equal for values that differ by rounding alone."""
+    return F.round(F.log(p), LOG_DECIMALS)
 
 
 def unit_draw(*parts: Column) -> Column:
@@ -257,7 +277,7 @@ def unit_draw(*parts: Column) -> Column:
 def next_token_draw(distribution: DataFrame, seed: int) -> DataFrame:
     """(context, w): one draw per context by inverse distribution function."""
     group = Window.partitionBy("context")
-    order = group.orderBy(F.desc(F.round("p", ROUND_FOR_RANK)), "w")
+    order = group.orderBy(F.desc(rank_value(F.col("p"))), "w")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     u = unit_draw(F.lit(str(seed)), context_string(F.col("context")))
     passed = (F.col("cdf") > u) | (F.col("_place") == F.col("_size"))

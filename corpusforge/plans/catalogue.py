@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -13,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusforge.functions import codec
 from corpusforge.operators import bpe, loader, mcq, metrics, ngram, pack, sft
 from corpusforge.operators.tokenize import BYTES, pretoken_dictionary, token_unigrams, tokenize, tokenize_parts
+from corpusforge.plans import stages
 from corpusforge.session import cut_lineage, dealt, shared_dir, spread
-from corpusforge.sources import fixtures, results, shards
+from corpusforge.sources import batches, fixtures, results, shards
 from corpusforge.sources.corpus import read_documents, read_ranks
 from corpusforge.streaming import packer
 
@@ -237,10 +239,20 @@ def written_shards(spark, sf):
     """The manifest of shards written to a fresh folder and read back, both splits."""
     out = fresh_folder(spark, "shards")
     shards.write_shards(pieces(spark, sf), out)
-    both = spark.read.schema(shards.SHARD_SCHEMA).parquet(out)
+    both = shards.read_shards(spark, out, "train").unionByName(shards.read_shards(spark, out, "val"))
     return pack.shard_manifest(both, SHARD)
 
 
+def stored_batches(spark, sf):
+    """The batches of every rank written by the stage and read back rank by rank."""
+    folder, out = fresh_folder(spark, "shards"), fresh_folder(spark, "batches")
+    shards.write_shards(pieces(spark, sf), folder)
+    stages.training_batches(spark, folder, out, B, T, RANKS, BATCH_TOKENS, epochs=1)
+    ranks = [batches.read_batches(spark, out, rank).withColumn("rank", F.lit(rank).cast("long")) for rank in range(RANKS)]
+    rows = functools.reduce(DataFrame.unionByName, ranks)
+    return loader.window_summary(rows, ("rank", "step", "micro_step", "row_in_batch"))
+
+
 # --- questions ---------------------------------------------------------------------------
 
 
@@ -313,8 +325,9 @@ def val_loss_ppl(spark, sf):
 
 def val_loss_steps(spark, sf):
     model = all_models(spark, sf)
-    schedule = loader.val_batches(plan(spark, sf, "val"), B, T, RANKS)
-    losses = metrics.batch_losses(windows(spark, sf, "val"), B, model)
+    schedule = cut_lineage(loader.val_batches(plan(spark, sf, "val"), B, T, RANKS), "val-schedule")
+    rows = loader.scheduled_windows(windows(spark, sf, "val"), schedule, B, T)
+    losses = metrics.batch_losses(rows, B, model)
     at = metrics.scheduled_losses(losses, schedule, B, T)
     return _rounded(metrics.stepped_val_loss(at, MODELS), "loss", "ppl")
 
@@ -381,10 +394,12 @@ def stored_results(spark, sf):
 
 
 def step_metrics(spark, sf):
-    """The losses by step appended as one run's metric and read back."""
+    """The losses by step stored twice as one run's metric, as by a retry, and read back."""
     out = fresh_folder(spark, "metrics")
-    results.append_metrics(step_loss(spark, sf).withColumnRenamed("loss", "value"), out, "pass-0", "train_loss")
-    return results.read_metrics(spark, out).drop("ts")
+    values = cut_lineage(step_loss(spark, sf).withColumnRenamed("loss", "value"), "step-losses")
+    for _ in range(2):
+        results.write_metrics(values, out, "train_loss", "pass-0")
+    return results.read_metrics(spark, out, "train_loss").drop("ts")
 
 
 def plain_length_scorer(batch: pd.DataFrame) -> pd.Series:
@@ -433,6 +448,14 @@ def run_throughput(spark, sf):
     return _rounded(rows, "tokens_per_sec", "ms_per_step")
 
 
+def stored_throughput(spark, sf):
+    """The given runs' losses stored as metrics by the stage, and their throughput read from there."""
+    out = fresh_folder(spark, "metrics")
+    stages.record_runs(fixtures.run_log(spark.read.parquet(f"{sf}/events.parquet")), out)
+    rows = stages.throughput_of(spark, out, BATCH_TOKENS)
+    return _rounded(rows.withColumn("run_id", F.col("run_id").cast("long")), "tokens_per_sec", "ms_per_step")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "doc_token_counts": doc_token_counts,
     "corpus_totals": corpus_totals,
@@ -456,6 +479,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resumed_layout": resumed_layout,
     "training_batches": training_batches,
     "written_shards": written_shards,
+    "stored_batches": stored_batches,
     "mcq_items": mcq_items,
     "mcq_labels": mcq_labels,
     "split_counts": split_counts,
@@ -479,4 +503,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "next_token_topk": next_token_topk,
     "next_token_draw": next_token_draw,
     "run_throughput": run_throughput,
+    "stored_throughput": stored_throughput,
 }

@@ -259,7 +259,7 @@ KEPT = (
     "kept",
     f"""SELECT h, y AS w, r AS rnk, exp(ln(p)) / sum(exp(ln(p))) OVER (PARTITION BY h) AS p
         FROM (SELECT concat_ws(' ', h2, h1) AS h, y, p,
-                     rank() OVER (PARTITION BY h2, h1 ORDER BY round(p, 12) DESC) AS r FROM pr)
+                     rank() OVER (PARTITION BY h2, h1 ORDER BY round(ln(p), 10) DESC) AS r FROM pr)
         WHERE r <= {TOP_K}""",
 )
 
@@ -305,6 +305,26 @@ STEP_LOSS = query(
     extra=[("bl", BATCH_LOSS.format(targets=joined_probs("train_t")))],
 )
 
+TRAINING_BATCHES = query(
+    [*TOKENS, "lp", "sched"],
+    f"""SELECT rank, micro_step // {GRAD_ACCUM} AS step, micro_step, w % {B} AS row_in_batch,
+               CAST(sum(h1) AS BIGINT) AS sum_x, CAST(sum(y) AS BIGINT) AS sum_y,
+               CAST(arg_min(h1, q) AS BIGINT) AS first_id, CAST(arg_max(y, q) AS BIGINT) AS last_id
+        FROM wt JOIN sched ON sched.shard_idx = wt.shard_idx AND w // {B} = pos // {BT}
+        WHERE sched.split = 'train' AND epoch = 0
+        GROUP BY rank, micro_step, wt.shard_idx, w""",
+)
+
+RUN_THROUGHPUT = f"""
+    SELECT run_id, step, round({BATCH_TOKENS * 10}e0 / dt, 6) AS tokens_per_sec,
+           round(dt / 10e0 * 1000e0, 6) AS ms_per_step
+    FROM (SELECT run_id, step,
+                 (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY run_id ORDER BY step)) / 1e6 AS dt
+          FROM (SELECT user_id AS run_id, ts,
+                       row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS step
+                FROM events)
+          WHERE step % 10 = 0)"""
+
 # A symbol is its id beyond this code point, so that no byte is a control sign in SQL text.
 SYMBOLS = 1024
 
@@ -351,15 +371,8 @@ def all_sql() -> dict[str, str]:
         "resumed_layout": query(
             [*STREAM, "lp", "sched"], f"SELECT * FROM ({LAYOUT}) WHERE step >= {RESUME_STEP}"
         ),
-        "training_batches": query(
-            [*TOKENS, "lp", "sched"],
-            f"""SELECT rank, micro_step // {GRAD_ACCUM} AS step, micro_step, w % {B} AS row_in_batch,
-                       CAST(sum(h1) AS BIGINT) AS sum_x, CAST(sum(y) AS BIGINT) AS sum_y,
-                       CAST(arg_min(h1, q) AS BIGINT) AS first_id, CAST(arg_max(y, q) AS BIGINT) AS last_id
-                FROM wt JOIN sched ON sched.shard_idx = wt.shard_idx AND w // {B} = pos // {BT}
-                WHERE sched.split = 'train' AND epoch = 0
-                GROUP BY rank, micro_step, wt.shard_idx, w""",
-        ),
+        "training_batches": TRAINING_BATCHES,
+        "stored_batches": TRAINING_BATCHES,
         "written_shards": MANIFEST,
         "doc_token_counts": "SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS n_tokens FROM documents",
         "corpus_totals": f"""
@@ -533,17 +546,10 @@ def all_sql() -> dict[str, str]:
                              count(*) OVER (PARTITION BY h) AS size,
                              CAST('0x' || substr(md5('{SEED}:' || h), 1, 13) AS BIGINT) / 4503599627370496e0 AS u
                       FROM kept
-                      WINDOW s AS (PARTITION BY h ORDER BY round(p, 12) DESC, w
+                      WINDOW s AS (PARTITION BY h ORDER BY round(ln(p), 10) DESC, w
                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
                 WHERE cdf > u OR place = size GROUP BY h"""
         ),
-        "run_throughput": f"""
-            SELECT run_id, step, round({BATCH_TOKENS * 10}e0 / dt, 6) AS tokens_per_sec,
-                   round(dt / 10e0 * 1000e0, 6) AS ms_per_step
-            FROM (SELECT run_id, step,
-                         (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY run_id ORDER BY step)) / 1e6 AS dt
-                  FROM (SELECT user_id AS run_id, ts,
-                               row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS step
-                        FROM events)
-                  WHERE step % 10 = 0)""",
+        "run_throughput": RUN_THROUGHPUT,
+        "stored_throughput": RUN_THROUGHPUT,
     }

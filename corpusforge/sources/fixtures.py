@@ -14,7 +14,7 @@ BENCHMARK = "item_id bigint, text string"
 
 SENTENCE_END = r"[.!?\n]+"
 WORD_GAP = r"[ \t\n\r\f]+"
-SYSTEM_SALTS = 16
+TURN_BLOCK_BITS = 12
 
 
 def _places(turns: DataFrame) -> DataFrame:
@@ -38,27 +38,25 @@ def sciq_shaped(conversations: DataFrame) -> DataFrame:
     Question = the user's text, support = the conversation's system text or nothing, correct
     answer = the sentence, distractors = the next three rows' sentences in row order (the last
     three rows have too few and are dropped). Turns meet on (conversation, turn) and system texts
-    on (conversation, salt), so one huge conversation is spread like many small ones.
+    on (conversation, block of turns), once per block that has an answer, so one huge conversation
+    is spread like many small ones.
     """
     turns = conversations.select("conv_id", "turn", "role", "text")
     asked = turns.where("role = 'user'").select(
         "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("question")
     )
-    salt = (F.col("turn") % SYSTEM_SALTS).alias("_salt")
-    system = (
-        turns.where("role = 'system'")
-        .groupBy("conv_id")
-        .agg(F.min_by("text", "turn").alias("support"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SYSTEM_SALTS - 1))))
-    )
+    block = F.shiftright("turn", TURN_BLOCK_BITS)
+    system = turns.where("role = 'system'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("support"))
     sentences = F.filter(
         F.transform(F.split("text", SENTENCE_END), strip), lambda s: s != ""
     )
     answers = turns.where("role = 'assistant'").join(asked, ["conv_id", "turn"])
+    blocks = turns.where("role = 'assistant'").select("conv_id", block.alias("_block")).distinct()
+    system = blocks.join(system, "conv_id")
     rows = (
         answers.join(_places(answers.select("conv_id", "turn", F.size(sentences).alias("_n"))), ["conv_id", "turn"])
-        .withColumn("_salt", salt)
-        .join(system, ["conv_id", "_salt"], "left")
+        .withColumn("_block", block)
+        .join(system, ["conv_id", "_block"], "left")
         .select(
             "conv_id", "turn", "question", "support", "_place",
             F.posexplode(sentences).alias("_s", "correct_answer"),

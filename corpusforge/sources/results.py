@@ -1,4 +1,4 @@
-"""Result tables, one set of rows per model, and append-only metric tables."""
+"""Result tables, one set of rows per model, and metric tables, one set of rows per run and name."""
 
 from __future__ import annotations
 
@@ -21,16 +21,27 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("model", "dataset", "correct", "total", "accuracy")
 
 
-def append_metrics(values: DataFrame, path: str, run_id: str, name: str) -> None:
-    """Append rows of (step, value) under a run and a metric name."""
-    values.select(
-        F.lit(run_id).alias("run_id"),
-        F.col("step").cast("long"),
-        F.current_timestamp().alias("ts"),
+def write_metrics(values: DataFrame, path: str, name: str, run_id: str | None = None) -> None:
+    """Write rows of (step, value) under a run and a metric name, in place of those written before.
+
+    So a repeated or restarted write leaves one set of rows. ``run_id`` may be a column of the values
+    instead; ``ts`` is the time of writing unless the values have one.
+    """
+    run = F.col("run_id").cast("string") if run_id is None else F.lit(run_id)
+    ts = F.col("ts").cast("timestamp") if "ts" in values.columns else F.current_timestamp()
+    rows = values.select(
+        run.alias("run_id"),
         F.lit(name).alias("name"),
+        F.col("step").cast("long"),
+        ts.alias("ts"),
         F.col("value").cast("double"),
-    ).write.mode("append").parquet(path)
+    )
+    rows.repartition("run_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "name", "run_id"
+    ).parquet(path)
 
 
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(METRIC_SCHEMA).parquet(path)
+def read_metrics(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
+    """(run_id, step, ts, name, value), of one metric or all; other metrics are not read."""
+    rows = spark.read.schema(METRIC_SCHEMA).parquet(path)
+    return rows if name is None else rows.where(F.col("name") == name)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusforge.operators.pack import DEFAULT_SHARD_SIZE, ID_BITS, doc_offsets, shard_manifest, shard_pieces
 from corpusforge.operators.tokenize import BYTES, Tokenizer, tokenize
+from corpusforge.session import scratch
 from corpusforge.sources.corpus import DOCUMENTS
 
-LEDGER = "batch_id long, n_tokens long"
+LEDGER = "batch_id long, before long, n_tokens long"
 PIECES = "shard_idx long, lo long, hi long, doc_id long, tokens binary, batch_id long"
 
 
@@ -22,12 +24,27 @@ def read_document_stream(
     return reader.parquet(path)
 
 
-def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """All batches written so far, or no rows before the first."""
-    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(files):
+def _table(spark: SparkSession, path: str, schema: str, base: str | None = None) -> DataFrame:
+    """The rows under a folder, or none where the folder is missing."""
+    try:
+        return spark.read.schema(schema).option("basePath", base or path).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+
+
+def tokens_before(spark: SparkSession, out: str, batch_id: int) -> int:
+    """Where a batch begins in the stream.
+
+    A ledger row holds the running total, so the row of the batch before tells it, whatever ran
+    earlier. Where that number was never written, the last row below is looked up in the ledger.
+    """
+    ledger = f"{out}/ledger"
+    rows = _table(spark, f"{ledger}/batch_id={batch_id - 1}", LEDGER, ledger).collect() if batch_id else []
+    if not rows and batch_id:
+        rows = _table(spark, ledger, LEDGER).where(F.col("batch_id") < batch_id).orderBy(F.desc("batch_id")).limit(1).collect()
+    return rows[0]["before"] + rows[0]["n_tokens"] if rows else 0
 
 
 def write_batch(
@@ -40,26 +57,23 @@ def write_batch(
 ) -> None:
     """Cut one micro-batch behind all earlier ones and write it under its batch number.
 
-    The place of the batch in the stream is the ledger's sum over smaller batch numbers, so a
-    replayed batch lands on the same tokens and overwrites its own folders. The pieces go first;
-    the ledger row, read back from their lengths, completes the batch.
+    The ledger row of the batch before says where the batch begins, so a replayed batch lands on the
+    same tokens and overwrites its own folders. The pieces go first; the ledger row, read back from
+    their lengths, completes the batch. A batch reads its own documents and one ledger row, however
+    many batches came before, and its intermediate tables go with it.
     """
     spark = batch.sparkSession
-    ledger = _table(spark, f"{out}/ledger", LEDGER)
-    before = ledger.where(F.col("batch_id") < batch_id).agg(
-        F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("s")
-    ).first()["s"]
-    offsets = doc_offsets(tokenize(batch, tokenizer), id_bits)
-    moved = offsets.withColumn("start", F.col("start") + before).withColumn(
-        "total", F.col("total") + before
-    )
-    pieces = shard_pieces(moved, shard_size).select("shard_idx", "lo", "hi", "doc_id", "tokens")
+    before = tokens_before(spark, out, batch_id)
     target = f"{out}/pieces/batch_id={batch_id}"
-    pieces.write.mode("overwrite").parquet(target)
+    with scratch(spark):
+        offsets = doc_offsets(tokenize(batch, tokenizer), id_bits)
+        moved = offsets.withColumn("start", F.col("start") + before).withColumn("total", F.col("total") + before)
+        pieces = shard_pieces(moved, shard_size).select("shard_idx", "lo", "hi", "doc_id", "tokens")
+        pieces.write.mode("overwrite").parquet(target)
     written = spark.read.schema(PIECES).parquet(target)
-    written.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo")), F.lit(0)).alias("n_tokens")).coalesce(
-        1
-    ).write.mode("overwrite").parquet(f"{out}/ledger/batch_id={batch_id}")
+    n_tokens = F.coalesce(F.sum(F.col("hi") - F.col("lo")), F.lit(0)).alias("n_tokens")
+    row = written.agg(n_tokens).select(F.lit(before).cast("long").alias("before"), "n_tokens")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{out}/ledger/batch_id={batch_id}")
 
 
 def pack_stream(

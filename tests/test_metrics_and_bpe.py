@@ -11,6 +11,7 @@ from corpusforge.functions import codec
 from corpusforge.functions.text import PRETOKEN_PATTERN
 from corpusforge.operators import bpe, metrics
 from corpusforge.operators.tokenize import tokenize
+from corpusforge.plans import stages
 from corpusforge.sources import results
 
 
@@ -28,12 +29,28 @@ def test_step_loss_is_a_mean_of_rank_means(spark):
     assert got == {0: 4.0, 1: 5.0}
 
 
-def test_metric_rows_are_appended(spark, tmp_path):
+def test_a_repeated_write_leaves_one_set_of_metric_rows(spark, tmp_path):
+    path = str(tmp_path / "m")
     values = spark.createDataFrame([(0, 1.5), (10, 1.25)], "step long, value double")
-    for name in ("loss", "ppl"):
-        results.append_metrics(values, str(tmp_path / "m"), "run", name)
-    rows = results.read_metrics(spark, str(tmp_path / "m"))
-    assert rows.count() == 4 and rows.where("name = 'ppl' and step = 10").first()["value"] == 1.25
+    for name in ("loss", "ppl", "loss"):
+        for run in ("a", "b"):
+            results.write_metrics(values, path, name, run)
+    assert results.read_metrics(spark, path).count() == 8
+    assert results.read_metrics(spark, path, "ppl").where("run_id = 'a' and step = 10").first()["value"] == 1.25
+    results.write_metrics(values.where("step = 0"), path, "loss", "a")  # a shorter retry replaces its run alone
+    got = {(r.run_id, r.step) for r in results.read_metrics(spark, path, "loss").collect()}
+    assert got == {("a", 0), ("b", 0), ("b", 10)}
+    plan = results.read_metrics(spark, path, "ppl")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(name" in plan
+
+
+def test_stored_runs_give_their_throughput(spark, tmp_path):
+    rows = [(run, s, f"2024-01-01 00:00:{s + run:02d}", 1.0) for run in (1, 2) for s in range(25)]
+    log = spark.createDataFrame(rows, "run_id long, step long, ts string, loss double").withColumn("ts", F.to_timestamp("ts"))
+    for _ in range(2):
+        stages.record_runs(log, str(tmp_path / "m"))
+    got = stages.throughput_of(spark, str(tmp_path / "m"), 50).collect()
+    assert sorted((r.run_id, r.step, r.tokens_per_sec) for r in got if r.step) == [(run, s, 50.0) for run in "12" for s in (10, 20)]
 
 
 def sequential_merges(texts, n_merges):

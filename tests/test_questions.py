@@ -166,7 +166,7 @@ def test_next_tokens_against_brute_force(spark, top_k, temperature):
     rows = make_model(spark, CORPUS).next_token_topk(df, "base", top_k, temperature).collect()
     for ctx in contexts:
         mine = {int.from_bytes(r["w"], "big"): r["p"] for r in rows if bytes(r["context"])[1::2] == ctx}
-        logits = {w: round(math.exp(brute_logp(counts, list(ctx), w, 257)), 12) for w in range(257)}
+        logits = {w: math.exp(round(brute_logp(counts, list(ctx), w, 257), 10)) for w in range(257)}
         kth = sorted(logits.values(), reverse=True)[(top_k or 257) - 1]
         kept = {w: p ** (1 / temperature) for w, p in logits.items() if p >= kth}
         assert set(mine) == set(kept) and sum(mine.values()) == pytest.approx(1.0)
@@ -174,6 +174,18 @@ def test_next_tokens_against_brute_force(spark, top_k, temperature):
             assert p == pytest.approx(kept[w] / sum(kept.values()), rel=1e-6)
 
 
+def test_tiny_probabilities_rank_apart(spark):
+    """Far below any fixed number of decimals: about 1e-13 for the rarer tokens."""
+    key = lambda w: bytearray([0, 9, 0, w])
+    counts = spark.createDataFrame([(key(1), 10**13), (key(2), 3), (key(3), 2), (key(4), 2), (key(5), 1)], "key binary, base long")
+    model = ngram.NgramModel(counts, ("base",), 20)
+    contexts = spark.createDataFrame([(bytearray(),)], "context binary")
+    ranked = {r["w"][1]: r["rnk"] for r in model.next_token_topk(contexts, "base", 5).collect()}
+    assert ranked == {1: 1, 2: 2, 3: 3, 4: 3, 5: 5}
+    rows = model.next_token_topk(contexts, "base", None).collect()
+    assert len(rows) == 20 and max(r["rnk"] for r in rows) == 6
+
+
 def test_draws_follow_the_distribution(spark):
     dist = spark.createDataFrame(
         [(bytearray(i.to_bytes(2, "big")), bytearray(bytes([0, w])), 1, p) for i in range(2000) for w, p in ((1, 0.7), (2, 0.3))],

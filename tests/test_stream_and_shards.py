@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,9 @@ from corpusforge.functions import codec
 from corpusforge.operators import loader, pack
 from corpusforge.operators.prefix import exclusive_prefix, followers, level_shifts, previous_value
 from corpusforge.operators.tokenize import tokenize
-from corpusforge.sources import shards as shard_io
+from corpusforge.plans import stages
+from corpusforge.session import shared_dir
+from corpusforge.sources import batches as batch_io, shards as shard_io
 from corpusforge.streaming import packer
 
 
@@ -238,6 +241,55 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, tmp_path):
     assert streamed() == expected
 
 
+def test_a_batch_reads_one_ledger_row(spark, tmp_path):
+    """Neither earlier ledger rows nor earlier pieces are opened, and nothing is left behind."""
+    out, docs = str(tmp_path / "out"), make_docs(spark, texts_of(4))
+    parts = [docs.where(f"doc_id div 15 = {i}") for i in range(4)]
+    for i in range(3):
+        packer.write_batch(parts[i], i, out, 50)
+    expected = packer.tokens_before(spark, out, 3)
+    assert expected == sum(1 + len(t.encode()) for t in texts_of(4)[:45])
+    for i in range(2):
+        for folder in ("ledger", "pieces"):
+            for file in (tmp_path / "out" / folder / f"batch_id={i}").glob("*.parquet"):
+                file.write_bytes(b"not a table")
+    left = set((Path(shared_dir(spark)) / "corpusforge").iterdir())
+    packer.write_batch(parts[3], 3, out, 50)
+    assert packer.tokens_before(spark, out, 4) > expected
+    assert set((Path(shared_dir(spark)) / "corpusforge").iterdir()) == left
+
+
+def test_a_gap_in_batch_numbers(spark, tmp_path):
+    out, docs = str(tmp_path / "out"), make_docs(spark, ["abc", "de"])
+    assert packer.tokens_before(spark, out, 0) == packer.tokens_before(spark, out, 5) == 0
+    packer.write_batch(docs, 2, out, 50)
+    assert packer.tokens_before(spark, out, 9) == 7 and packer.tokens_before(spark, out, 2) == 0
+
+
+def test_stored_batches_are_read_rank_by_rank(spark, tmp_path):
+    shards, out = str(tmp_path / "shards"), str(tmp_path / "batches")
+    pieces = pack.shard_pieces(pack.doc_offsets(tokenize(make_docs(spark, texts_of(5)))), 400)
+    shard_io.write_shards(pieces, shards)
+    stages.training_batches(spark, shards, out, 2, 8, 2, 64, micro_steps=60)
+    train = shard_io.read_shards(spark, shards, "train")
+    sizes = train.groupBy("split", "shard_idx").agg(F.max("shard_len").alias("n_tokens"))
+    schedule = loader.loader_schedule(loader.loader_plan(sizes, 2, 8, 2), 2, 8, 2, micro_steps=60)
+    rows = loader.training_batches(loader.windows(train, 2, 8), schedule, 2, 8, 2).collect()
+    for rank in range(2):
+        for first in (0, 7):
+            got = batch_io.read_batches(spark, out, rank, first).collect()
+            assert sorted(map(tuple, got)) == sorted(tuple(r)[1:] for r in rows if r["rank"] == rank and r["step"] >= first)
+    plan = batch_io.read_batches(spark, out, 1, 205)._jdf.queryExecution().executedPlan().toString()
+    assert "(rank#" in plan and "block" in plan.partition("PartitionFilters")[2].partition("PushedFilters")[0]
+
+
+def test_only_scheduled_windows_are_scored(spark):
+    sizes = spark.createDataFrame([("val", 0, 1000)], "split string, shard_idx long, n_tokens long")
+    schedule = loader.val_batches(loader.loader_plan(sizes, 2, 8, 2), 2, 8, 2, 3)
+    windows = spark.range(124).select(F.lit(0).cast("long").alias("shard_idx"), F.col("id").alias("w"), F.lit(b"xx").alias("tokens"))
+    assert sorted(r.w for r in loader.scheduled_windows(windows, schedule, 2, 8).collect()) == list(range(12))
+
+
 def test_leading_offsets_equal_the_cut_of_all(spark):
     """Documents before a token, found block by block, are those that the whole stream gives."""
     rows = [(i * 97, 1 + i % 13) for i in range(400)]
