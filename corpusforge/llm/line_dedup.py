@@ -26,16 +26,16 @@ def read_chars(rows: pa.Table) -> repeats.Units:
     return repeats.Units(values, Hashes(mixed(values.astype(np.uint64) + np.uint64(1))), bounds)
 
 
-def lines_of(units: repeats.Units, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, start, end) of the lines with ``least`` characters or more."""
+def lines_of(units: repeats.Units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, start, end) of the lines that are not empty."""
     breaks = np.flatnonzero(units.values == NEWLINE)
     starts = np.unique(np.concatenate((units.bounds[:-1], breaks + 1)))
     starts = starts[starts < len(units.values)]
     own = np.searchsorted(units.bounds, starts, "right") - 1
     breaks = np.append(breaks, len(units.values))
     ends = np.minimum(units.bounds[own + 1], breaks[np.searchsorted(breaks, starts)])
-    long = ends - starts >= least
-    return own[long], starts[long], ends[long]
+    some = ends > starts
+    return own[some], starts[some], ends[some]
 
 
 def segment(length: np.ndarray, number: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,9 +76,14 @@ def probes(hashes: Hashes, starts: np.ndarray, ends: np.ndarray, edits: int):
 
 
 def line_anchors(units: repeats.Units, edits: int, least: int) -> tuple:
-    own, starts, ends = lines_of(units, least)
-    line, key, _ = probes(units.hashes, starts, ends, edits)
-    return key, units.hashes.of(starts, ends)[line], own[line], starts[line], ends[line]
+    """Probes of the lines that may have near copies; shorter lines meet by their whole text."""
+    own, starts, ends = lines_of(units)
+    whole = units.hashes.of(starts, ends)
+    long = np.flatnonzero(ends - starts >= least)
+    short = np.flatnonzero(ends - starts < least)
+    line, key, _ = probes(units.hashes, starts[long], ends[long], edits)
+    line, key = np.concatenate((long[line], short)), np.concatenate((key, mixed(whole[short] + np.uint64(1))))
+    return key, whole[line], own[line], starts[line], ends[line]
 
 
 def within(values: np.ndarray, a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray, edits: int) -> np.ndarray:
@@ -127,21 +132,24 @@ def letters(values: np.ndarray, edge: np.ndarray, bins: int) -> np.ndarray:
     return flat.reshape(-1, bins).astype(np.int32)
 
 
-def earlier_lines(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, edits: int):
-    """(line, 0, length) of the lines within ``edits`` edits of a line of a smaller document.
+def earlier_lines(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, route: int, edits: int, routes: int):
+    """(line, 0, length) of the lines within ``edits`` edits of an earlier line; ``docs`` are their places.
 
-    Lines with an equal key are compared from the smallest document on, if it is a segment of one of
+    Only keys of this route count: lines that share another key meet there too.
+    Lines with an equal key are compared from the earliest on, if it is a segment of one of
     them, and a line is done with its first match, so that a large family of near copies costs about
     one comparison a line. Bounds by length and letter counts come first.
     """
     starts, ends = edge[:-1], edge[1:]
     hashes = Hashes(mixed(values.astype(np.uint64) + np.uint64(1)))
     line, key, own = probes(hashes, starts, ends, edits)
+    here = key % np.uint64(routes) == np.uint64(route)
+    line, key, own = line[here], key[here], own[here]
     order = np.lexsort((~own, line, docs[line], key))
     line, key, own = line[order], key[order], own[order]
     once = heads(line, key)
     line, key, own = line[once], key[once], own[once]
-    some = np.add.reduceat(own, np.flatnonzero(heads(key)), dtype=np.int64)[runs_of(heads(key))] > 0
+    some = np.add.reduceat(own, np.flatnonzero(heads(key)), dtype=np.int64)[runs_of(heads(key))] > 0 if len(key) else own
     line, key, own = line[some], key[some], own[some]
     first = heads(key)
     head = np.flatnonzero(first)
@@ -174,13 +182,13 @@ def earlier_lines(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, edits:
 SCHEMA = "doc_id long, n_lines long, n_removed long, kept string"
 
 
-def cut(rows: pa.Table, units: repeats.Units, mask: np.ndarray, least: int) -> pa.Table:
+def cut(rows: pa.Table, units: repeats.Units, mask: np.ndarray) -> pa.Table:
     n_lines, n_removed, kept = [], [], []
     for text, base in zip(rows.column("text").to_pylist(), units.bounds):
         text, stay, at, seen = text or "", [], int(base), set()
         lines = text.split("\n") if text else []
         for line in lines:
-            if len(line) < least:
+            if not line:
                 stay.append(line)
             elif not mask[at] and line not in seen:
                 seen.add(line)
@@ -202,23 +210,25 @@ def cut(rows: pa.Table, units: repeats.Units, mask: np.ndarray, least: int) -> p
 def line_dedup(
     docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Remove every line that a document with a smaller id holds within ``edits`` edits.
+    """Remove every line that stands earlier, in a document with a smaller id or further up, within ``edits`` edits.
 
     Takes (doc_id, text) and ignores other columns; returns (doc_id, n_lines, n_removed, kept) and the
-    columns named in ``carry``. Lines end at \\n; edits are insertions, deletions and substitutions of characters. Exact repeats of a
-    line inside one document go too, the first stays. Lines under ``least`` characters always stay.
-    Lines are judged on the input, so a chain of near copies keeps its first line only. Null texts
-    count as empty and stay empty; rows that share a doc_id are one document against others; an empty
-    table gives no rows.
+    columns named in ``carry``. Lines end at \\n; edits are insertions, deletions and substitutions of
+    characters. Lines under ``least`` characters go only if the very same line stands earlier: two
+    edits make another line of a short one. Empty lines always stay. Lines are judged on the input,
+    so a chain of near copies keeps its first line only. Null texts count as empty and stay empty;
+    rows that share a doc_id are one document against others; an empty table gives no rows.
     """
 
     def setup(groups: int) -> repeats.Setup:
+        routes = max(1, groups // 2)
         return repeats.Setup(
             read_chars,
             partial(line_anchors, edits=edits, least=least),
-            partial(earlier_lines, edits=edits),
+            partial(earlier_lines, edits=edits, routes=routes),
             "<u4",
-            max(1, groups // 2),
+            routes,
+            within=True,
         )
 
-    return repeats.remove_repeats(docs, setup, partial(cut, least=least), SCHEMA, carry)
+    return repeats.remove_repeats(docs, setup, cut, SCHEMA, carry)

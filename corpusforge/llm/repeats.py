@@ -42,7 +42,7 @@ from corpusforge.llm.batches import (
     winnowed,
 )
 
-ANCHOR_BYTES = 5
+ANCHOR_BYTES = CONTEXT_BYTES = 5
 HOT_CONTEXTS = 512
 """An anchor with more contexts than this is compared window by window, spread over all tasks."""
 
@@ -62,10 +62,11 @@ class Units:
 class Setup:
     read: Callable[[pa.Table], Units]
     anchors: Callable[[Units], tuple]  # (anchor hash, context hash, document, start, end) of each anchor
-    earlier: Callable  # finds the parts of contexts that stand in a smaller document
+    earlier: Callable  # finds the parts of a route's contexts that stand in a smaller document
     dtype: str  # of ``values``
     buckets: int
     window: int = 0  # length of the windows that contexts of hot anchors are cut into; 0: never
+    within: bool = False  # parts that stand earlier in the same document count too
 
 
 def window_anchors(units: Units, window: int, k: int) -> tuple:
@@ -123,20 +124,20 @@ def questions(table: pa.Table, setup: Setup) -> pa.Table:
             "g": pa.array([group] * len(spans), pa.int32()),
             "bucket": pa.array([int(bucket[a]) for a, _ in spans], pa.int32()),
             "anchors": pa.array([packed(anchor[a:b], ANCHOR_BYTES) for a, b in spans], pa.binary()),
-            "contexts": pa.array([packed(context[a:b]) for a, b in spans], pa.binary()),
+            "contexts": pa.array([packed(context[a:b], CONTEXT_BYTES) for a, b in spans], pa.binary()),
             "docs": pa.array([packed(doc[a:b]) for a, b in spans], pa.binary()),
         }
     )
 
 
-def answers(table: pa.Table, hot: int) -> pa.Table:
+def answers(table: pa.Table, hot: int, within: bool) -> pa.Table:
     """What each group has to know about each of its questions, one byte per question."""
     groups = table.column("g").to_pylist()
     blobs = [table.column(name).to_pylist() for name in ("anchors", "contexts", "docs")]
     anchors = [unpacked(x, ANCHOR_BYTES) for x in blobs[0]]
     asker = np.repeat(np.arange(len(groups)), [len(x) for x in anchors])
     anchor = np.concatenate(anchors)
-    context = np.concatenate([unpacked(x) for x in blobs[1]])
+    context = np.concatenate([unpacked(x, CONTEXT_BYTES) for x in blobs[1]])
     doc = np.concatenate([unpacked(x).astype(np.int64) for x in blobs[2]])
     order = np.lexsort((doc, context, anchor))
     anchor, context, doc = anchor[order], context[order], doc[order]
@@ -144,12 +145,13 @@ def answers(table: pa.Table, hot: int) -> pa.Table:
     head = np.flatnonzero(same)
     least = doc[head][runs_of(same)]
     codes = np.where(doc > least, SETTLED, NOTHING).astype(np.uint8)
-    # An anchor is compared further where its contexts have different smallest documents.
+    # An anchor is compared further where its contexts have different smallest documents, or are several.
     outer = heads(anchor[head])
     edge = np.flatnonzero(outer)
     count = np.diff(np.append(edge, len(head)))
     lowest, highest = np.minimum.reduceat(doc[head], edge), np.maximum.reduceat(doc[head], edge)
-    further = np.where(lowest == highest, NOTHING, np.where(count > hot, COMPARE_HOT, COMPARE))
+    alone = count == 1 if within else lowest == highest
+    further = np.where(alone, NOTHING, np.where(count > hot, COMPARE_HOT, COMPARE))
     codes[head] = further[runs_of(outer)].astype(np.uint8)
     placed = np.empty_like(codes)
     placed[order] = codes
@@ -235,7 +237,10 @@ def matched(table: pa.Table, setup: Setup) -> pa.Table:
     group, doc, start, size = (np.concatenate(x) for x in zip(*parts))
     values = np.frombuffer(b"".join(table.column("content").to_pylist()), setup.dtype)
     edge = np.concatenate(([0], np.cumsum(size)))
-    row, offset, length = setup.earlier(values, edge, doc)
+    if setup.within:  # places in order of document and start instead of documents
+        place = np.empty(len(doc), np.int64)
+        place[np.lexsort((start, doc))] = np.arange(len(doc))
+    row, offset, length = setup.earlier(values, edge, place if setup.within else doc, table.column("route")[0].as_py())
     g, d, s = group[row], doc[row], start[row] + offset
     e = s + length
     order = np.lexsort((e, s, d, g))
@@ -300,16 +305,16 @@ def remove_repeats(
     groups = group_count(docs)
     setup = make_setup(groups)
     rows = docs.withColumn("g", group_of("doc_id", groups))
-    bare = rows.drop("carried")
-    asked = bare.groupBy("g").applyInArrow(
+    # One plan for all three uses, so that Spark writes the exchange once.
+    asked = rows.groupBy("g").applyInArrow(
         lambda table: questions(table, setup), "g int, bucket int, anchors binary, contexts binary, docs binary"
     )
     hot = HOT_CONTEXTS if setup.window else 1 << 62
     replies = asked.groupBy("bucket").applyInArrow(
-        lambda table: answers(table, hot), "g int, bucket int, codes binary"
+        lambda table: answers(table, hot, setup.within), "g int, bucket int, codes binary"
     )
     compared = (
-        bare.groupBy("g")
+        rows.groupBy("g")
         .cogroup(replies.groupBy("g"))
         .applyInArrow(lambda table, codes: contexts(table, codes, setup), CONTEXTS)
         .groupBy("route")

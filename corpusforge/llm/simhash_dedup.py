@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from corpusforge.llm.batches import columns_of, slices
+from corpusforge.llm.batches import columns_of, heads, runs_of, slices
 from corpusforge.llm.components import components
 from corpusforge.session import cut_lineage
 
@@ -21,17 +21,29 @@ LEAF = 2_048
 NULL_ID = (1 << 63) - 1
 
 
-def fingerprint(text: str | None) -> int:
-    """Majority of the bits of all shingle hashes, as an unsigned integer; 0 without words."""
+def shingled(text: str | None, size: int) -> list[bytes]:
+    """Runs of ``size`` words in lower case, repeats included; fewer words are one run, none give none."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
-    shingles = [b" ".join(x) for x in zip(*(words[i:] for i in range(SHINGLE)))] or [b" ".join(words)]
+        return []
+    return [b" ".join(x) for x in zip(*(words[i:] for i in range(size)))] or [b" ".join(words)]
+
+
+def hashed(shingles: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles), np.uint64, len(shingles))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Majority of the bits of all shingle hashes, as an unsigned integer; 0 without shingles."""
     counts = np.zeros(64, np.int64)
-    for at in range(0, len(shingles), 65_536):
-        part = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles[at : at + 65_536]), np.uint64)
+    for at in range(0, len(hashes), 65_536):
+        part = hashes[at : at + 65_536]
         counts += np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > len(shingles)).tobytes(), "big")
+    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
+
+
+def fingerprint(text: str | None, size: int = SHINGLE) -> int:
+    return majority(hashed(shingled(text, size)))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -64,7 +76,7 @@ def split(points: np.ndarray) -> tuple[np.uint64, int] | None:
     return None if radius < d.min() else (vantage, radius)
 
 
-def grow(points: np.ndarray, expected: float, depth: int = 0):
+def grow(points: np.ndarray, expected: float, reach: int = DISTANCE, depth: int = 0):
     """A tree (vantage, radius, inner, outer) down to leaves of about LEAF fingerprints.
 
     ``expected``: how many fingerprints of the whole table arrive here.
@@ -73,17 +85,17 @@ def grow(points: np.ndarray, expected: float, depth: int = 0):
     if found is None:
         return None
     d = distance(found[0], points)
-    inner, outer = points[d <= found[1] + DISTANCE], points[d > found[1]]
+    inner, outer = points[d <= found[1] + reach], points[d > found[1]]
     if len(inner) == len(points):
         return None
     share = expected / len(points)
-    return (*found, grow(inner, share * len(inner), depth + 1), grow(outer, share * len(outer), depth + 1))
+    return (*found, grow(inner, share * len(inner), reach, depth + 1), grow(outer, share * len(outer), reach, depth + 1))
 
 
-def shards(tree, points: np.ndarray, index: np.ndarray, name: int = 1):
+def shards(tree, points: np.ndarray, index: np.ndarray, reach: int = DISTANCE, name: int = 1):
     """(shard, rows): the rows of each shard they belong to.
 
-    Two points within DISTANCE on different sides of a radius differ by DISTANCE at most in their
+    Two points within ``reach`` on different sides of a radius differ by ``reach`` at most in their
     distance to the vantage point. So the inner side also takes those just outside, and every pair
     meets in a shard; all other branches are out of reach.
     """
@@ -92,17 +104,17 @@ def shards(tree, points: np.ndarray, index: np.ndarray, name: int = 1):
         return
     vantage, radius, inner, outer = tree
     d = distance(vantage, points[index])
-    yield from shards(inner, points, index[d <= radius + DISTANCE], 2 * name)
-    yield from shards(outer, points, index[d > radius], 2 * name + 1)
+    yield from shards(inner, points, index[d <= radius + reach], reach, 2 * name)
+    yield from shards(outer, points, index[d > radius], reach, 2 * name + 1)
 
 
-def close_pairs(points: np.ndarray):
-    """Index pairs within DISTANCE, block by block, through a tree over the shard itself."""
-    tree = grow(points, len(points))
-    for _, rows in shards(tree, points, np.arange(len(points))):
+def close_pairs(points: np.ndarray, reach: int = DISTANCE):
+    """Index pairs within ``reach``, block by block, through a tree over the shard itself."""
+    tree = grow(points, len(points), reach)
+    for _, rows in shards(tree, points, np.arange(len(points)), reach):
         here = points[rows]
         for at in range(0, len(here), 256):
-            near = np.bitwise_count(here[at : at + 256, None] ^ here[None, at:]) <= DISTANCE
+            near = np.bitwise_count(here[at : at + 256, None] ^ here[None, at:]) <= reach
             i, j = np.nonzero(near)
             yield rows[i + at], rows[j + at]
 
@@ -128,6 +140,30 @@ def stars(table: pa.Table) -> pa.Table:
     return pa.table({"a": docs[own], "b": docs[label[own]]})
 
 
+def dealt_points(points: DataFrame, reach: int = DISTANCE) -> DataFrame:
+    """The points (f, ..), once for each shard they belong to, with its name in ``shard``."""
+    sample = points.orderBy(F.xxhash64("f"), "f").limit(SAMPLE).select("f").collect()
+    total = points.count()
+    tree = grow(np.array([r[0] for r in sample], np.int64).view(np.uint64), total, reach) if sample else None
+
+    def deal(batches):
+        for batch in batches:
+            f = batch.column("f").to_numpy().astype(np.int64).view(np.uint64)
+            found = list(shards(tree, f, np.arange(len(f)), reach))
+            rows = np.concatenate([r for _, r in found])
+            shard = np.repeat(np.array([s for s, _ in found], np.int64), [len(r) for _, r in found])
+            yield pa.record_batch([pa.array(shard), *batch.take(pa.array(rows)).columns], ["shard", *batch.schema.names])
+
+    return points.mapInArrow(deal, points.select(F.lit(0).cast("long").alias("shard"), "*").schema)
+
+
+def same_ids(marked: DataFrame, points: DataFrame, name: str) -> DataFrame:
+    """(a, b): rows that share a doc_id are one node, so the firsts of their points are linked to it."""
+    several = marked.select("doc_id", name).distinct().groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    rows = marked.join(several, "doc_id", "left_semi").select("doc_id", name).distinct()
+    return rows.join(points, name).where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+
+
 def simhash_dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, f, component_id) of every document.
 
@@ -143,21 +179,9 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     marked = fingerprints(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)))
     marked = cut_lineage(marked, "fingerprints")
     points = cut_lineage(marked.groupBy("f").agg(F.min("doc_id").alias("first")), "points")
-    sample = points.orderBy(F.xxhash64("f"), "f").limit(SAMPLE).select("f").collect()
-    total = points.count()
-    tree = grow(np.array([r[0] for r in sample], np.int64).view(np.uint64), total) if sample else None
-
-    def deal(batches):
-        for batch in batches:
-            f = batch.column("f").to_numpy().astype(np.int64)
-            found = list(shards(tree, f.view(np.uint64), np.arange(len(f))))
-            rows = np.concatenate([r for _, r in found])
-            shard = np.repeat(np.array([s for s, _ in found], np.int64), [len(r) for _, r in found])
-            yield pa.record_batch({"shard": shard, "f": f[rows], "first": batch.column("first").to_numpy()[rows]})
-
-    dealt = points.mapInArrow(deal, "shard long, f long, first long")
+    dealt = dealt_points(points)
     links = dealt.groupBy("shard").applyInArrow(lambda t: stars(t), "a long, b long")
-    reached = components(links)
+    reached = components(links.union(same_ids(marked, points, "f")))
     named = points.join(reached, points["first"] == reached["node"], "left").select(
         F.col("f").alias("g"), F.coalesce("component", "first").alias("component_id")
     )
@@ -166,5 +190,113 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     return joined.select(F.nullif("doc_id", none).alias("doc_id"), "f", F.nullif("component_id", none).alias("component_id"))
 
 
+# --- near copies by the share of common shingles ------------------------------------------
+
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
+WORD_DISTANCE = 4
+"""Near copies differ little in the fingerprint of their single words; the tree searches this far."""
+NEAR_DISTANCE = 16
+"""Pairs that differ more than this in the fingerprint of their shingles are not looked at again."""
+NEAREST = 4
+PAIR_BLOCK = 1 << 20
+
+
+def shingle_set(hashes: np.ndarray) -> np.ndarray:
+    """The different shingles, ascending; a text without words has one, that of nothing."""
+    return np.unique(hashes) if len(hashes) else np.zeros(1, np.uint64)
+
+
+def marks(docs: DataFrame, size: int) -> DataFrame:
+    """(doc_id, f, fine, key): fingerprints of words and of shingles, and a hash of the shingle set."""
+
+    def run(batches):
+        for batch in batches:
+            for rows in slices(pa.table(batch)):
+                texts = rows.column("text").to_pylist()
+                found = [hashed(shingled(t, size)) for t in texts]
+                words = np.array([fingerprint(t, 1) for t in texts], np.uint64)
+                fine = np.array(list(map(majority, found)), np.uint64)
+                keys = np.array([xxhash.xxh64_intdigest(shingle_set(h).tobytes()) for h in found], np.uint64)
+                columns = {"f": words, "fine": fine, "key": keys}
+                yield pa.record_batch({"doc_id": rows.column("doc_id").combine_chunks(), **{k: pa.array(v.view(np.int64)) for k, v in columns.items()}})
+
+    return docs.mapInArrow(run, "doc_id long, f long, fine long, key long")
+
+
+def first_of_each(pairs: np.ndarray, most: int) -> np.ndarray:
+    """The ``most`` closest rows of each document, from rows (document, bits, earlier document)."""
+    pairs = pairs[:, np.lexsort(pairs[::-1])]
+    pairs = pairs[:, heads(*pairs)]
+    first = heads(pairs[0])
+    place = np.arange(pairs.shape[1]) - np.flatnonzero(first)[runs_of(first)] if pairs.shape[1] else pairs[0]
+    return pairs[:, place < most]
+
+
+def nearest_earlier(table: pa.Table, reach: int, far: int, most: int) -> pa.Table:
+    """(a, bits, b): each document of a shard with the closest earlier ones by ``fine``."""
+    words, fine, docs = (table.column(name).to_numpy().astype(np.int64) for name in ("f", "fine", "first"))
+    order = np.argsort(docs, kind="stable")
+    words, fine, docs = words[order].view(np.uint64), fine[order].view(np.uint64), docs[order]
+    found, size = [np.zeros((3, 0), np.int64)], 0
+    for i, j in close_pairs(words, reach):
+        low, high = np.minimum(i, j), np.maximum(i, j)
+        bits = np.bitwise_count(fine[low] ^ fine[high]).astype(np.int64)
+        good = (low < high) & (bits <= far)
+        found.append(np.stack((high[good], bits[good], low[good])))
+        size += found[-1].shape[1]
+        if size > PAIR_BLOCK:
+            found = [first_of_each(np.concatenate(found, axis=1), most)]
+            size = 0
+    a, bits, b = first_of_each(np.concatenate(found, axis=1), most)
+    return pa.table({"a": docs[a], "bits": bits, "b": docs[b]})
+
+
+def simhash_near_dedup(docs: DataFrame, size: int = NEAR_SHINGLE, percent: int = NEAR_PERCENT) -> DataFrame:
+    """(doc_id, component_id) of every document: near copies share ``percent`` of their shingles.
+
+    Fingerprints of shingles of ``size`` words lie too far apart for near copies to be searched by
+    them, those of single words lie close. So the vantage-point tree stands on the fingerprints of
+    words; a document asks for the NEAREST earlier ones in the fingerprint of shingles. A link counts
+    only if the exact share of common shingles is ``percent`` or more. So every link is right, and no
+    group of near copies is paired out; a near copy is missed if its words' fingerprint lies further
+    than WORD_DISTANCE off, or if none of the earlier documents it asks for is near enough.
+
+    Equal shingle sets are merged first. ``component_id`` is the smallest doc_id that chains of links
+    reach. Texts without words are equal; rows that share a doc_id are one node; a null doc_id comes
+    back as null and counts as the largest id; other columns are ignored; an empty table gives none.
+    """
+    docs = columns_of(docs, "doc_id", "text").select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+    marked = cut_lineage(marks(docs, size), "marks")
+    points = cut_lineage(
+        marked.groupBy("key").agg(F.min("doc_id").alias("first"), F.min_by("f", "doc_id").alias("f"), F.min_by("fine", "doc_id").alias("fine")),
+        "points",
+    )
+    found = dealt_points(points.select("f", "fine", "first"), WORD_DISTANCE).groupBy("shard").applyInArrow(
+        lambda t: nearest_earlier(t, WORD_DISTANCE, NEAR_DISTANCE, NEAREST), "a long, bits long, b long"
+    )
+    closest = F.slice(F.array_sort(F.collect_set(F.struct("bits", "b"))), 1, NEAREST)  # at most NEAREST a shard
+    pairs = cut_lineage(found.groupBy("a").agg(closest.alias("near")).select("a", F.explode("near").alias("x")).select("a", "x.b"), "near-pairs")
+
+    def sets(batches):
+        for batch in batches:
+            for rows in slices(pa.table(batch)):
+                found = [shingle_set(hashed(shingled(t, size))).view(np.int64) for t in rows.column("text").to_pylist()]
+                yield pa.record_batch({"doc_id": rows.column("doc_id").combine_chunks(), "members": pa.array(found, pa.list_(pa.int64()))})
+
+    asked = cut_lineage(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-ids")
+    members = docs.join(asked, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, members array<long>")
+    members = cut_lineage(members.dropDuplicates(["doc_id"]), "near-members")
+    both = pairs.join(members.select(F.col("doc_id").alias("a"), F.col("members").alias("ma")), "a")
+    both = both.join(members.select(F.col("doc_id").alias("b"), F.col("members").alias("mb")), "b")
+    both = both.withColumn("common", F.size(F.array_intersect("ma", "mb")))
+    close = both.where(F.col("common") * 100 >= (F.size("ma") + F.size("mb") - F.col("common")) * percent)
+    reached = components(close.select("a", "b").union(same_ids(marked, points, "key")))
+    named = points.join(reached, points["first"] == reached["node"], "left").select("key", F.coalesce("component", "first").alias("component_id"))
+    none = F.lit(NULL_ID)
+    return marked.join(named, "key").select(F.nullif("doc_id", none).alias("doc_id"), F.nullif("component_id", none).alias("component_id"))
+
+
 def hex_fingerprint(f):
     return F.lpad(F.lower(F.hex(f)), 16, "0")

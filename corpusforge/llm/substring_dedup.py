@@ -22,7 +22,7 @@ def read_words(rows: pa.Table) -> repeats.Units:
     return repeats.Units(values, Hashes(values), np.searchsorted(own, np.arange(len(rows) + 1)))
 
 
-def extended(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, window: int):
+def extended(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, route: int, window: int):
     """(context, offset, length) of the windows around a seed that a smaller document holds as well.
 
     A seed extended by i words to the left and the rest to the right reaches the length threshold

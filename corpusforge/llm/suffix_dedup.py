@@ -38,25 +38,42 @@ def suffix_order(values: np.ndarray, starts: np.ndarray, docs: np.ndarray, depth
     return order, np.concatenate(([0], np.minimum(lcp, depth)))
 
 
-def previous_factor(docs: np.ndarray, lcp: np.ndarray, least: int) -> np.ndarray:
-    """Length of the longest factor shared with a smaller document, 0 where it is below ``least``.
+def smaller_before(docs: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """Common prefix of each suffix with the nearest one before it that has a smaller document, or 0.
 
-    The nearest smaller positions on either side in suffix order give the longest such factor.
-    Suffixes equal on ``least`` bytes stand together in order of document, so inside such a run the
-    previous smaller position is the end of the preceding document and the next one never matches.
+    Every suffix looks at its predecessor and skips, with all others at once, to where a suffix of no
+    smaller document looks; between the two stand none that are smaller. ``least`` keeps the smallest
+    common prefix on the way.
     """
-    run = runs_of(lcp < least) if len(lcp) else np.zeros(0, np.int64)
-    first = docs[np.flatnonzero(heads(run))][run] if len(run) else docs
-    return np.where(docs > first, least, 0)
+    n = len(docs)
+    at, least = np.arange(n) - 1, lcp.copy()
+    waiting = np.flatnonzero(at >= 0)
+    while len(waiting):
+        waiting = waiting[docs[at[waiting]] >= docs[waiting]]
+        over = at[waiting]
+        least[waiting], at[waiting] = np.minimum(least[waiting], least[over]), at[over]
+        waiting = waiting[(at[waiting] >= 0) & (least[waiting] > 0)]
+    return np.where((at >= 0) & (least > 0), least, 0)
+
+
+def previous_factor(docs: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """Length of the longest factor that each suffix shares with a smaller document.
+
+    The nearest suffixes of smaller documents before and after it in suffix order are the ones it
+    shares most with; lcp[i] is the common prefix of suffixes i - 1 and i.
+    """
+    before = smaller_before(docs, lcp)
+    after = smaller_before(docs[::-1], np.concatenate(([0], lcp[:0:-1])))[::-1] if len(docs) else before
+    return np.maximum(before, after)
 
 
-def earlier_windows(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, window: int):
+def earlier_windows(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, route: int, window: int):
     """(context, offset, length) of the windows whose bytes also start in a smaller document."""
     many = np.diff(edge) - window + 1
     row = np.repeat(np.arange(len(many)), many)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
     order, lcp = suffix_order(values, edge[row] + offset, docs[row], window)
-    at = order[previous_factor(docs[row][order], lcp, window) >= window]
+    at = order[previous_factor(docs[row][order], lcp) >= window]
     return row[at], offset[at], window
 
 

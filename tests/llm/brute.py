@@ -57,35 +57,30 @@ def edit_distance(a, b):
 
 
 def lines_removed(rows, edits=2, least=24):
+    """A line goes if the same one stands earlier, or one within ``edits`` edits, both long enough."""
     rows = sorted((d, (t or "").split("\n") if t else []) for d, t in rows)
     first = {}
     for doc, lines in rows:
-        for line in lines:
-            if len(line) >= least:
-                first.setdefault(line, doc)
+        for i, line in enumerate(lines):
+            if line:
+                first.setdefault(line, (doc, i))
     by_length = {}
     for line in first:
         by_length.setdefault(len(line), []).append(line)
 
-    def gone(line, doc):
-        if first[line] < doc:
+    def gone(line, place):
+        if first[line] < place:
             return True
-        for n in range(len(line) - edits, len(line) + edits + 1):
-            for other in by_length.get(n, ()):
-                if first[other] < doc and sum(a != b for a, b in zip(sorted(line), sorted(other))) < len(line):
+        for n in range(len(line) - edits, len(line) + edits + 1) if len(line) >= least else ():
+            for other in by_length.get(n, ()) if n >= least else ():
+                if first[other] < place and sum(a != b for a, b in zip(sorted(line), sorted(other))) < len(line):
                     if near(line, other, edits):
                         return True
         return False
 
     out = []
     for doc, lines in rows:
-        seen, stay = set(), []
-        for line in lines:
-            if len(line) < least:
-                stay.append(line)
-            elif line not in seen and not gone(line, doc):
-                stay.append(line)
-            seen.add(line)
+        stay = [line for i, line in enumerate(lines) if not line or not gone(line, (doc, i))]
         out.append((doc, len(lines), len(lines) - len(stay), "\n".join(stay)))
     return out
 

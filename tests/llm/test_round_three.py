@@ -6,12 +6,13 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from corpusforge.llm import alignment, chat_format, periodic_runs
+from corpusforge.llm import alignment, chat_format, line_dedup, periodic_runs, simhash_dedup, suffix_dedup
 from corpusforge.llm.queries import looped
 
 BYTE_BPE, PIECE_BPE = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -298,3 +299,101 @@ def test_a_long_conversation_is_formatted_in_blocks(spark):
 def test_no_conversations(spark):
     stream = chat_format.formatted(chats(spark, []))
     assert stream.count() == 0 and chat_format.examples(stream).count() == 0 and chat_format.digests(stream).count() == 0
+
+
+# --- SimHash: repeated ids, near copies --------------------------------------------------
+
+
+def test_rows_that_share_an_id_are_one_node(spark):
+    a, b = "some words of one text here", "quite another text with its own words"
+    rows = table(spark, [(3, a), (5, a), (5, b), (6, b), (9, "alone"), (None, None), (None, b)])
+    for run in (simhash_dedup.simhash_dedup, simhash_dedup.simhash_near_dedup):
+        got = {(r.doc_id, r.component_id) for r in run(rows).collect()}
+        assert got == {(3, 3), (5, 3), (6, 3), (9, 9), (None, 3)}
+
+
+def shingles_of(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def share(a, b):
+    return len(a & b) / len(a | b)
+
+
+def test_near_copies_against_all_pairs(spark):
+    """Every link is right, equal texts are always linked, and nine of ten near pairs are found."""
+    r = random.Random(6)
+    words = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in ("", "n", "rs")]
+    rows = []
+    for i in range(150):
+        text = r.choices(words, k=r.randint(30, 200))
+        rows.append(text)
+        for _ in range(r.choice([0, 0, 1, 3])):
+            copy = list(text)
+            for _ in range(r.randint(0, max(1, len(copy) // 40))):
+                copy[r.randrange(len(copy))] = r.choice(words)
+            rows.append(copy)
+    rows = [(i, " ".join(t)) for i, t in enumerate(rows)] + [(10_000, ""), (10_001, None)]
+    got = {x.doc_id: x.component_id for x in simhash_dedup.simhash_near_dedup(table(spark, rows)).collect()}
+    sets = {d: shingles_of(t) for d, t in rows}
+    near = [(a, b) for a in sets for b in sets if a < b and share(sets[a], sets[b]) >= 0.8]
+    found = [got[a] == got[b] for a, b in near]
+    assert len(near) > 60 and sum(found) >= 0.9 * len(near)
+    assert all(hit for hit, (a, b) in zip(found, near) if sets[a] == sets[b])
+    leader = {d: d for d in sets}  # components of all right links, merged by hand
+    for _ in range(10):
+        for a, b in near:
+            leader[a] = leader[b] = min(leader[a], leader[b])
+    assert all(leader[d] == leader[c] for d, c in got.items())
+
+
+def test_many_near_copies_give_few_pairs():
+    rng = np.random.default_rng(1)
+    fine = rng.integers(0, 1 << 62) ^ (1 << rng.integers(0, 62, 3000)).astype(np.int64)
+    rows = pa.table({"f": np.zeros(3000, np.int64), "fine": fine, "first": rng.permutation(3000).astype(np.int64)})
+    got = simhash_dedup.nearest_earlier(rows, 4, 16, 4)
+    assert len(got) == 4 * 3000 - (4 + 3 + 2 + 1)
+    a, b = got.column("a").to_numpy(), got.column("b").to_numpy()
+    assert (b < a).all()
+
+
+def test_near_copies_of_odd_rows_and_empty_tables(spark):
+    rows = simhash_dedup.simhash_near_dedup(table(spark, ODD)).collect()
+    assert Counter(r["doc_id"] for r in rows) == Counter(d for d, _ in ODD)
+    assert simhash_dedup.simhash_near_dedup(table(spark, [])).count() == 0
+
+
+# --- longest previous factors ------------------------------------------------------------
+
+
+def test_longest_previous_factors_against_all_pairs():
+    r = random.Random(12)
+    for _ in range(200):
+        docs_of = [r.randrange(6) for _ in range(r.randint(1, 5))]
+        texts = [bytes(r.choice(b"ab") for _ in range(r.randint(4, 12))) for _ in docs_of]
+        depth = 4
+        starts, owner, at = [], [], 0
+        for doc, text in zip(docs_of, texts):
+            starts += range(at, at + len(text) - depth + 1)
+            owner += [doc] * (len(text) - depth + 1)
+            at += len(text)
+        values = np.frombuffer(b"".join(texts), np.uint8)
+        order, lcp = suffix_dedup.suffix_order(values, np.array(starts), np.array(owner), depth)
+        got = suffix_dedup.previous_factor(np.array(owner)[order], lcp)
+        windows = [bytes(values[s : s + depth]) for s in starts]
+
+        def common(a, b):
+            return next((i for i in range(depth) if a[i] != b[i]), depth)
+
+        for place, i in enumerate(order):
+            want = max((common(windows[i], windows[j]) for j in range(len(starts)) if owner[j] < owner[i]), default=0)
+            assert got[place] == want
+
+
+def test_short_lines_and_lines_of_one_document(spark):
+    footer = "All rights reserved."
+    dated = "\n".join(f"Order number 000123{i}5 was shipped" for i in range(9))
+    rows = [(1, "a first line of some length\n" + footer), (2, footer), (3, f"x\n\n{footer}\n\nx"), (4, dated)]
+    got = {r.doc_id: r.kept for r in line_dedup.line_dedup(table(spark, rows)).collect()}
+    assert got == {1: rows[0][1], 2: "", 3: "x\n\n", 4: dated.split("\n")[0]}
