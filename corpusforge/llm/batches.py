@@ -125,6 +125,23 @@ class Hashes:
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64))
 
+    def windows(self, k: int) -> np.ndarray:
+        """The hashes of all ``k`` neighbours, in order: ``of`` without look-ups."""
+        return mixed((self.sums[k:] - self.sums[:-k]) * self.inverse[: self.n - k + 1] + np.uint64(k))
+
+
+@functools.lru_cache(1)
+def char_codes() -> np.ndarray:
+    """A scrambled value for each code point of the first plane."""
+    return mixed(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
+
+
+def char_symbols(values: np.ndarray) -> np.ndarray:
+    """A 64-bit symbol for each code point."""
+    if not len(values) or values.max() < 1 << 16:
+        return char_codes()[values]
+    return mixed(values.astype(np.uint64) + np.uint64(1))
+
 
 def byte_hashes(data: np.ndarray) -> Hashes:
     return Hashes(byte_codes()[data])
@@ -153,7 +170,7 @@ def winnowed(hashes: Hashes, bounds: np.ndarray, window: int, k: int) -> np.ndar
         return np.zeros(0, np.int64)
     at = np.arange(hashes.n - k + 1)
     low = np.uint64((1 << max(1, int(hashes.n).bit_length())) - 1)
-    keys = (hashes.of(at, at + k) & ~low) | (low - at.astype(np.uint64))
+    keys = (hashes.windows(k) & ~low) | (low - at.astype(np.uint64))
     least = sliding_min(keys, window - k + 1)
     inside = np.ones(len(least), bool)
     crossing = (bounds[1:-1, None] - np.arange(1, window)).ravel()

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from corpusforge.llm import repeats
-from corpusforge.llm.batches import BASE, Hashes, heads, mixed, runs_of
+from corpusforge.llm.batches import BASE, Hashes, char_symbols, heads, mixed, runs_of
 
 MAX_EDITS = 2
 MIN_CHARS = 24
@@ -23,7 +23,7 @@ def read_chars(rows: pa.Table) -> repeats.Units:
     texts = [t or "" for t in rows.column("text").to_pylist()]
     values = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
     bounds = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
-    return repeats.Units(values, Hashes(mixed(values.astype(np.uint64) + np.uint64(1))), bounds)
+    return repeats.Units(values, Hashes(char_symbols(values)), bounds)
 
 
 def lines_of(units: repeats.Units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -86,42 +86,61 @@ def line_anchors(units: repeats.Units, edits: int, least: int) -> tuple:
     return key, whole[line], own[line], starts[line], ends[line]
 
 
-def within(values: np.ndarray, a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray, edits: int) -> np.ndarray:
+def common(hashes: Hashes, a: np.ndarray, b: np.ndarray, most: np.ndarray, step: int) -> np.ndarray:
+    """Length of the common part of each pair from ``a`` and ``b`` on (step 1) or before them (step -1)."""
+    low, high = np.zeros(len(a), np.int64), most.copy()
+    while (open_ := np.flatnonzero(low < high)).size:
+        half = (low[open_] + high[open_] + 1) // 2
+        x, y = a[open_], b[open_]
+        if step > 0:
+            same = hashes.of(x, x + half) == hashes.of(y, y + half)
+        else:
+            same = hashes.of(x - half, x) == hashes.of(y - half, y)
+        low[open_[same]] = half[same]
+        high[open_[~same]] = half[~same] - 1
+    return low
+
+
+def within(values: np.ndarray, a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray, edits: int, hashes: Hashes | None = None) -> np.ndarray:
     """Is the edit distance of each pair at most ``edits``? Banded and bit-parallel.
 
-    A word per number of errors holds one bit per diagonal of the band; a step takes one character
-    of the first text: equal characters keep a diagonal, a substitution keeps it with one error more,
-    a deletion moves one diagonal down, an insertion one up.
+    Equal ends are cut off first, by hashes. Then a word per number of errors holds one bit per
+    diagonal of the band; a step takes one character of the first text: equal characters keep a
+    diagonal, a substitution keeps it with one error more, a deletion moves one diagonal down, an
+    insertion one up. A pair without a diagonal left is done.
     """
+    hashes = Hashes(char_symbols(values)) if hashes is None else hashes
+    head = common(hashes, a, b, np.minimum(a_end - a, b_end - b), 1)
+    a, b = a + head, b + head
+    tail = common(hashes, a_end, b_end, np.minimum(a_end - a, b_end - b), -1)
     band = 2 * edits + 1
-    n, m = a_end - a, b_end - b
+    n, m = a_end - tail - a, b_end - tail - b
     mask = np.int64((1 << band) - 1)
     state = [np.full(len(a), 1 << edits, np.int64)]
     for _ in range(edits):
         state.append((state[-1] | state[-1] << 1) & mask)
-    order = np.argsort(-n, kind="stable")
-    a, b, n, m = a[order], b[order], n[order], m[order]
-    state = [s[order] for s in state]
-    alive = np.searchsorted(-n, -np.arange(int(n.max()) if len(n) else 0), "left")
-    for step, count in enumerate(alive):
-        mine = values[a[:count] + step]
-        equal = np.zeros(count, np.int64)
+    active, step = np.flatnonzero(np.abs(n - m) <= edits), 0
+    while (active := active[(n[active] > step) & (state[edits][active] != 0)]).size:
+        mine = values[a[active] + step]
+        start, left = b[active], m[active]
+        equal = np.zeros(len(active), np.int64)
         for d in range(band):
             at = step + d - edits
-            there = values[np.minimum(np.maximum(b[:count] + at, 0), len(values) - 1)]
-            equal |= ((there == mine) & (at >= 0) & (at < m[:count])).astype(np.int64) << d
-        before = None
+            there = values[np.minimum(np.maximum(start + at, 0), len(values) - 1)]
+            equal |= ((there == mine) & (at >= 0) & (at < left)).astype(np.int64) << d
+        before = below = None
         for errors in range(edits + 1):
-            old = state[errors][:count].copy()
+            old = state[errors][active]
             new = old & equal
             if before is not None:
-                new |= before | before >> 1 | (state[errors - 1][:count] << 1 & mask)
-            state[errors][:count] = new
+                new |= before | before >> 1 | (below << 1 & mask)
+            state[errors][active] = below = new
             before = old
-    good = np.zeros(len(a), bool)
+        step += 1
     shift = m - n + edits
     ok = (shift >= 0) & (shift < band)
-    good[order[ok]] = (state[edits][ok] >> shift[ok]) & 1
+    good = np.zeros(len(a), bool)
+    good[ok] = (state[edits][ok] >> shift[ok]) & 1
     return good
 
 
@@ -141,7 +160,7 @@ def earlier_lines(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, route:
     one comparison a line. Bounds by length and letter counts come first.
     """
     starts, ends = edge[:-1], edge[1:]
-    hashes = Hashes(mixed(values.astype(np.uint64) + np.uint64(1)))
+    hashes = Hashes(char_symbols(values))
     line, key, own = probes(hashes, starts, ends, edits)
     here = key % np.uint64(routes) == np.uint64(route)
     line, key, own = line[here], key[here], own[here]
@@ -172,7 +191,7 @@ def earlier_lines(values: np.ndarray, edge: np.ndarray, docs: np.ndarray, route:
             for bins in counts:
                 near = np.abs(bins[mine] - bins[other]).sum(axis=1) <= 2 * edits
                 mine, other = mine[near], other[near]
-            same = within(values, starts[mine], ends[mine], starts[other], ends[other], edits)
+            same = within(values, starts[mine], ends[mine], starts[other], ends[other], edits, hashes)
             found[mine[same]] = True
         turn += 1
     at = np.flatnonzero(found)

@@ -94,6 +94,10 @@ class Anchors:
     asked: np.ndarray  # index of each question's first anchor, which has the smallest doc
 
 
+def by_document(table: pa.Table) -> pa.Table:
+    return table.sort_by("doc_id")
+
+
 def anchors_of(table: pa.Table, setup: Setup) -> tuple[Anchors, list[tuple[np.ndarray, Units]]]:
     parts, pieces = [], []
     for piece in slices(table):
@@ -105,13 +109,15 @@ def anchors_of(table: pa.Table, setup: Setup) -> tuple[Anchors, list[tuple[np.nd
     anchor, context, doc, piece, start, end = (np.concatenate(x) for x in zip(*parts))
     bucket = (anchor % np.uint64(setup.buckets)).astype(np.int64)
     anchor = mixed(anchor) >> np.uint64(64 - 8 * ANCHOR_BYTES)
-    order = np.lexsort((doc, context, anchor, bucket))  # stable: pieces stay in order
+    # Rows stand by document and buckets are few, so two stable keys give all four.
+    order = np.lexsort((context, bucket.astype(np.uint64) << np.uint64(8 * ANCHOR_BYTES) | anchor))
     columns = [x[order] for x in (bucket, anchor, context, doc, piece, start, end)]
     first = heads(*columns[:3])
     return Anchors(*columns, runs_of(first), np.flatnonzero(first)), pieces
 
 
 def questions(table: pa.Table, setup: Setup) -> pa.Table:
+    table = by_document(table)
     found, _ = anchors_of(table, setup)
     bucket, anchor, context, doc = (
         x[found.asked] for x in (found.bucket, found.anchor, found.context, found.doc)
@@ -179,6 +185,7 @@ def contexts(table: pa.Table, replies: pa.Table, setup: Setup) -> pa.Table:
     """The contexts of this group that have to be compared, dealt by anchor or by window."""
     out = {name: [] for name in ("route", "g", "docs", "starts", "sizes", "content")}
     if len(table):
+        table = by_document(table)
         found, pieces = anchors_of(table, setup)
         code = codes_of(replies)
         lead = found.doc == found.doc[found.asked][found.question]
@@ -264,6 +271,7 @@ def matched(table: pa.Table, setup: Setup) -> pa.Table:
 
 def removed(table: pa.Table, replies: pa.Table, setup: Setup):
     """For each slice: (rows, units, mask of the symbols to remove)."""
+    table = by_document(table)
     found, pieces = anchors_of(table, setup)
     code = codes_of(replies)
     gone = found.doc > found.doc[found.asked][found.question]
