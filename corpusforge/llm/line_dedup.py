@@ -14,7 +14,7 @@ from corpusforge.llm.batches import BASE, Hashes, char_symbols, heads, mixed, ru
 MAX_EDITS = 2
 MIN_CHARS = 24
 FILTER_BINS = (7, 32)
-PAIR_BLOCK = 1 << 20
+PAIR_BLOCK = 1 << 17
 NEWLINE = 10
 
 

@@ -18,6 +18,8 @@ SAMPLE = 16_384
 """Fingerprints that the shard tree is fitted on; every fingerprint is indexed."""
 LEAF = 2_048
 """Fingerprints of a shard or of a leaf inside a shard, about."""
+BLOCK_CELLS = 1 << 20
+"""Pairs of fingerprints compared at once."""
 NULL_ID = (1 << 63) - 1
 
 
@@ -108,13 +110,19 @@ def shards(tree, points: np.ndarray, index: np.ndarray, reach: int = DISTANCE, n
     yield from shards(outer, points, index[d > radius], reach, 2 * name + 1)
 
 
-def close_pairs(points: np.ndarray, reach: int = DISTANCE):
-    """Index pairs within ``reach``, block by block, through a tree over the shard itself."""
+def close_pairs(points: np.ndarray, reach: int = DISTANCE, fine: np.ndarray | None = None, far: int = 64):
+    """Index pairs within ``reach``, block by block, through a tree over the shard itself.
+
+    With ``fine`` only pairs whose second fingerprints differ in ``far`` bits at most.
+    """
     tree = grow(points, len(points), reach)
     for _, rows in shards(tree, points, np.arange(len(points)), reach):
         here = points[rows]
-        for at in range(0, len(here), 256):
-            near = np.bitwise_count(here[at : at + 256, None] ^ here[None, at:]) <= reach
+        block = max(1, min(256, BLOCK_CELLS // max(1, len(here))))
+        for at in range(0, len(here), block):
+            near = np.bitwise_count(here[at : at + block, None] ^ here[None, at:]) <= reach
+            if fine is not None:
+                near &= np.bitwise_count(fine[rows[at : at + block], None] ^ fine[None, rows[at:]]) <= far
             i, j = np.nonzero(near)
             yield rows[i + at], rows[j + at]
 
@@ -198,7 +206,7 @@ WORD_DISTANCE = 4
 NEAR_DISTANCE = 16
 """Pairs that differ more than this in the fingerprint of their shingles are not looked at again."""
 NEAREST = 4
-PAIR_BLOCK = 1 << 20
+PAIR_BLOCK = 1 << 18
 
 
 def shingle_set(hashes: np.ndarray) -> np.ndarray:
@@ -238,10 +246,10 @@ def nearest_earlier(table: pa.Table, reach: int, far: int, most: int) -> pa.Tabl
     order = np.argsort(docs, kind="stable")
     words, fine, docs = words[order].view(np.uint64), fine[order].view(np.uint64), docs[order]
     found, size = [np.zeros((3, 0), np.int64)], 0
-    for i, j in close_pairs(words, reach):
+    for i, j in close_pairs(words, reach, fine, far):
         low, high = np.minimum(i, j), np.maximum(i, j)
         bits = np.bitwise_count(fine[low] ^ fine[high]).astype(np.int64)
-        good = (low < high) & (bits <= far)
+        good = low < high
         found.append(np.stack((high[good], bits[good], low[good])))
         size += found[-1].shape[1]
         if size > PAIR_BLOCK:
