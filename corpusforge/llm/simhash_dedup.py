@@ -78,12 +78,12 @@ def split(points: np.ndarray) -> tuple[np.uint64, int] | None:
     return None if radius < d.min() else (vantage, radius)
 
 
-def grow(points: np.ndarray, expected: float, reach: int = DISTANCE, depth: int = 0):
-    """A tree (vantage, radius, inner, outer) down to leaves of about LEAF fingerprints.
+def grow(points: np.ndarray, expected: float, reach: int = DISTANCE, leaf: int = LEAF, depth: int = 0):
+    """A tree (vantage, radius, inner, outer) down to leaves of about ``leaf`` fingerprints.
 
     ``expected``: how many fingerprints of the whole table arrive here.
     """
-    found = split(points) if expected > LEAF and len(points) >= 16 and depth < 40 else None
+    found = split(points) if expected > leaf and len(points) >= 16 and depth < 40 else None
     if found is None:
         return None
     d = distance(found[0], points)
@@ -91,7 +91,7 @@ def grow(points: np.ndarray, expected: float, reach: int = DISTANCE, depth: int
     if len(inner) == len(points):
         return None
     share = expected / len(points)
-    return (*found, grow(inner, share * len(inner), reach, depth + 1), grow(outer, share * len(outer), reach, depth + 1))
+    return (*found, grow(inner, share * len(inner), reach, leaf, depth + 1), grow(outer, share * len(outer), reach, leaf, depth + 1))
 
 
 def shards(tree, points: np.ndarray, index: np.ndarray, reach: int = DISTANCE, name: int = 1):
@@ -110,12 +110,12 @@ def shards(tree, points: np.ndarray, index: np.ndarray, reach: int = DISTANCE, n
     yield from shards(outer, points, index[d > radius], reach, 2 * name + 1)
 
 
-def close_pairs(points: np.ndarray, reach: int = DISTANCE, fine: np.ndarray | None = None, far: int = 64):
+def close_pairs(points: np.ndarray, reach: int = DISTANCE, fine: np.ndarray | None = None, far: int = 64, leaf: int = LEAF):
     """Index pairs within ``reach``, block by block, through a tree over the shard itself.
 
     With ``fine`` only pairs whose second fingerprints differ in ``far`` bits at most.
     """
-    tree = grow(points, len(points), reach)
+    tree = grow(points, len(points), reach, leaf)
     for _, rows in shards(tree, points, np.arange(len(points)), reach):
         here = points[rows]
         block = max(1, min(256, BLOCK_CELLS // max(1, len(here))))
@@ -148,11 +148,11 @@ def stars(table: pa.Table) -> pa.Table:
     return pa.table({"a": docs[own], "b": docs[label[own]]})
 
 
-def dealt_points(points: DataFrame, reach: int = DISTANCE) -> DataFrame:
+def dealt_points(points: DataFrame, reach: int = DISTANCE, leaf: int = LEAF) -> DataFrame:
     """The points (f, ..), once for each shard they belong to, with its name in ``shard``."""
     sample = points.orderBy(F.xxhash64("f"), "f").limit(SAMPLE).select("f").collect()
     total = points.count()
-    tree = grow(np.array([r[0] for r in sample], np.int64).view(np.uint64), total, reach) if sample else None
+    tree = grow(np.array([r[0] for r in sample], np.int64).view(np.uint64), total, reach, leaf) if sample else None
 
     def deal(batches):
         for batch in batches:
@@ -205,6 +205,8 @@ WORD_DISTANCE = 4
 """Near copies differ little in the fingerprint of their single words; the tree searches this far."""
 NEAR_DISTANCE = 16
 """Pairs that differ more than this in the fingerprint of their shingles are not looked at again."""
+NEAR_LEAF = 32_768
+"""A wide radius copies points into many shards, so the shards of this search are larger."""
 NEAREST = 4
 PAIR_BLOCK = 1 << 18
 
@@ -246,7 +248,7 @@ def nearest_earlier(table: pa.Table, reach: int, far: int, most: int) -> pa.Tabl
     order = np.argsort(docs, kind="stable")
     words, fine, docs = words[order].view(np.uint64), fine[order].view(np.uint64), docs[order]
     found, size = [np.zeros((3, 0), np.int64)], 0
-    for i, j in close_pairs(words, reach, fine, far):
+    for i, j in close_pairs(words, reach, fine, far, NEAR_LEAF):
         low, high = np.minimum(i, j), np.maximum(i, j)
         bits = np.bitwise_count(fine[low] ^ fine[high]).astype(np.int64)
         good = low < high
@@ -281,7 +283,7 @@ def simhash_near_dedup(docs: DataFrame, size: int = NEAR_SHINGLE, percent: int =
         marked.groupBy("key").agg(F.min("doc_id").alias("first"), F.min_by("f", "doc_id").alias("f"), F.min_by("fine", "doc_id").alias("fine")),
         "points",
     )
-    found = dealt_points(points.select("f", "fine", "first"), WORD_DISTANCE).groupBy("shard").applyInArrow(
+    found = dealt_points(points.select("f", "fine", "first"), WORD_DISTANCE, NEAR_LEAF).groupBy("shard").applyInArrow(
         lambda t: nearest_earlier(t, WORD_DISTANCE, NEAR_DISTANCE, NEAREST), "a long, bits long, b long"
     )
     closest = F.slice(F.array_sort(F.collect_set(F.struct("bits", "b"))), 1, NEAREST)  # at most NEAREST a shard
