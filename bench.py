@@ -37,6 +37,9 @@ HEADLINE = [
     "next_token_topk",
     "run_throughput",
     "bpe_merges",
+    "bpe_merges_5k",
+    "doc_tokens_gpt2",
+    "stored_batches",
     "stream_manifest",
 ]
 
@@ -72,7 +75,10 @@ def main() -> None:
         seconds[name] = timed(lambda: query(SF_DIR))
     n_tokens = c.corpus_totals(spark, SF_DIR).first()["n_tokens"]
     n_items = c.items(spark, SF_DIR).count()
+    gpt2_tokens = c.doc_tokens_gpt2(spark, SF_DIR).agg({"n_tokens": "sum"}).first()[0]
     rates = {
+        "gpt2_encode_tokens_per_sec": round(gpt2_tokens / seconds["doc_tokens_gpt2"]),
+        "bpe_merges_5k_ms_per_merge": round(1000 * seconds["bpe_merges_5k"] / c.MANY_MERGES, 2),
         "tokenize_pack_write_tokens_per_sec": round(n_tokens / seconds["tokenize_pack_write"]),
         "window_cut_tokens_per_sec": round(n_tokens / seconds["window_cut"]),
         "ngram_count_tokens_per_sec": round(n_tokens / seconds["ngram_counts"]),
