@@ -250,4 +250,4 @@ def line_dedup(
             within=True,
         )
 
-    return repeats.remove_repeats(docs, setup, cut, SCHEMA, carry)
+    return repeats.remove_repeats(docs, setup, cut, SCHEMA, carry, finer=2)

@@ -299,18 +299,19 @@ def removed(table: pa.Table, replies: pa.Table, setup: Setup):
 
 
 def remove_repeats(
-    docs: DataFrame, make_setup: Callable[[int], Setup], cut: Callable, schema: str, carry: tuple[str, ...] = ()
+    docs: DataFrame, make_setup: Callable[[int], Setup], cut: Callable, schema: str, carry: tuple[str, ...] = (), finer: int = 1
 ) -> DataFrame:
     """Apply ``cut(rows, units, mask)`` to every document; see the module's text for the steps.
 
-    Columns named in ``carry`` go through unchanged.
+    Columns named in ``carry`` go through unchanged. ``finer`` divides the groups, for symbols that
+    take more memory than bytes.
     """
     last = F.lit((1 << 63) - 1)
     carried = F.struct(*[docs[f"`{name}`"] for name in carry]) if carry else F.struct(F.lit(0))
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), carried.alias("carried"))
     output = StructType.fromDDL(schema).add("carried", docs.schema["carried"].dataType)
     docs = docs.withColumn("doc_id", F.coalesce("doc_id", last))
-    groups = group_count(docs)
+    groups = group_count(docs) * finer
     setup = make_setup(groups)
     rows = docs.withColumn("g", group_of("doc_id", groups))
     # One plan for all three uses, so that Spark writes the exchange once.
