@@ -36,6 +36,7 @@ OVERLAP = 0.5
 ENTRIES = 1 << 20
 """Index entries that are looked at together, about."""
 CHUNK_ITEMS = 5_000
+SLICE_BYTES = 1 << 19
 """Items of one index; a larger benchmark is searched chunk by chunk, so no broadcast grows with it."""
 
 
@@ -262,7 +263,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches, shipped=shipped):
             if len(shipped.value.items):
                 for batch in batches:
-                    for part in slices(pa.table(batch)):
+                    for part in slices(pa.table(batch), most=SLICE_BYTES):
                         yield leaks(shipped.value, part)
 
         found = rows.mapInArrow(run, schema)
