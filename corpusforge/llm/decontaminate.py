@@ -15,12 +15,12 @@ from corpusforge.llm.batches import (
     columns_of,
     heads,
     lowered,
-    mixed,
     slices,
     utf8,
     word_hashes,
     word_spans,
 )
+from corpusforge.session import cut_lineage
 
 PASSAGE = 64
 STRIDE = 32
@@ -36,8 +36,8 @@ OVERLAP = 0.5
 ENTRIES = 1 << 20
 """Index entries that are looked at together, about."""
 CHUNK_ITEMS = 5_000
-SLICE_BYTES = 1 << 19
 """Items of one index; a larger benchmark is searched chunk by chunk, so no broadcast grows with it."""
+SLICE_BYTES = 1 << 19
 
 
 def words_of(texts) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +59,7 @@ def lookup(keys: np.ndarray, found: np.ndarray) -> np.ndarray:
 class Index:
     """Postings by term and part; those of a term in one block of parts are an entry with its largest impact."""
 
-    items: np.ndarray
+    items: list[int | None]
     terms: np.ndarray  # sorted word hashes
     entry_of: np.ndarray  # (terms + 2,): first entry of each term; the last "term" is any other word and has none
     block: np.ndarray  # block of each entry
@@ -91,7 +91,39 @@ def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return Hashes(words).of(at, at + size)
 
 
-def build_index(ids: list[int], texts: list[str]) -> Index:
+@dataclass(frozen=True)
+class Statistics:
+    """Counts over all items of a benchmark, those of terms for one chunk's terms."""
+
+    parts: int
+    words: int
+    terms: np.ndarray  # sorted word hashes
+    df: np.ndarray  # parts that hold each of them
+
+
+def part_counts(batches) -> Iterator[pa.RecordBatch]:
+    """(chunk, term, parts, words): the parts that hold a term; a null term counts parts and words."""
+    for batch in batches:
+        words, first = words_of(pa.chunked_array([batch.column("text")]))
+        sizes = np.diff(first)
+        parts = -(-sizes // PASSAGE)
+        chunk = batch.column("chunk").to_numpy()
+        of_part = np.repeat(np.cumsum(parts) - parts, sizes) + ranges(np.zeros(len(sizes), np.int64), sizes) // PASSAGE
+        order = np.lexsort((of_part, words))
+        at = order[heads(words[order], of_part[order])]
+        of_term = np.repeat(chunk, sizes)[at]
+        yield pa.record_batch(
+            {
+                "chunk": pa.array(np.concatenate((of_term, chunk)), pa.int32()),
+                "term": pa.array([*words[at].view(np.int64).tolist(), *[None] * len(chunk)], pa.int64()),
+                "parts": pa.array(np.concatenate((np.ones(len(at), np.int64), parts)), pa.int64()),
+                "words": pa.array(np.concatenate((np.zeros(len(at), np.int64), sizes)), pa.int64()),
+            }
+        )
+
+
+def build_index(ids: list[int | None], texts: list[str], whole: Statistics | None = None) -> Index:
+    """The index of some items; ``whole`` has the counts of the benchmark that they are a chunk of."""
     words, first = words_of(pa.chunked_array([pa.array(texts, pa.string())]))
     parts, part_item, pairs, sizes = [], [], [], []
     for i, text in enumerate(texts):
@@ -115,8 +147,10 @@ def build_index(ids: list[int], texts: list[str]) -> Index:
     keys, tf = np.unique(lookup(terms, words) * max(1, len(parts)) + part_of, return_counts=True)
     term, part = np.divmod(keys, max(1, len(parts)))
     df = np.bincount(term, minlength=len(terms))
-    idf = np.log(1 + (len(parts) - df + 0.5) / (df + 0.5))
-    norm = K1 * (1 - B + B * length / max(length.mean(), 1)) if len(parts) else length
+    known = whole or Statistics(len(parts), len(words), terms, df)
+    df = known.df[np.searchsorted(known.terms, terms)]
+    idf = np.log(1 + (known.parts - df + 0.5) / (df + 0.5))
+    norm = K1 * (1 - B + B * length * known.parts / max(known.words, known.parts, 1))
     weight = (idf[term] * tf * (K1 + 1) / (tf + norm[part])).astype(np.float32)
     least = RETRIEVE * np.bincount(part, weight * tf, len(parts))
     begin = np.flatnonzero(heads(term, part // BLOCK))
@@ -124,7 +158,7 @@ def build_index(ids: list[int], texts: list[str]) -> Index:
     entry_of = np.searchsorted(term[begin], np.arange(len(terms) + 2))
     rows = np.array(sorted(pairs), np.uint64).reshape(-1, 3)
     return Index(
-        np.array(ids, np.int64), terms, entry_of, part[begin] // BLOCK, highest, np.append(begin, len(part)),
+        ids, terms, entry_of, part[begin] // BLOCK, highest, np.append(begin, len(part)),
         part, weight, least, np.array(part_item, np.int64),
         np.unique(rows[:, 0]), rows, np.array(sizes, np.int64).reshape(-1, 2),
     )
@@ -229,7 +263,7 @@ def leaks(index: Index, rows: pa.Table) -> pa.RecordBatch:
     for (d, i), (score, n) in sorted(best.items()):
         shares = [h / s if s else None for h, s in zip(held.get((d, i), (0, 0)), index.sizes[i])]
         if all(x is None or x >= OVERLAP for x in shares) and shares != [None, None]:
-            for name, value in zip(out, (docs[d], int(index.items[i]), n, score, *shares)):
+            for name, value in zip(out, (docs[d], index.items[i], n, score, *shares)):
                 out[name].append(value)
     types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
     return pa.record_batch({name: pa.array(x, t) for (name, x), t in zip(out.items(), types)})
@@ -245,19 +279,34 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     has a null overlap and is not asked for.
 
     Takes (doc_id, text) and (item_id, text) and ignores other columns. Null, empty and blank texts
-    leak nothing and are no items; null ids come back as null and 0; repeated documents leak each for
-    itself, repeated items are one; empty tables give no rows. Word counts and idf are those of a
-    chunk of items, if the benchmark has more than CHUNK_ITEMS.
+    leak nothing and are no items; null ids of either table come back as null; repeated documents leak
+    each for itself, repeated items are one; empty tables give no rows. Word counts and idf are those
+    of all items, also where the benchmark is searched in chunks.
     """
     items = columns_of(benchmark, "item_id", "text").where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).distinct()
-    items = items.select(F.coalesce(F.col("item_id").cast("long"), F.lit(0)).alias("item_id"), "text")
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     chunks = max(1, math.ceil(items.count() / CHUNK_ITEMS))
+    if chunks > 1:
+        of_chunk = F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)).cast("int")
+        items = cut_lineage(items.withColumn("chunk", of_chunk), "benchmark")
+        counts = items.select("chunk", "text").mapInArrow(part_counts, "chunk int, term long, parts long, words long")
+        counts = cut_lineage(counts.groupBy("chunk", "term").agg(F.sum("parts").alias("parts"), F.sum("words").alias("words")), "terms")
+        n_parts, n_words = counts.where("term is null").agg(F.sum("parts"), F.sum("words")).first()
+        df = counts.where("term is not null").groupBy("term").agg(F.sum("parts").alias("df"))
     rows = columns_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, item_id long, n_passages long, score double, question_overlap double, answer_overlap double"
     result = None
     for chunk in range(chunks):
-        held = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == chunk).orderBy("item_id", "text").collect()
-        index = build_index([r[0] for r in held], [r[1] for r in held])
+        held, whole = items, None
+        if chunks > 1:
+            held = items.where(F.col("chunk") == chunk)
+            own = df.join(counts.where((F.col("chunk") == chunk) & F.col("term").isNotNull()).select("term"), "term", "left_semi")
+            rows_of = own.select("term", "df").toArrow()
+            terms = rows_of.column("term").to_numpy().view(np.uint64)
+            order = np.argsort(terms)
+            whole = Statistics(n_parts, n_words, terms[order], rows_of.column("df").to_numpy()[order])
+        held = held.orderBy("item_id", "text").collect()
+        index = build_index([r["item_id"] for r in held], [r["text"] for r in held], whole)
         shipped = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, shipped=shipped):

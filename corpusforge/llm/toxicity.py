@@ -82,6 +82,8 @@ def fit(table: pa.Table) -> pa.Table:
     rows, docs = np.repeat(np.arange(n), sizes), np.array(docs, np.int64)
     cols = np.concatenate([np.zeros(0, np.int32), *hits])
     weight, bias = np.zeros(len(names)), -4.0
+    # Both classes weigh the same, whatever their ratio in the sample, so 0.5 means the same at every size.
+    share = 0.5 / np.bincount(labels, minlength=2)[labels]
     speed, speed_b = np.full(len(names), 1e-8), 1e-8
     # Rates grow with a feature's documents, so that beginnings learn before single words do.
     often = np.array([seen[0].get(x, 0) + seen[1].get(x, 0) for x in names], np.float64)
@@ -91,7 +93,7 @@ def fit(table: pa.Table) -> pa.Table:
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         clean = np.exp(np.bincount(docs, np.log1p(-np.minimum(p, 1 - 1e-12)), len(labels)))
         toxic = np.maximum(1 - clean, 1e-12)
-        pull = np.where(labels == 1, clean / toxic, -1.0)[docs] * p / len(labels)
+        pull = (np.where(labels == 1, clean / toxic, -1.0) * share)[docs] * p
         step = np.bincount(cols, pull[rows], len(names)) - DECAY / len(labels) * weight
         speed += step**2
         weight += rate * step / np.sqrt(speed)
@@ -123,7 +125,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     ``labels`` (doc_id, toxic) are learnt from where crc32(doc_id as text) mod 5 is not 0 and never
     enter a score. ``offending`` lists (start, end, score) of the sentences with a score of 0.5 or
-    more, as characters of the text. Texts without a word (null, empty, signs only) score 0; without
+    more, as characters of the text. Both classes weigh the same in the fit. Texts without a word (null, empty, signs only) score 0; without
     labels of both classes all score 0; a null doc_id is not held out and comes back as null; rows
     that repeat score alike; an empty table gives no rows. Other columns are ignored.
     """

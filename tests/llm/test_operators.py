@@ -11,6 +11,7 @@ from collections import Counter
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -76,7 +77,7 @@ def test_nothing_leaks_from_odd_rows(spark, labels, benchmark):
     assert run(table(spark, [])).count() == 0
     assert run(table(spark, ODD)).where("doc_id is not null").count() == 0
     found = run(table(spark, [(1, "so What is ONE? two three four five six seven", "a"), (2, "what is one", "a")])).collect()
-    assert [(r.doc_id, r.item_id) for r in found] == [(1, 0)]
+    assert [(r.doc_id, r.item_id) for r in found] == [(1, None)]
 
 
 def random_texts(seed, n=120):
@@ -279,6 +280,41 @@ def test_toxic_sentences_are_found(spark):
     assert spots and sum("grumpus" in s for s in spots) >= 0.95 * len(spots)
 
 
+def test_scores_are_noisy_or_of_sentences(spark, monkeypatch):
+    """With a given model every score is 1 minus the product of its sentences' chances to be clean."""
+    model = {"": -2.0, "bad": 2.5, "wors*": 1.5, "fine": -1.0}
+    monkeypatch.setattr(toxicity, "fit", lambda t: pa.table({"feature": list(model), "weight": list(model.values())}))
+    r = random.Random(14)
+    rows = [(d, "".join(r.choice(["bad ", "worse ", "fine ", "word ", ". ", "! ", "\n"]) for _ in range(r.randint(0, 40))), None) for d in range(60)]
+    labels = spark.createDataFrame([(d, d % 2) for d in range(60)], "doc_id long, toxic int")
+    for x in toxicity.toxicity(table(spark, rows), labels).collect():
+        clean = 1.0
+        for sentence in re.split(r"[.!?\n]+", rows[x.doc_id][1]):
+            words = set(sentence.split())
+            if words:
+                z = -2.0 + 2.5 * ("bad" in words) + 1.5 * ("worse" in words) - ("fine" in words)
+                clean *= 1 - 1 / (1 + math.exp(-z))
+        assert math.isclose(x.score, 1 - clean, abs_tol=1e-9) and x.predicted == (x.score >= 0.5)
+
+
+def test_copies_of_one_class_do_not_move_the_threshold():
+    r = random.Random(15)
+    plain = [f"word{i}" for i in range(50)]
+
+    def texts(n, mark):
+        return [" ".join(r.choice(plain) for _ in range(12)) + mark for _ in range(n)]
+
+    rows = [(t, 0) for t in texts(60, "")] + [(t, 1) for t in texts(60, " grumpus")]
+    fitted = []
+    for times in (1, 5):
+        seen = [(t, c) for t, c in rows for _ in range(times if c == 0 else 1)]
+        ids, labels = pa.array(range(len(seen)), pa.int64()), pa.array([c for _, c in seen], pa.int32())
+        model = toxicity.fit(pa.table({"doc_id": ids, "text": [t for t, _ in seen], "toxic": labels}))
+        fitted.append(dict(zip(model.column("feature").to_pylist(), model.column("weight").to_pylist())))
+    assert abs(fitted[0][""] - fitted[1][""]) < 0.2
+    assert all(f[""] + sum(f.get(x, 0) for x in toxicity.features("grumpus")) > 0 > f[""] for f in fitted)
+
+
 def test_class_model(spark):
     rows = [(d, t, None) for d, t, _ in random_texts(8)]
     got = {r.doc_id: r for r in class_model.class_model_scores(table(spark, rows)).collect()}
@@ -293,7 +329,55 @@ def test_class_model(spark):
         assert math.isclose(r.base_score, base, rel_tol=1e-9, abs_tol=1e-9) and r.score < 0
 
 
-def test_class_probabilities_sum_to_one(spark):
+def test_class_probabilities_sum_to_one():
+    """After any class the chances of all words, the unknown one and the end add up to one."""
+    r = np.random.default_rng(9)
+    k = class_model.END + 1
+    classes = np.concatenate((r.choice([0, 3, 7], 500), np.full(41, class_model.RARE), [class_model.END]))
+    counts = np.where(classes == class_model.RARE, 1, r.integers(2, 90, len(classes)))
+    counts[540] = 0  # the unknown word
+    size = np.bincount(classes, counts, k)
+    members = np.bincount(classes, minlength=k)
+    moves = np.zeros((k, k))
+    used = np.unique(classes)
+    moves[np.ix_(used, used)] = r.integers(0, 50, (len(used), len(used)))
+    chance = class_model.chances(moves, members) @ np.eye(k)[:, classes]
+    total = (chance * class_model.shares(counts, classes, size, members)).sum(axis=1)
+    assert np.allclose(total, 1, rtol=0, atol=1e-9)
+
+
+def test_words_without_evidence_are_rare(spark, monkeypatch):
+    """With the end as the only frequent word, inner words have no evidence: a chain of two states by hand."""
+    monkeypatch.setattr(class_model, "FREQUENT", 1)
+    rows = [(i, " ".join([f"a{i}", *(f"mid{(i + k) % 7}" for k in range(i % 5)), f"z{i}"]), None) for i in range(150)]
+    held = {d: zlib.crc32(str(d).encode()) % 5 == 1 for d, _, _ in rows}
+    learnt = [t.split() for d, t, _ in rows if not held[d]]
+    members = len({w for t in learnt for w in t}) + 1
+    inner, n = sum(len(t) - 1 for t in learnt), len(learnt)
+    # moves: rare-rare, rare-end and end-rare; an end never follows an end
+    prior_rare, prior_end = inner + n + 0.5, n + 0.5
+    prior_rare, prior_end = (x / (prior_rare + prior_end) for x in (prior_rare, prior_end))
+    s = class_model.SMOOTHING
+    after_rare = inner + n + s
+    logs = [math.log10(x) for x in ((inner + s * prior_rare) / after_rare, (n + s * prior_end) / after_rare, (n + s * prior_rare) / (n + s))]
+    for x in class_model.class_model_scores(table(spark, rows)).collect():
+        want = (x.n_tokens - 2) * logs[0] + logs[1] + logs[2] - (x.n_tokens - 1) * math.log10(members)
+        assert math.isclose(x.score, want, rel_tol=1e-9)
+
+
+def test_pair_counts_beyond_three_bytes():
+    """A word that stands 2^24 + 5 times after a frequent class keeps its class."""
+    word = np.array([7], np.uint64)
+    known = pa.table({"bucket": pa.array([0], pa.int32()), "words": [class_model.packed(word)], "counts": [class_model.packed(np.array([1 << 25]))]})
+    codes, ns = class_model.packed(np.array([4, 5]), 1), class_model.packed(np.array([(1 << 24) + 5, 50]), 5)
+    seen = pa.table({"words": [class_model.packed(word)], "sizes": [class_model.packed(np.array([2]), 2)], "codes": [codes], "ns": [ns]})
+    scores = np.zeros((2 * (class_model.CLASSES + 1), class_model.CLASSES))
+    scores[4, 1], scores[5, 2] = 1.0, 1.0
+    got = class_model.assigned(known, seen, np.zeros(0, np.uint64), np.zeros(0, np.int64), scores)
+    assert class_model.unpacked(got.column("classes")[0].as_py(), 1).tolist() == [1]
+
+
+def test_one_word_texts_take_part_of_the_probability(spark):
     """All one-word texts and the empty one: the first token's chances add up over words and the end."""
     words = [f"w{i}" for i in range(30)]
     r = random.Random(9)
@@ -328,13 +412,50 @@ def test_all_leaks_are_found(spark, benchmark):
     assert {(x.doc_id, x.item_id) for x in got.collect()} == {(d, d % 40) for d in range(0, 120, 4)}
 
 
+def test_chunks_give_the_scores_of_the_whole_benchmark(spark, monkeypatch):
+    r = random.Random(12)
+    words = [f"t{i}" for i in range(200)]
+    items = [(i if i % 9 else None, " ".join(r.choice(words) for _ in range(r.randint(5, 150)))) for i in range(30)]
+    rows = [(d, " ".join([*(r.choice(words) for _ in range(80)), items[d % 30][1], "end"]), None) for d in range(60)]
+    leaks = {}
+    for most in (decontaminate.CHUNK_ITEMS, 7):
+        monkeypatch.setattr(decontaminate, "CHUNK_ITEMS", most)
+        got = decontaminate.decontaminate(table(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+        leaks[most] = sorted((x.doc_id, -1 if x.item_id is None else x.item_id, x.n_passages, round(x.score, 4), x.question_overlap) for x in got)
+    whole, chunked = leaks.values()
+    assert whole == chunked
+    assert len({x[0] for x in chunked}) == 60
+
+
+def test_overlaps_equal_sets_of_word_grams():
+    r = random.Random(13)
+    words = [f"t{i}" for i in range(25)]
+    items = [" ".join(r.choice(words) for _ in range(r.randint(1, 40))) for _ in range(30)]
+    items = [t.replace(" ", "? ", 1) if i % 3 == 0 else t for i, t in enumerate(items)]
+    texts = [" ".join([*(r.choice(words) for _ in range(r.randint(0, 60))), *items[i % 30].split()[: r.randint(0, 40)]]) for i in range(50)]
+    index = decontaminate.build_index(list(range(30)), items)
+    own, first = decontaminate.words_of(pa.array(texts))
+    held = decontaminate.overlaps(index, own, first, np.arange(50))
+
+    def grams(side, size):
+        return {tuple(side[i : i + size]) for i in range(len(side) - size + 1)} if size else set()
+
+    for i, item in enumerate(items):
+        all_words = item.split()
+        cut = len(item[: item.rindex("?") + 1].split()) if "?" in item else 0
+        if not 0 < cut < len(all_words):
+            cut = math.ceil(len(all_words) * 2 / 3)
+        sides = [(side, min(5, len(side))) for side in (all_words[:cut], all_words[cut:])]
+        for d, text in enumerate(texts):
+            want = [len(grams(side, size) & grams(text.split(), size)) for side, size in sides]
+            assert held.get((d, i), [0, 0]) == want
+
+
 def test_bounds_lose_no_passage():
     r = random.Random(11)
     words = [f"t{i}" for i in range(60)]
     items = [" ".join(r.choice(words) for _ in range(30)) for _ in range(50)]
     index = decontaminate.build_index(list(range(50)), items)
-    import pyarrow as pa
-
     own, first = decontaminate.words_of(pa.array([" ".join(r.choice(words) for _ in range(200)) for _ in range(20)]))
     got = {(int(d), int(p), round(float(s), 4)) for ds, ps, ss in decontaminate.retrieved(index, own, first) for d, p, s in zip(ds, ps, ss)}
     term, want = decontaminate.lookup(index.terms, own), set()
