@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from corpusforge.llm.batches import columns_of, heads, runs_of, slices
+from corpusforge.llm.batches import columns_of, heads, mixed, runs_of, slices
 from corpusforge.llm.components import components
 from corpusforge.session import cut_lineage
 
@@ -110,7 +110,9 @@ def shards(tree, points: np.ndarray, index: np.ndarray, reach: int = DISTANCE, n
     yield from shards(outer, points, index[d > radius], reach, 2 * name + 1)
 
 
-def close_pairs(points: np.ndarray, reach: int = DISTANCE, fine: np.ndarray | None = None, far: int = 64, leaf: int = LEAF):
+def close_pairs(
+    points: np.ndarray, reach: int = DISTANCE, fine: np.ndarray | None = None, far: int = 64, leaf: int = LEAF, cells: int = BLOCK_CELLS
+):
     """Index pairs within ``reach``, block by block, through a tree over the shard itself.
 
     With ``fine`` only pairs whose second fingerprints differ in ``far`` bits at most.
@@ -118,7 +120,7 @@ def close_pairs(points: np.ndarray, reach: int = DISTANCE, fine: np.ndarray | No
     tree = grow(points, len(points), reach, leaf)
     for _, rows in shards(tree, points, np.arange(len(points)), reach):
         here = points[rows]
-        block = max(1, min(256, BLOCK_CELLS // max(1, len(here))))
+        block = max(1, min(256, cells // max(1, len(here))))
         for at in range(0, len(here), block):
             near = np.bitwise_count(here[at : at + block, None] ^ here[None, at:]) <= reach
             if fine is not None:
@@ -201,12 +203,16 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
 # --- near copies by the share of common shingles ------------------------------------------
 
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80
-WORD_DISTANCE = 4
-"""Near copies differ little in the fingerprint of their single words; the tree searches this far."""
+WORD_DISTANCE = 2
+WORD_MIXES = 5
+"""Near copies differ little in fingerprints of their single words. One such fingerprint would have to be
+searched 4 bits far, and so wide a band copies most points into most shards; of several that stand on
+independent hashes of the same words one is close, and each has a tree of its own."""
 NEAR_DISTANCE = 16
 """Pairs that differ more than this in the fingerprint of their shingles are not looked at again."""
 NEAR_LEAF = 32_768
-"""A wide radius copies points into many shards, so the shards of this search are larger."""
+"""Larger shards hold more of the band around a radius, so points are copied less often."""
+NEAR_CELLS = 1 << 18
 NEAREST = 4
 PAIR_BLOCK = 1 << 18
 
@@ -216,21 +222,36 @@ def shingle_set(hashes: np.ndarray) -> np.ndarray:
     return np.unique(hashes) if len(hashes) else np.zeros(1, np.uint64)
 
 
+def several(hashes: np.ndarray) -> np.ndarray:
+    """WORD_MIXES fingerprints of one text's words, each of the hashes mixed once more, as signed numbers."""
+    found = []
+    for _ in range(WORD_MIXES):
+        found.append(majority(hashes))
+        hashes = mixed(hashes)
+    return np.array(found, np.uint64).view(np.int64)
+
+
 def marks(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, f, fine, key): fingerprints of words and of shingles, and a hash of the shingle set."""
+    """(doc_id, words, fine, key): fingerprints of words and of shingles, and a hash of the shingle set."""
 
     def run(batches):
         for batch in batches:
             for rows in slices(pa.table(batch)):
                 texts = rows.column("text").to_pylist()
                 found = [hashed(shingled(t, size)) for t in texts]
-                words = np.array([fingerprint(t, 1) for t in texts], np.uint64)
+                words = [several(hashed(shingled(t, 1))) for t in texts]
                 fine = np.array(list(map(majority, found)), np.uint64)
                 keys = np.array([xxhash.xxh64_intdigest(shingle_set(h).tobytes()) for h in found], np.uint64)
-                columns = {"f": words, "fine": fine, "key": keys}
-                yield pa.record_batch({"doc_id": rows.column("doc_id").combine_chunks(), **{k: pa.array(v.view(np.int64)) for k, v in columns.items()}})
+                yield pa.record_batch(
+                    {
+                        "doc_id": rows.column("doc_id").combine_chunks(),
+                        "words": pa.array(words, pa.list_(pa.int64())),
+                        "fine": pa.array(fine.view(np.int64)),
+                        "key": pa.array(keys.view(np.int64)),
+                    }
+                )
 
-    return docs.mapInArrow(run, "doc_id long, f long, fine long, key long")
+    return docs.mapInArrow(run, "doc_id long, words array<long>, fine long, key long")
 
 
 def first_of_each(pairs: np.ndarray, most: int) -> np.ndarray:
@@ -248,7 +269,7 @@ def nearest_earlier(table: pa.Table, reach: int, far: int, most: int) -> pa.Tabl
     order = np.argsort(docs, kind="stable")
     words, fine, docs = words[order].view(np.uint64), fine[order].view(np.uint64), docs[order]
     found, size = [np.zeros((3, 0), np.int64)], 0
-    for i, j in close_pairs(words, reach, fine, far, NEAR_LEAF):
+    for i, j in close_pairs(words, reach, fine, far, NEAR_LEAF, NEAR_CELLS):
         low, high = np.minimum(i, j), np.maximum(i, j)
         bits = np.bitwise_count(fine[low] ^ fine[high]).astype(np.int64)
         good = low < high
@@ -265,11 +286,11 @@ def simhash_near_dedup(docs: DataFrame, size: int = NEAR_SHINGLE, percent: int =
     """(doc_id, component_id) of every document: near copies share ``percent`` of their shingles.
 
     Fingerprints of shingles of ``size`` words lie too far apart for near copies to be searched by
-    them, those of single words lie close. So the vantage-point tree stands on the fingerprints of
-    words; a document asks for the NEAREST earlier ones in the fingerprint of shingles. A link counts
+    them, those of single words lie close. So WORD_MIXES vantage-point trees stand on fingerprints of
+    words, each by another hash of them; a document asks for the NEAREST earlier ones in the fingerprint of shingles. A link counts
     only if the exact share of common shingles is ``percent`` or more. So every link is right, and no
-    group of near copies is paired out; a near copy is missed if its words' fingerprint lies further
-    than WORD_DISTANCE off, or if none of the earlier documents it asks for is near enough.
+    group of near copies is paired out; a near copy is missed if all its words' fingerprints lie
+    further than WORD_DISTANCE off, or if none of the earlier documents it asks for is near enough.
 
     Equal shingle sets are merged first. ``component_id`` is the smallest doc_id that chains of links
     reach. Texts without words are equal; rows that share a doc_id are one node; a null doc_id comes
@@ -280,12 +301,16 @@ def simhash_near_dedup(docs: DataFrame, size: int = NEAR_SHINGLE, percent: int =
     )
     marked = cut_lineage(marks(docs, size), "marks")
     points = cut_lineage(
-        marked.groupBy("key").agg(F.min("doc_id").alias("first"), F.min_by("f", "doc_id").alias("f"), F.min_by("fine", "doc_id").alias("fine")),
+        marked.groupBy("key").agg(F.min("doc_id").alias("first"), F.min_by("words", "doc_id").alias("words"), F.min_by("fine", "doc_id").alias("fine")),
         "points",
     )
-    found = dealt_points(points.select("f", "fine", "first"), WORD_DISTANCE, NEAR_LEAF).groupBy("shard").applyInArrow(
-        lambda t: nearest_earlier(t, WORD_DISTANCE, NEAR_DISTANCE, NEAREST), "a long, bits long, b long"
-    )
+    found = None
+    for k in range(WORD_MIXES):
+        dealt = dealt_points(points.select(F.col("words")[k].alias("f"), "fine", "first"), WORD_DISTANCE, NEAR_LEAF)
+        near = dealt.groupBy("shard").applyInArrow(
+            lambda t: nearest_earlier(t, WORD_DISTANCE, NEAR_DISTANCE, NEAREST), "a long, bits long, b long"
+        )
+        found = near if found is None else found.unionByName(near)
     closest = F.slice(F.array_sort(F.collect_set(F.struct("bits", "b"))), 1, NEAREST)  # at most NEAREST a shard
     pairs = cut_lineage(found.groupBy("a").agg(closest.alias("near")).select("a", F.explode("near").alias("x")).select("a", "x.b"), "near-pairs")
 
