@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import math
 from collections.abc import Iterator
@@ -23,6 +25,13 @@ def columns_of(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*[docs[f"`{name}`"] for name in names])
 
 
+def give_back() -> None:
+    """Return memory that Arrow and the C library hold but do not use: workers go on to other stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(F.col(text)).cast("long"))).first()[0] or 0
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from corpusforge.llm.batches import (
     Hashes,
     columns_of,
+    give_back,
     heads,
     lowered,
     slices,
@@ -314,6 +315,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 for batch in batches:
                     for part in slices(pa.table(batch), most=SLICE_BYTES):
                         yield leaks(shipped.value, part)
+                    give_back()
 
         found = rows.mapInArrow(run, schema)
         result = found if result is None else result.unionByName(found)

@@ -31,6 +31,7 @@ from pyspark.sql.types import StructType
 
 from corpusforge.llm.batches import (
     Hashes,
+    give_back,
     group_count,
     group_of,
     heads,
@@ -338,7 +339,7 @@ def remove_repeats(
         if not len(table):
             return cut(table, setup.read(table), np.zeros(0, bool)).append_column("carried", table.column("carried"))
         done = [cut(*x).append_column("carried", x[0].column("carried")) for x in removed(table, told_rows, setup)]
-        pa.default_memory_pool().release_unused()  # a worker goes on to other stages
+        give_back()
         return pa.concat_tables(done)
 
     done = rows.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(finish, output)

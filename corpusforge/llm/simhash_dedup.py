@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from corpusforge.llm.batches import columns_of, heads, mixed, runs_of, slices
+from corpusforge.llm.batches import columns_of, give_back, heads, mixed, runs_of, slices
 from corpusforge.llm.components import components
 from corpusforge.session import cut_lineage
 
@@ -279,6 +279,8 @@ def nearest_earlier(table: pa.Table, reach: int, far: int, most: int) -> pa.Tabl
             found = [first_of_each(np.concatenate(found, axis=1), most)]
             size = 0
     a, bits, b = first_of_each(np.concatenate(found, axis=1), most)
+    del found
+    give_back()
     return pa.table({"a": docs[a], "bits": bits, "b": docs[b]})
 
 

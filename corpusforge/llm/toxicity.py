@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusforge.llm.batches import columns_of, slices
+from corpusforge.llm.batches import columns_of, give_back, slices
 from corpusforge.llm.bpe_tables import Memo
 
 FOLDS = 5
@@ -131,7 +131,12 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     rows = training_rows(docs, labels).withColumn("all", F.lit(0))
     # One task fits the model: its rows are bounded by SAMPLE_PER_CLASS.
-    model = rows.groupBy("all").applyInArrow(lambda t: fit(t), "feature string, weight double").collect()
+    def fitted(table):
+        model = fit(table)
+        give_back()
+        return model
+
+    model = rows.groupBy("all").applyInArrow(fitted, "feature string, weight double").collect()
     weights = docs.sparkSession.sparkContext.broadcast({r[0]: r[1] for r in model})
 
     def run(batches):
