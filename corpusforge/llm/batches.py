@@ -25,9 +25,11 @@ def columns_of(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*[docs[f"`{name}`"] for name in names])
 
 
-def give_back() -> None:
-    """Return memory that Arrow and the C library hold but do not use: workers go on to other stages."""
+def give_back(all_of_it: bool = True) -> None:
+    """Return memory that Arrow (and the C library) hold but do not use: workers go on to other stages."""
     pa.default_memory_pool().release_unused()
+    if not all_of_it:
+        return
     with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 

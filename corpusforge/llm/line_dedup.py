@@ -248,6 +248,7 @@ def line_dedup(
             "<u4",
             routes,
             within=True,
+            tidy=True,
         )
 
     return repeats.remove_repeats(docs, setup, cut, SCHEMA, carry, finer=2)

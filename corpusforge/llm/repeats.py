@@ -68,6 +68,7 @@ class Setup:
     buckets: int
     window: int = 0  # length of the windows that contexts of hot anchors are cut into; 0: never
     within: bool = False  # parts that stand earlier in the same document count too
+    tidy: bool = False  # after a group all unused memory goes back, not Arrow's alone
 
 
 def window_anchors(units: Units, window: int, k: int) -> tuple:
@@ -339,7 +340,7 @@ def remove_repeats(
         if not len(table):
             return cut(table, setup.read(table), np.zeros(0, bool)).append_column("carried", table.column("carried"))
         done = [cut(*x).append_column("carried", x[0].column("carried")) for x in removed(table, told_rows, setup)]
-        give_back()
+        give_back(setup.tidy)
         return pa.concat_tables(done)
 
     done = rows.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(finish, output)
