@@ -1,10 +1,10 @@
 """Conversations as training examples by prefix-target expansion.
 
 Every assistant turn becomes an example of its own: all turns before it are context, and only its
-reply is trainable. Written out, the contexts of a conversation of n turns hold of the order of n * n
-turns. So a conversation is formatted once, as a stream of pieces with places, and an example says
-which part of the stream it reads: from 0 to ``loss_to``, trainable from ``loss_from``. ``expanded``
-writes examples out in full.
+reply is trainable. A conversation is formatted once, as a stream of pieces with places, and an example
+says which part of the stream it reads: from 0 to ``loss_to``, trainable from ``loss_from``.
+``expanded`` writes examples out in full, and replies are read back from there. Written out, the
+contexts of a conversation of n turns hold of the order of n * n turns.
 """
 
 from __future__ import annotations
@@ -110,14 +110,16 @@ def examples(stream: DataFrame) -> DataFrame:
 def expanded(stream: DataFrame, chosen: DataFrame) -> DataFrame:
     """(conv_id, turn, text, loss_from, loss_to) of the chosen examples, written out in full.
 
-    An example's text is as long as its context: choose the examples of a training shard, not all
-    examples of an endless conversation.
+    An example's text is as long as its context, and that is what a task holds at a time.
     """
-    pieces = stream.select(F.col("conv_id").alias("_conv"), "offset", "piece")
-    keys = ["conv_id", "turn", "loss_from", "loss_to"]
-    meets = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("offset") < F.col("loss_to"))
-    joined = chosen.join(pieces, meets).groupBy(*keys).agg(F.expr("listagg(piece) within group (order by offset)").alias("text"))
-    return joined.select("conv_id", "turn", F.substring("text", F.lit(1), F.col("loss_to").cast("int")).alias("text"), "loss_from", "loss_to")
+    by = ["_conv", "_none"]  # a null conversation meets itself; one exchange serves the join and the sums
+    conv = [F.coalesce("conv_id", F.lit(0)).alias("_conv"), F.col("conv_id").isNull().alias("_none")]
+    pieces = stream.select(*conv, "offset", "piece")
+    asked = chosen.select(*conv, "conv_id", "turn", "loss_from", "loss_to")
+    keys = [*by, "conv_id", "turn", "loss_from", "loss_to"]
+    joined = asked.join(pieces, by).where(F.col("offset") < F.col("loss_to"))
+    written = joined.groupBy(*keys).agg(F.expr("listagg(piece) within group (order by offset)").alias("text"))
+    return written.select("conv_id", "turn", F.substring("text", F.lit(1), F.col("loss_to").cast("int")).alias("text"), "loss_from", "loss_to")
 
 
 def read_back(stream: DataFrame) -> DataFrame:
@@ -140,13 +142,24 @@ DIGESTS = (
 )
 
 
-def digests(stream: DataFrame) -> DataFrame:
+def trained(written: DataFrame) -> DataFrame:
+    """(conv_id, offset, reply): what the mask of each written example covers, unescaped."""
+    size = F.col("loss_to") - F.col("loss_from")
+    reply = F.substring("text", (F.col("loss_from") + 1).cast("int"), size.cast("int"))
+    return written.select("conv_id", F.col("loss_from").alias("offset"), unescaped(reply).alias("reply"))
+
+
+def digests(stream: DataFrame, written: DataFrame | None = None) -> DataFrame:
     """One row per conversation: counts, and digests of the turns and replies read back.
 
-    A digest runs over its conversation in order. Rows of a conversation are sorted by Spark and pass
+    Replies come from the ``written`` examples; without them from the stream, by the same mask. A
+    digest runs over its conversation in order. Rows of a conversation are sorted by Spark and pass
     through the digest one by one, so memory does not grow with the conversation.
     """
     parsed = read_back(stream).select("conv_id", "offset", "role", "text", "reply", F.length("piece").alias("chars"))
+    if written is not None:
+        # Rows of examples have no role; their places lie between those of their own and the next turn.
+        parsed = parsed.drop("reply").unionByName(trained(written), allowMissingColumns=True)
     placed = parsed.repartition("conv_id").sortWithinPartitions("conv_id", "offset")
 
     def run(batches):
@@ -158,8 +171,9 @@ def digests(stream: DataFrame) -> DataFrame:
             for conv, found in itertools.groupby(rows(), lambda row: row[0]):
                 turns, replies, n = hashlib.sha256(), hashlib.sha256(), [0, 0, 0, 0]
                 for _, role, text, reply, chars in found:
-                    turns.update(f"{role}\n{text}\n".encode())
-                    n[0], n[2] = n[0] + 1, n[2] + chars
+                    if role is not None:
+                        turns.update(f"{role}\n{text}\n".encode())
+                        n[0], n[2] = n[0] + 1, n[2] + chars
                     if reply is not None:
                         replies.update(reply.encode())
                         n[1], n[3] = n[1] + len(reply), n[3] + 1

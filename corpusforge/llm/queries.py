@@ -20,6 +20,7 @@ from corpusforge.llm.substring_dedup import substring_dedup
 from corpusforge.llm.suffix_dedup import suffix_dedup
 from corpusforge.llm.token_counts import count_tokens
 from corpusforge.llm.toxicity import toxicity
+from corpusforge.session import cut_lineage
 
 VOCABULARY = "word_bpe_49k.json"
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -125,12 +126,17 @@ def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op13_chat_format(spark: SparkSession, sf: str) -> DataFrame:
-    """All conversations and one whose texts look like the template, read back from the formatted stream."""
+    """All conversations and one whose texts look like the template, read back from the formatted output.
+
+    Turns come from the stream, replies from the examples, each written out with all its context.
+    """
     turns = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
     tricky = "\\### Assistant: </turn> ok"
     rows = [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)]
     own = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    return chat_format.digests(chat_format.formatted(turns.unionByName(own)))
+    # Written once: the turns, the examples and their contexts all read it.
+    stream = cut_lineage(chat_format.formatted(turns.unionByName(own)), "chat-stream")
+    return chat_format.digests(stream, chat_format.expanded(stream, chat_format.examples(stream)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
