@@ -111,22 +111,32 @@ def shards(tree, points: np.ndarray, index: np.ndarray, reach: int = DISTANCE, n
 
 
 def close_pairs(
-    points: np.ndarray, reach: int = DISTANCE, fine: np.ndarray | None = None, far: int = 64, leaf: int = LEAF, cells: int = BLOCK_CELLS
+    points: np.ndarray,
+    reach: int = DISTANCE,
+    fine: np.ndarray | None = None,
+    far: int = 64,
+    leaf: int = LEAF,
+    cells: int = BLOCK_CELLS,
+    asks: np.ndarray | None = None,
 ):
     """Index pairs within ``reach``, block by block, through a tree over the shard itself.
 
-    With ``fine`` only pairs whose second fingerprints differ in ``far`` bits at most.
+    With ``fine`` only pairs whose second fingerprints differ in ``far`` bits at most, with ``asks`` only
+    those whose later point asks.
     """
     tree = grow(points, len(points), reach, leaf)
     for _, rows in shards(tree, points, np.arange(len(points)), reach):
         here = points[rows]
         block = max(1, min(256, cells // max(1, len(here))))
-        for at in range(0, len(here), block):
-            near = np.bitwise_count(here[at : at + block, None] ^ here[None, at:]) <= reach
+        later = np.arange(len(here)) if asks is None else np.flatnonzero(asks[rows])
+        for at in range(0, len(later), block):
+            mine = later[at : at + block]
+            top = mine[-1] + 1
+            near = np.bitwise_count(here[mine, None] ^ here[None, :top]) <= reach
             if fine is not None:
-                near &= np.bitwise_count(fine[rows[at : at + block], None] ^ fine[None, rows[at:]]) <= far
+                near &= np.bitwise_count(fine[rows[mine], None] ^ fine[None, rows[:top]]) <= far
             i, j = np.nonzero(near)
-            yield rows[i + at], rows[j + at]
+            yield rows[mine[i]], rows[j]
 
 
 def stars(table: pa.Table) -> pa.Table:
@@ -150,11 +160,15 @@ def stars(table: pa.Table) -> pa.Table:
     return pa.table({"a": docs[own], "b": docs[label[own]]})
 
 
-def dealt_points(points: DataFrame, reach: int = DISTANCE, leaf: int = LEAF) -> DataFrame:
-    """The points (f, ..), once for each shard they belong to, with its name in ``shard``."""
+def fitted(points: DataFrame, reach: int = DISTANCE, leaf: int = LEAF):
+    """The tree of a sample of the points (f, ..)."""
     sample = points.orderBy(F.xxhash64("f"), "f").limit(SAMPLE).select("f").collect()
     total = points.count()
-    tree = grow(np.array([r[0] for r in sample], np.int64).view(np.uint64), total, reach, leaf) if sample else None
+    return grow(np.array([r[0] for r in sample], np.int64).view(np.uint64), total, reach, leaf) if sample else None
+
+
+def dealt_points(points: DataFrame, tree, reach: int = DISTANCE) -> DataFrame:
+    """The points (f, ..), once for each shard of the tree they belong to, with its name in ``shard``."""
 
     def deal(batches):
         for batch in batches:
@@ -189,7 +203,7 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     marked = fingerprints(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)))
     marked = cut_lineage(marked, "fingerprints")
     points = cut_lineage(marked.groupBy("f").agg(F.min("doc_id").alias("first")), "points")
-    dealt = dealt_points(points)
+    dealt = dealt_points(points, fitted(points))
     links = dealt.groupBy("shard").applyInArrow(lambda t: stars(t), "a long, b long")
     reached = components(links.union(same_ids(marked, points, "f")))
     named = points.join(reached, points["first"] == reached["node"], "left").select(
@@ -213,7 +227,9 @@ NEAR_DISTANCE = 16
 NEAR_LEAF = 32_768
 """Larger shards hold more of the band around a radius, so points are copied less often."""
 NEAR_CELLS = 1 << 18
-NEAREST = 4
+NEAREST, NEAREST_LATER = 4, 1_024
+"""Candidates that a document asks for in the first round, and in a later one at most."""
+ASKS_NOT = 65
 PAIR_BLOCK = 1 << 18
 
 
@@ -264,15 +280,25 @@ def first_of_each(pairs: np.ndarray, most: int) -> np.ndarray:
 
 
 def nearest_earlier(table: pa.Table, reach: int, far: int, most: int) -> pa.Table:
-    """(a, bits, b): each document of a shard with the closest earlier ones by ``fine``."""
+    """(a, bits, b): each document of a shard with the closest earlier ones by ``fine``.
+
+    If the table has ``label``, ``bits`` and ``past``, a document asks behind that place of its
+    candidates and only for those of another label; ``bits`` beyond ``far`` do not ask.
+    """
     words, fine, docs = (table.column(name).to_numpy().astype(np.int64) for name in ("f", "fine", "first"))
     order = np.argsort(docs, kind="stable")
     words, fine, docs = words[order].view(np.uint64), fine[order].view(np.uint64), docs[order]
+    label = asks = None
+    if "label" in table.column_names:
+        label, behind, past = (table.column(name).to_numpy().astype(np.int64)[order] for name in ("label", "bits", "past"))
+        asks = behind <= far
     found, size = [np.zeros((3, 0), np.int64)], 0
-    for i, j in close_pairs(words, reach, fine, far, NEAR_LEAF, NEAR_CELLS):
+    for i, j in close_pairs(words, reach, fine, far, NEAR_LEAF, NEAR_CELLS, asks):
         low, high = np.minimum(i, j), np.maximum(i, j)
         bits = np.bitwise_count(fine[low] ^ fine[high]).astype(np.int64)
         good = low < high
+        if label is not None:
+            good &= (label[low] != label[high]) & ((bits > behind[high]) | (bits == behind[high]) & (docs[low] > past[high]))
         found.append(np.stack((high[good], bits[good], low[good])))
         size += found[-1].shape[1]
         if size > PAIR_BLOCK:
@@ -284,15 +310,41 @@ def nearest_earlier(table: pa.Table, reach: int, far: int, most: int) -> pa.Tabl
     return pa.table({"a": docs[a], "bits": bits, "b": docs[b]})
 
 
+def nearest_of(most: int):
+    return lambda table: nearest_earlier(table, WORD_DISTANCE, NEAR_DISTANCE, most)
+
+
+def near_links(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose exact share of common shingles is ``percent`` or more."""
+
+    def sets(batches):
+        for batch in batches:
+            for rows in slices(pa.table(batch)):
+                found = [shingle_set(hashed(shingled(t, size))).view(np.int64) for t in rows.column("text").to_pylist()]
+                yield pa.record_batch({"doc_id": rows.column("doc_id").combine_chunks(), "members": pa.array(found, pa.list_(pa.int64()))})
+
+    asked = cut_lineage(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-ids")
+    members = docs.join(asked, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, members array<long>")
+    members = cut_lineage(members.dropDuplicates(["doc_id"]), "near-members")
+    both = pairs.join(members.select(F.col("doc_id").alias("a"), F.col("members").alias("ma")), "a")
+    both = both.join(members.select(F.col("doc_id").alias("b"), F.col("members").alias("mb")), "b")
+    both = both.withColumn("common", F.size(F.array_intersect("ma", "mb")))
+    close = both.where(F.col("common") * 100 >= (F.size("ma") + F.size("mb") - F.col("common")) * percent)
+    return close.select("a", "b")
+
+
 def simhash_near_dedup(docs: DataFrame, size: int = NEAR_SHINGLE, percent: int = NEAR_PERCENT) -> DataFrame:
     """(doc_id, component_id) of every document: near copies share ``percent`` of their shingles.
 
     Fingerprints of shingles of ``size`` words lie too far apart for near copies to be searched by
     them, those of single words lie close. So WORD_MIXES vantage-point trees stand on fingerprints of
-    words, each by another hash of them; a document asks for the NEAREST earlier ones in the fingerprint of shingles. A link counts
-    only if the exact share of common shingles is ``percent`` or more. So every link is right, and no
-    group of near copies is paired out; a near copy is missed if all its words' fingerprints lie
-    further than WORD_DISTANCE off, or if none of the earlier documents it asks for is near enough.
+    words, each by another hash of them. Two documents are candidates if one of these differs in
+    WORD_DISTANCE bits at most and that of their shingles in NEAR_DISTANCE, and are linked if the exact
+    share of common shingles is ``percent`` or more; no link of candidates is lost.
+
+    A document asks for its NEAREST earlier candidates first. Those with more ask on, behind the last one
+    asked, for candidates that are not in their component yet, round by round until nobody has one left.
+    So every link is right, and a group of near copies is not paired out.
 
     Equal shingle sets are merged first. ``component_id`` is the smallest doc_id that chains of links
     reach. Texts without words are equal; rows that share a doc_id are one node; a null doc_id comes
@@ -306,30 +358,38 @@ def simhash_near_dedup(docs: DataFrame, size: int = NEAR_SHINGLE, percent: int =
         marked.groupBy("key").agg(F.min("doc_id").alias("first"), F.min_by("words", "doc_id").alias("words"), F.min_by("fine", "doc_id").alias("fine")),
         "points",
     )
-    found = None
-    for k in range(WORD_MIXES):
-        dealt = dealt_points(points.select(F.col("words")[k].alias("f"), "fine", "first"), WORD_DISTANCE, NEAR_LEAF)
-        near = dealt.groupBy("shard").applyInArrow(
-            lambda t: nearest_earlier(t, WORD_DISTANCE, NEAR_DISTANCE, NEAREST), "a long, bits long, b long"
+    trees = [fitted(points.select(F.col("words")[k].alias("f")), WORD_DISTANCE, NEAR_LEAF) for k in range(WORD_MIXES)]
+    asking, extra, most, links = points, (), NEAREST, same_ids(marked, points, "key")
+    while True:
+        found, search = None, nearest_of(most)
+        for k, tree in enumerate(trees):
+            dealt = dealt_points(asking.select(F.col("words")[k].alias("f"), "fine", "first", *extra), tree, WORD_DISTANCE)
+            near = dealt.groupBy("shard").applyInArrow(search, "a long, bits long, b long")
+            found = near if found is None else found.unionByName(near)
+        # The closest of all shards are the closest of all: each shard gave as many as are taken.
+        closest = F.slice(F.array_sort(F.collect_set(F.struct("bits", "b"))), 1, most)
+        near = cut_lineage(found.groupBy("a").agg(closest.alias("near")), "near-pairs")
+        pairs = near.select("a", F.explode("near").alias("x")).select("a", "x.b")
+        links = cut_lineage(links.unionByName(near_links(docs, pairs, size, percent)), "near-links")
+        reached = components(links)
+        more = near.where(F.size("near") == most).select("a", F.col("near")[most - 1].alias("x"))
+        more = cut_lineage(more.select("a", "x.bits", F.col("x.b").alias("past")), "near-more")
+        if more.isEmpty():
+            break
+        labels = reached.select(F.col("node").alias("a"), "component")
+        asking = points.withColumn("a", F.col("first")).join(labels, "a", "left").join(more, "a", "left")
+        asking = cut_lineage(
+            asking.select(
+                "first",
+                "words",
+                "fine",
+                F.coalesce("component", "first").alias("label"),
+                F.coalesce("bits", F.lit(ASKS_NOT)).cast("long").alias("bits"),
+                F.coalesce("past", F.lit(0)).cast("long").alias("past"),
+            ),
+            "near-asking",
         )
-        found = near if found is None else found.unionByName(near)
-    closest = F.slice(F.array_sort(F.collect_set(F.struct("bits", "b"))), 1, NEAREST)  # at most NEAREST a shard
-    pairs = cut_lineage(found.groupBy("a").agg(closest.alias("near")).select("a", F.explode("near").alias("x")).select("a", "x.b"), "near-pairs")
-
-    def sets(batches):
-        for batch in batches:
-            for rows in slices(pa.table(batch)):
-                found = [shingle_set(hashed(shingled(t, size))).view(np.int64) for t in rows.column("text").to_pylist()]
-                yield pa.record_batch({"doc_id": rows.column("doc_id").combine_chunks(), "members": pa.array(found, pa.list_(pa.int64()))})
-
-    asked = cut_lineage(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-ids")
-    members = docs.join(asked, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, members array<long>")
-    members = cut_lineage(members.dropDuplicates(["doc_id"]), "near-members")
-    both = pairs.join(members.select(F.col("doc_id").alias("a"), F.col("members").alias("ma")), "a")
-    both = both.join(members.select(F.col("doc_id").alias("b"), F.col("members").alias("mb")), "b")
-    both = both.withColumn("common", F.size(F.array_intersect("ma", "mb")))
-    close = both.where(F.col("common") * 100 >= (F.size("ma") + F.size("mb") - F.col("common")) * percent)
-    reached = components(close.select("a", "b").union(same_ids(marked, points, "key")))
+        extra, most = ("label", "bits", "past"), min(4 * most, NEAREST_LATER)
     named = points.join(reached, points["first"] == reached["node"], "left").select("key", F.coalesce("component", "first").alias("component_id"))
     none = F.lit(NULL_ID)
     return marked.join(named, "key").select(F.nullif("doc_id", none).alias("doc_id"), F.nullif("component_id", none).alias("component_id"))
