@@ -9,14 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from corpusforge.llm import bpe_tables
-from corpusforge.llm.batches import columns_of, slices
+from corpusforge.llm.batches import columns_of, give_back, slices
+
+MEMO_ENTRIES = 150_000
 
 
 class Codec:
     def __init__(self, vocabulary: str):
         self.tables = bpe_tables.tables(vocabulary)
-        self.chunk = bpe_tables.Memo(self._chunk)
-        self.piece = bpe_tables.Memo(self._piece)
+        self.chunk = bpe_tables.Memo(self._chunk, MEMO_ENTRIES)
+        self.piece = bpe_tables.Memo(self._piece, MEMO_ENTRIES)
         names = np.empty(max(self.tables.tokens) + 1, object)
         names[:] = None
         for i, token in self.tables.tokens.items():
@@ -52,6 +54,12 @@ class Codec:
             ids.extend(self.piece[piece] if special is None else (special,))
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def forget(self) -> None:
+        """Empty the memos: the worker goes on to other stages, and what it holds is memory they lack."""
+        self.chunk.forget()
+        self.piece.forget()
+        give_back()
+
     def encode(self, text: str | None) -> bytes:
         return b"".join(map(self.chunk.__getitem__, bpe_tables.chunks(text))) if text else b""
 
@@ -99,6 +107,7 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
                         "decoded": pa.array([tool.decode(x) for x in ids], pa.string()),
                     }
                 )
+        tool.forget()
 
     rows = columns_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")

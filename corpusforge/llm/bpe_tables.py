@@ -66,6 +66,10 @@ class Memo(dict):
         self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
 
 def chunks(text: str) -> list[str]:
     """Parts between white space; no token reaches over white space."""
