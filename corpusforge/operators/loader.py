@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType
 
 from corpusforge.functions import codec
 from corpusforge.functions.codec import idiv
@@ -263,17 +268,28 @@ def step_layout(
     )
 
 
+@F.arrow_udf(LongType())
+def id_sum(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The sum of each token binary's ids, without a list of them."""
+    for batch in batches:
+        tokens = batch.cast(pa.large_binary())
+        _, where, data = tokens.buffers()
+        ends = np.frombuffer(where, np.int64)[tokens.offset : tokens.offset + len(tokens) + 1]
+        raw = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]
+        running = np.append(0, np.cumsum(raw.view(">u2"), dtype=np.int64))
+        at = (ends - ends[0]) // 2
+        yield pa.array(running[at[1:]] - running[at[:-1]], pa.int64())
+
+
 def window_summary(window_rows: DataFrame, names: tuple[str, ...] = ("shard_idx", "w")) -> DataFrame:
     """(names.., sum_x, sum_y, first_id, last_id)."""
-    split = window_rows.select(*names, codec.ids(F.col("tokens")).alias("ids"))
-    total = F.aggregate("ids", F.lit(0).cast("long"), lambda acc, x: acc + x)
+    tokens = F.col("tokens")
+    first = F.nullif(F.substring(tokens, 1, 2), F.lit(b""))
+    last = F.nullif(codec.last_ids(tokens, 1), F.lit(b""))
+    total = id_sum(tokens)
     return (
-        split.select(
-            *names,
-            total.alias("_total"),
-            F.get("ids", F.lit(0)).cast("long").alias("first_id"),
-            F.element_at("ids", -1).cast("long").alias("last_id"),
-        ).select(
+        window_rows.select(*names, total.alias("_total"), codec.id_of(first).alias("first_id"), codec.id_of(last).alias("last_id"))
+        .select(
             *names,
             (F.col("_total") - F.col("last_id")).alias("sum_x"),
             (F.col("_total") - F.col("first_id")).alias("sum_y"),
