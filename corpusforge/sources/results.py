@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 RESULT_SCHEMA = "model string, dataset string, correct long, total long, accuracy double"
@@ -24,8 +27,10 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 def write_metrics(values: DataFrame, path: str, name: str, run_id: str | None = None) -> None:
     """Write rows of (step, value) under a run and a metric name, in place of those written before.
 
-    So a repeated or restarted write leaves one set of rows. ``run_id`` may be a column of the values
-    instead; ``ts`` is the time of writing unless the values have one.
+    So a repeated or restarted write leaves one set of rows to read. ``run_id`` may be a column of the
+    values instead; ``ts`` is the time of writing unless the values have one. Each call writes a folder
+    of its own, whatever the number of its runs; of a run's folders the last one written counts, so
+    jobs that write other runs at the same time do not meet.
     """
     run = F.col("run_id").cast("string") if run_id is None else F.lit(run_id)
     ts = F.col("ts").cast("timestamp") if "ts" in values.columns else F.current_timestamp()
@@ -36,12 +41,13 @@ def write_metrics(values: DataFrame, path: str, name: str, run_id: str | None =
         ts.alias("ts"),
         F.col("value").cast("double"),
     )
-    rows.repartition("run_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "name", "run_id"
-    ).parquet(path)
+    rows.write.partitionBy("name").parquet(f"{path.rstrip('/')}/written={time.time_ns():020d}-{uuid.uuid4().hex}")
 
 
 def read_metrics(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
     """(run_id, step, ts, name, value), of one metric or all; other metrics are not read."""
-    rows = spark.read.schema(METRIC_SCHEMA).parquet(path)
-    return rows if name is None else rows.where(F.col("name") == name)
+    rows = spark.read.schema(f"{METRIC_SCHEMA}, written string").parquet(path)
+    rows = rows if name is None else rows.where(F.col("name") == name)
+    last = rows.groupBy(F.col("name").alias("_name"), F.col("run_id").alias("_run")).agg(F.max("written").alias("_last"))
+    same = (F.col("name") == F.col("_name")) & F.col("run_id").eqNullSafe(F.col("_run")) & (F.col("written") == F.col("_last"))
+    return rows.join(last, same, "left_semi").select("run_id", "step", "ts", "name", "value")

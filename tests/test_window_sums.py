@@ -1,8 +1,12 @@
-"""Sums over windows come from whole arrays, not from a list of ids made in the JVM."""
+"""Work and files that must not grow faster than the input."""
 
 import struct
+from pathlib import Path
+
+from pyspark.sql import functions as F
 
 from corpusforge.operators import loader
+from corpusforge.sources import results
 
 
 def test_window_summary_makes_no_list_of_ids(spark):
@@ -15,3 +19,13 @@ def test_window_summary_makes_no_list_of_ids(spark):
     for i, x in enumerate(sequences):
         assert got[i] == (sum(x[:-1]), sum(x[1:]), x[0], x[-1])
     assert got[9] == got[10] == (None, None, None, None)
+
+
+def test_many_runs_are_few_files(spark, tmp_path):
+    values = spark.range(3_000).select(F.col("id").alias("run_id"), F.lit(0).alias("step"), F.col("id").cast("double").alias("value"))
+    results.write_metrics(values, str(tmp_path / "m"), "loss")
+    assert len(list(Path(tmp_path, "m").rglob("*.parquet"))) < 100
+    again = values.where("run_id < 10").withColumn("value", F.lit(-1.0)).unionByName(values.limit(0))
+    results.write_metrics(again, str(tmp_path / "m"), "loss")
+    got = {r.run_id: r.value for r in results.read_metrics(spark, str(tmp_path / "m"), "loss").collect()}
+    assert len(got) == 3_000 and got["3"] == -1.0 and got["11"] == 11.0
