@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,6 +34,9 @@ MOST_SYMBOLS = 200_000
 # A task remembers this many encoded words at a time.
 MEMO_WORDS = 500_000
 
+# Texts of an Arrow batch are put together this many words at a time.
+WORDS_AT_ONCE = 200_000
+
 
 @dataclass(frozen=True)
 class Vocabulary:
@@ -372,6 +375,35 @@ def apply_merges(chars: Column, merges: list[tuple[int, int, int]]) -> Column:
     return chars
 
 
+def row_spans(lists: pa.ListArray, most: int = WORDS_AT_ONCE) -> list[tuple[int, int]]:
+    """(first row, rows) of pieces of about ``most`` words; a longer row is a piece of its own."""
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    spans, begin = [], 0
+    while begin < len(lists):
+        end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + most, "right")) - 1)
+        spans.append((begin, end - begin))
+        begin = end
+    return spans or [(0, 0)]
+
+
+def joined(lists: pa.ListArray, coded: Callable[[str], bytes]) -> pa.BinaryArray:
+    """The codes of each row's words, one after the other. Places take 24 bytes a byte of ids meanwhile."""
+    words = lists.flatten().dictionary_encode()
+    blobs = [coded(word) for word in words.dictionary.to_pylist()]
+    sizes = np.fromiter(map(len, blobs), np.int64, len(blobs))
+    first = np.cumsum(sizes) - sizes
+    number = words.indices.to_numpy()
+    size = sizes[number]
+    ends = np.append(0, np.cumsum(size))
+    at = np.repeat(first[number] - ends[:-1], size) + np.arange(ends[-1])
+    flat = np.frombuffer(b"".join(blobs), np.uint8)[at]
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    where = ends[offsets - offsets[0]]
+    if where[-1] >= 1 << 31:
+        raise ValueError("a text has over 2 GB of ids")
+    return pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(where.astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())])
+
+
 def encoder(vocabulary: Vocabulary):
     """An Arrow function from lists of pre-tokens to token binaries.
 
@@ -391,21 +423,10 @@ def encoder(vocabulary: Vocabulary):
             return done
 
         for batch in batches:
-            words = batch.flatten().dictionary_encode()
-            blobs = [coded(word) for word in words.dictionary.to_pylist()]
-            sizes = np.fromiter(map(len, blobs), np.int64, len(blobs))
-            first = np.cumsum(sizes) - sizes
-            number = words.indices.to_numpy()
-            size = sizes[number]
-            ends = np.append(0, np.cumsum(size))
-            at = np.repeat(first[number] - ends[:-1], size) + np.arange(ends[-1])
-            flat = np.frombuffer(b"".join(blobs), np.uint8)[at]
-            lists = batch.offsets.to_numpy().astype(np.int64)
-            where = ends[lists - lists[0]]
-            if where[-1] >= 1 << 31:
+            done = [joined(batch.slice(a, n), coded) for a, n in row_spans(batch)]
+            if sum(part.nbytes for part in done) >= 1 << 31:
                 raise ValueError("a batch of texts has over 2 GB of ids; set spark.sql.execution.arrow.maxRecordsPerBatch lower")
-            buffers = [None, pa.py_buffer(where.astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())]
-            yield pa.BinaryArray.from_buffers(pa.binary(), len(batch), buffers)
+            yield pa.concat_arrays(done)
             if len(known) > MEMO_WORDS:
                 known.clear()
 

@@ -1,11 +1,13 @@
 """Work and files that must not grow faster than the input."""
 
 import struct
+import tracemalloc
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from corpusforge.operators import loader
+from corpusforge.operators import bpe, loader
 from corpusforge.sources import results
 
 
@@ -29,3 +31,16 @@ def test_many_runs_are_few_files(spark, tmp_path):
     results.write_metrics(again, str(tmp_path / "m"), "loss")
     got = {r.run_id: r.value for r in results.read_metrics(spark, str(tmp_path / "m"), "loss").collect()}
     assert len(got) == 3_000 and got["3"] == -1.0 and got["11"] == 11.0
+
+
+def test_a_large_batch_is_encoded_piece_by_piece(spark):
+    encode = bpe.encoder(bpe.vocabulary_of([])).func
+    rows = [[], [" word" * 8] * 400, None, ["é"]] + [[" some", " words"] * 500] * 2_000
+    batch = pa.array(rows, pa.list_(pa.string()))
+    tracemalloc.start()
+    got = next(encode(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * got.nbytes
+    assert [bytes(x) for x in got.to_pylist()] == [b"".join(bytes([0, b]) for w in r or [] for b in w.encode()) for r in rows]
+    assert len(next(encode(iter([pa.array([], pa.list_(pa.string()))])))) == 0
