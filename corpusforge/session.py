@@ -10,6 +10,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
     """A one-machine session for tests and the bench; clusters bring their own session."""
@@ -78,14 +80,25 @@ def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE {table}")
 
 
-def cut_lineage(df: DataFrame, name: str) -> DataFrame:
+@contextlib.contextmanager
+def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a write go when it ends, for rounds that would otherwise pile them up."""
+    before = spark.conf.get(TIDY, None)
+    spark.conf.set(TIDY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(TIDY) if before is None else spark.conf.set(TIDY, before)
+
+
+def cut_lineage(df: DataFrame, name: str, outlasts: bool = False) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from that table.
 
     The table outlives executors, later plans start from it, and its size is known to Spark when
     it chooses between a broadcast and a shuffle. Inside ``scratch`` it goes with the block; outside
-    it stays, since a returned plan may still read it.
+    it stays, since a returned plan may still read it; so does one that ``outlasts`` the block.
     """
-    if _scratch.get() is not None:
+    if _scratch.get() is not None and not outlasts:
         return df.sparkSession.table(scratch_table(df, name))
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/corpusforge/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)

@@ -365,6 +365,17 @@ def test_words_without_evidence_are_rare(spark, monkeypatch):
         assert math.isclose(x.score, want, rel_tol=1e-9)
 
 
+def test_neighbours_of_any_frequency_count(spark, monkeypatch):
+    """Words that never stand beside a frequent one get their classes from their neighbours all the same."""
+    monkeypatch.setattr(class_model, "FREQUENT", 2)
+    r = random.Random(12)
+    rows = [(i, " ".join(["start", *(f"{x}{int(20 * r.random() ** 3)}" for x in "abcd")]), None) for i in range(900)]
+    fresh = [d for d in range(1000, 9000) if zlib.crc32(str(d).encode()) % 5 == 1][:2]
+    ask = list(zip(fresh, ("start a1 b0 c1 d1", "start a1 b15 c1 d1"), (None, None)))
+    got = {x.doc_id: x.score for x in class_model.class_model_scores(table(spark, rows + ask)).collect()}
+    assert got[fresh[0]] > got[fresh[1]] + 0.5  # b0 is common
+
+
 def test_pair_counts_beyond_three_bytes():
     """A word that stands 2^24 + 5 times after a frequent class keeps its class."""
     word = np.array([7], np.uint64)
