@@ -25,34 +25,33 @@ class Codec:
             names[i] = token
         self.names = names
 
-    def last_tokens(self, word: str) -> list[int]:
-        """The last token of every prefix of a word; the final entry is that of the whole word."""
+    def _piece(self, piece: str) -> bytes:
+        """The ids of a word, back from its end over the last token of every prefix."""
+        word = self.tables.spell(piece)
         beside, n = self.tables.beside, len(word)
-        last = [-1] * (n + 1)
+        last, begin = [-1] * (n + 1), [0] * (n + 1)
         for at, (size, inside, end) in self.tables.matches.iter(word):
             i = at + 1
+            if last[i] >= 0:
+                continue
             token = end if i == n else inside
-            if token < 0 or last[i] >= 0:
+            if token < 0:
                 continue
-            before = last[i - size]
-            if i == size or (before >= 0 and beside[before << 20 | token]):
-                last[i] = token
-        return last
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        word = self.tables.spell(piece)
-        last, found, i = self.last_tokens(word), [], len(word)
-        while i:
-            token = last[i]
-            found.append(token)
-            i -= len(self.tables.tokens[token].removesuffix(bpe_tables.WORD_END)) if i == len(word) else len(self.tables.tokens[token])
-        return tuple(found[::-1])
+            if i == size or (last[i - size] >= 0 and beside[last[i - size] << 20 | token]):
+                last[i], begin[i] = token, i - size
+        found = []
+        while n:
+            found.append(last[n])
+            n = begin[n]
+        return struct.pack(f"<{len(found)}I", *found[::-1])
 
     def _chunk(self, chunk: str) -> bytes:
-        ids: list[int] = []
-        for piece, special in self.tables.parts(chunk):
-            ids.extend(self.piece[piece] if special is None else (special,))
-        return struct.pack(f"<{len(ids)}I", *ids)
+        if chunk.isascii() and "<|" not in chunk:
+            form = chunk.lower()
+            if form.isalpha():  # remembered as a chunk already, unless its case differs
+                return self._piece(form) if form == chunk else self.piece[form]
+            return b"".join(map(self.piece.__getitem__, bpe_tables.ascii_pieces(form)))
+        return b"".join(self.piece[piece] if special is None else struct.pack("<I", special) for piece, special in self.tables.parts(chunk))
 
     def forget(self) -> None:
         """Empty the memos: the worker goes on to other stages, and what it holds is memory they lack."""

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import unicodedata
 from pathlib import Path
 
@@ -24,6 +25,8 @@ WORD_END = "</w>"
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 
 PIECES = regex.compile(PATTERN)
+# The same for lower-case ASCII without white space.
+ascii_pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
 SPECIALS = regex.compile("(" + "|".join(map(regex.escape, SPECIAL)) + ")")
 # Python's split() also cuts at these four, which are ordinary symbols for the pattern.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
@@ -145,6 +148,8 @@ class Tables:
         return automaton
 
     def spell(self, piece: str) -> str:
+        if piece.isascii() and piece.isprintable() and " " not in piece:
+            return piece  # such bytes stand for themselves
         return "".join(map(self.letters.__getitem__, piece.encode()))
 
     def parts(self, chunk: str):

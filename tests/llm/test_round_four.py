@@ -68,3 +68,25 @@ def test_the_codec_holds_no_words_after_a_task():
     tool.forget()
     assert not tool.chunk and not tool.piece and not tool.chunk.old
     assert tool.encode("some words some more") == want
+
+
+def test_plain_words_are_remembered_once_and_ascii_equals_the_library():
+    import random
+
+    import public_tokenizers
+    from corpusforge.llm import bpe_codec
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path) as f:
+        tool = bpe_codec.Codec(f.read())
+    tool.encode("lower words alone")
+    assert len(tool.chunk) == 3 and not tool.piece
+    library, r = Tokenizer.from_file(path), random.Random(5)
+    library.no_truncation()
+    library.no_padding()
+    letters = [chr(c) for c in range(1, 128)] + ["'s", "'T", "'re", "'ll", "<|", "<|endoftext|>", "aZ", " "]
+    for _ in range(600):
+        text = "".join(r.choice(letters) for _ in range(r.randrange(60)))
+        want = library.encode(text, add_special_tokens=False).ids
+        assert memoryview(tool.encode(text)).cast("I").tolist() == want
