@@ -35,6 +35,7 @@ FREQUENT = 1_000
 """Words that are exchanged one by one before the rounds over all words begin."""
 LEAST_GAIN = 0.01
 """Rounds go on while each adds this share to the likelihood that classes decide."""
+HASHED_AT_ONCE = 1 << 18
 SWEEPS = 8
 SMOOTHING = 20.0
 RARE, END = CLASSES, CLASSES + 1
@@ -53,8 +54,17 @@ def in_fold(doc_id: Column) -> Column:
 def tokens_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """(token hashes, first token of each text and the end); each text ends with END_TOKEN.
 
-    Words are told apart by 64-bit hashes of their lower-case bytes.
+    Words are told apart by 64-bit hashes of their lower-case bytes. Hashing takes some dozen times the
+    bytes of the text meanwhile, so it sees HASHED_AT_ONCE of them at a time.
     """
+    found = [hashed_tokens(part) for part in slices(rows, most=HASHED_AT_ONCE)]
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
+    sizes = np.concatenate([np.diff(first) for _, first in found])
+    return np.concatenate([tokens for tokens, _ in found]), np.append(0, np.cumsum(sizes))
+
+
+def hashed_tokens(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = utf8(rows.column("text"))
     data = lowered(data)
     starts, ends, own = word_spans(data, offsets)
