@@ -229,7 +229,7 @@ NEAR_LEAF = 32_768
 NEAR_CELLS = 1 << 18
 NEAREST, NEAREST_LATER = 4, 1_024
 """Candidates that a document asks for in the first round, and in a later one at most."""
-ASKS_NOT = 65
+ASKS_NOT, NO_PAIR = 65, -1
 PAIR_BLOCK = 1 << 18
 
 
@@ -279,11 +279,12 @@ def first_of_each(pairs: np.ndarray, most: int) -> np.ndarray:
     return pairs[:, place < most]
 
 
-def nearest_earlier(table: pa.Table, reach: int, far: int, most: int) -> pa.Table:
+def nearest_earlier(table: pa.Table, reach: int, far: int, most: int, named: bool = False) -> pa.Table:
     """(a, bits, b): each document of a shard with the closest earlier ones by ``fine``.
 
     If the table has ``label``, ``bits`` and ``past``, a document asks behind that place of its
-    candidates and only for those of another label; ``bits`` beyond ``far`` do not ask.
+    candidates and only for those of another label; ``bits`` beyond ``far`` do not ask. With ``named``
+    every document that is a candidate of a later one has a row too, with NO_PAIR for ``bits``.
     """
     words, fine, docs = (table.column(name).to_numpy().astype(np.int64) for name in ("f", "fine", "first"))
     order = np.argsort(docs, kind="stable")
@@ -292,6 +293,7 @@ def nearest_earlier(table: pa.Table, reach: int, far: int, most: int) -> pa.Tabl
     if "label" in table.column_names:
         label, behind, past = (table.column(name).to_numpy().astype(np.int64)[order] for name in ("label", "bits", "past"))
         asks = behind <= far
+    met = np.zeros(len(docs), bool)
     found, size = [np.zeros((3, 0), np.int64)], 0
     for i, j in close_pairs(words, reach, fine, far, NEAR_LEAF, NEAR_CELLS, asks):
         low, high = np.minimum(i, j), np.maximum(i, j)
@@ -300,18 +302,22 @@ def nearest_earlier(table: pa.Table, reach: int, far: int, most: int) -> pa.Tabl
         if label is not None:
             good &= (label[low] != label[high]) & ((bits > behind[high]) | (bits == behind[high]) & (docs[low] > past[high]))
         found.append(np.stack((high[good], bits[good], low[good])))
+        met[low[good]] = named
         size += found[-1].shape[1]
         if size > PAIR_BLOCK:
             found = [first_of_each(np.concatenate(found, axis=1), most)]
             size = 0
     a, bits, b = first_of_each(np.concatenate(found, axis=1), most)
+    met[a] = False
+    rest = docs[met]
+    pairs = {"a": np.append(docs[a], rest), "bits": np.append(bits, np.full(len(rest), NO_PAIR)), "b": np.append(docs[b], rest)}
     del found
     give_back()
-    return pa.table({"a": docs[a], "bits": bits, "b": docs[b]})
+    return pa.table(pairs)
 
 
 def nearest_of(most: int):
-    return lambda table: nearest_earlier(table, WORD_DISTANCE, NEAR_DISTANCE, most)
+    return lambda table: nearest_earlier(table, WORD_DISTANCE, NEAR_DISTANCE, most, named=True)
 
 
 def near_links(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -344,7 +350,8 @@ def simhash_near_dedup(docs: DataFrame, size: int = NEAR_SHINGLE, percent: int =
 
     A document asks for its NEAREST earlier candidates first. Those with more ask on, behind the last one
     asked, for candidates that are not in their component yet, round by round until nobody has one left.
-    So every link is right, and a group of near copies is not paired out.
+    So every link is right, and a group of near copies is not paired out. A pair that a later round may
+    ask for was a pair of the round before, so only documents of such pairs go on to the next round.
 
     Equal shingle sets are merged first. ``component_id`` is the smallest doc_id that chains of links
     reach. Texts without words are equal; rows that share a doc_id are one node; a null doc_id comes
@@ -367,25 +374,25 @@ def simhash_near_dedup(docs: DataFrame, size: int = NEAR_SHINGLE, percent: int =
             near = dealt.groupBy("shard").applyInArrow(search, "a long, bits long, b long")
             found = near if found is None else found.unionByName(near)
         # The closest of all shards are the closest of all: each shard gave as many as are taken.
-        closest = F.slice(F.array_sort(F.collect_set(F.struct("bits", "b"))), 1, most)
+        pair = F.when(F.col("bits") != NO_PAIR, F.struct("bits", "b"))
+        closest = F.slice(F.array_sort(F.collect_set(pair)), 1, most)
         near = cut_lineage(found.groupBy("a").agg(closest.alias("near")), "near-pairs")
         pairs = near.select("a", F.explode("near").alias("x")).select("a", "x.b")
         links = cut_lineage(links.unionByName(near_links(docs, pairs, size, percent)), "near-links")
         reached = components(links)
-        more = near.where(F.size("near") == most).select("a", F.col("near")[most - 1].alias("x"))
-        more = cut_lineage(more.select("a", "x.bits", F.col("x.b").alias("past")), "near-more")
-        if more.isEmpty():
+        if near.where(F.size("near") == most).isEmpty():
             break
         labels = reached.select(F.col("node").alias("a"), "component")
-        asking = points.withColumn("a", F.col("first")).join(labels, "a", "left").join(more, "a", "left")
+        last = near.select("a", F.get("near", F.lit(most - 1)).alias("x"))
+        asking = last.join(points, last["a"] == points["first"]).join(labels, "a", "left")
         asking = cut_lineage(
             asking.select(
                 "first",
                 "words",
                 "fine",
                 F.coalesce("component", "first").alias("label"),
-                F.coalesce("bits", F.lit(ASKS_NOT)).cast("long").alias("bits"),
-                F.coalesce("past", F.lit(0)).cast("long").alias("past"),
+                F.coalesce("x.bits", F.lit(ASKS_NOT)).cast("long").alias("bits"),
+                F.coalesce("x.b", F.lit(0)).cast("long").alias("past"),
             ),
             "near-asking",
         )
