@@ -34,7 +34,7 @@ MOST_SYMBOLS = 200_000
 # A task remembers this many encoded words at a time.
 MEMO_WORDS = 500_000
 
-# Texts of an Arrow batch are put together this many words at a time.
+# New words of an Arrow batch are merged, and its texts put together, this many words at a time.
 WORDS_AT_ONCE = 200_000
 
 
@@ -100,6 +100,69 @@ def merge_ids(ids: list[int], pairs: dict[int, tuple[int, int]]) -> list[int]:
     return [x for x in ids if x >= 0]
 
 
+# Sequences of up to this many ids are merged side by side, longer ones one by one.
+SIDE_BY_SIDE = 48
+NO_PAIR = np.iinfo(np.int64).max
+
+
+class PairTable:
+    """Rank and new id of many pairs at a time: ``rank << 16 | new id``, or ``NO_PAIR``."""
+
+    def __init__(self, pairs: dict[int, tuple[int, int]]):
+        codes = np.fromiter(pairs, np.int64, len(pairs))
+        values = np.array([rank << 16 | new for rank, new in pairs.values()], np.int64)
+        order = np.argsort(codes)
+        self.codes = np.append(codes[order], 1 << 32).astype(np.uint64)
+        self.values = np.append(values[order], NO_PAIR)
+        self.pairs = pairs
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        code = left.astype(np.uint64) << np.uint64(16) | right
+        at = np.searchsorted(self.codes, code)
+        return np.where(self.codes[at] == code, self.values[at], NO_PAIR)
+
+
+def merge_all(flat: np.ndarray, bounds: np.ndarray, table: PairTable) -> list[bytes]:
+    """Token binaries of many merged sequences, ``flat[bounds[i]:bounds[i + 1]]``; each as by ``merge_ids``.
+
+    Sequences of one length are the rows of a matrix. A step merges the best pair of every row, the
+    leftmost of equals, so all rows that still have one are equally long again.
+    """
+    sizes = np.diff(bounds)
+    out: list[bytes] = [b""] * len(sizes)
+    order = np.argsort(sizes, kind="stable")
+    lengths, begins = np.unique(sizes[order], return_index=True)
+    for length, rows in zip(lengths.tolist(), np.split(order, begins[1:])):
+        if length > SIDE_BY_SIDE:
+            for i in rows.tolist():
+                out[i] = packed_ids(merge_ids(flat[bounds[i] : bounds[i + 1]].tolist(), table.pairs))
+            continue
+        ids = flat[bounds[rows][:, None] + np.arange(length)].astype(np.uint64)
+        best = table.of(ids[:, :-1], ids[:, 1:])
+        while len(rows):
+            every = np.arange(len(rows))
+            at = best.argmin(1) if ids.shape[1] > 1 else np.zeros(len(rows), np.int64)
+            first = best[every, at] if ids.shape[1] > 1 else np.full(len(rows), NO_PAIR)
+            live = first < NO_PAIR
+            ended = ids[~live].astype(">u2")
+            raw, width = ended.tobytes(), 2 * ids.shape[1]
+            for k, i in enumerate(rows[~live].tolist()):
+                out[i] = raw[k * width : (k + 1) * width]
+            rows, ids, best, at, first = rows[live], ids[live], best[live], at[live], first[live]
+            every = np.arange(len(rows))
+            ids[every, at] = first & 0xFFFF
+            kept = np.ones(ids.shape, bool)
+            kept[every, at + 1] = False
+            ids = ids[kept].reshape(len(rows), -1) if len(rows) else ids[:, 1:]
+            kept = np.ones(best.shape, bool)
+            kept[every, at] = False
+            best = best[kept].reshape(len(rows), -1) if len(rows) else best[:, 1:]
+            for where, place in ((at > 0, at - 1), (at < best.shape[1], at)):
+                row, j = every[where], place[where]
+                best[row, j] = table.of(ids[row, j], ids[row, j + 1])
+    return out
+
+
 def packed_ids(ids: list[int]) -> bytes:
     return np.array(ids, ">u2").tobytes()
 
@@ -375,58 +438,50 @@ def apply_merges(chars: Column, merges: list[tuple[int, int, int]]) -> Column:
     return chars
 
 
-def row_spans(lists: pa.ListArray, most: int = WORDS_AT_ONCE) -> list[tuple[int, int]]:
-    """(first row, rows) of pieces of about ``most`` words; a longer row is a piece of its own."""
-    ends = lists.offsets.to_numpy().astype(np.int64)
-    spans, begin = [], 0
-    while begin < len(lists):
-        end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + most, "right")) - 1)
-        spans.append((begin, end - begin))
-        begin = end
-    return spans or [(0, 0)]
-
-
-def joined(lists: pa.ListArray, coded: Callable[[str], bytes]) -> pa.BinaryArray:
-    """The codes of each row's words, one after the other. Places take 24 bytes a byte of ids meanwhile."""
+def joined(lists: pa.ListArray, coded: Callable[[list[str]], list[bytes]]) -> pa.BinaryArray:
+    """The codes of each row's words, one after the other, put in place ``WORDS_AT_ONCE`` words at a time."""
     words = lists.flatten().dictionary_encode()
-    blobs = [coded(word) for word in words.dictionary.to_pylist()]
-    sizes = np.fromiter(map(len, blobs), np.int64, len(blobs))
-    first = np.cumsum(sizes) - sizes
+    blobs = coded(words.dictionary.to_pylist())
+    sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 2
+    first, codes = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(blobs), np.uint16)
     number = words.indices.to_numpy()
-    size = sizes[number]
-    ends = np.append(0, np.cumsum(size))
-    at = np.repeat(first[number] - ends[:-1], size) + np.arange(ends[-1])
-    flat = np.frombuffer(b"".join(blobs), np.uint8)[at]
+    ends = np.zeros(len(number) + 1, np.int64)
+    np.cumsum(sizes[number], out=ends[1:])
+    if 2 * ends[-1] >= 1 << 31:
+        raise ValueError("a batch of texts has over 2 GB of ids; set spark.sql.execution.arrow.maxRecordsPerBatch lower")
+    flat = np.empty(ends[-1], np.uint16)
+    for a in range(0, len(number), WORDS_AT_ONCE):
+        some, reach = number[a : a + WORDS_AT_ONCE], ends[a : a + WORDS_AT_ONCE + 1]
+        at = np.repeat(first[some] - reach[:-1], sizes[some]) + np.arange(reach[0], reach[-1])
+        flat[reach[0] : reach[-1]] = codes[at]
     offsets = lists.offsets.to_numpy().astype(np.int64)
-    where = ends[offsets - offsets[0]]
-    if where[-1] >= 1 << 31:
-        raise ValueError("a text has over 2 GB of ids")
-    return pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(where.astype(np.int32).tobytes()), pa.py_buffer(flat.tobytes())])
+    where = (2 * ends[offsets - offsets[0]]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(where), pa.py_buffer(flat)])
 
 
 def encoder(vocabulary: Vocabulary):
     """An Arrow function from lists of pre-tokens to token binaries.
 
-    Arrow's dictionary encoding finds the distinct words of a batch. Each is merged once and
-    remembered; the documents are then put together by array look-ups, without a step per word.
+    Arrow's dictionary encoding finds the distinct words of a batch. New ones are merged side by side
+    and remembered; the documents are then put together by array look-ups, without a step per word.
     """
 
     @F.arrow_udf("binary")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        base, pairs = vocabulary.base, vocabulary.pairs
+        base, table = np.array(vocabulary.base, np.uint32), PairTable(vocabulary.pairs)
         known: dict[str, bytes] = {}
 
-        def coded(word: str) -> bytes:
-            done = known.get(word)
-            if done is None:
-                done = known[word] = packed_ids(merge_ids([base[b] for b in word.encode()], pairs))
-            return done
+        def coded(words: list[str]) -> list[bytes]:
+            new = [word for word in words if word not in known]
+            for a in range(0, len(new), WORDS_AT_ONCE):
+                some = new[a : a + WORDS_AT_ONCE]
+                raw = [word.encode() for word in some]
+                bounds = np.append(0, np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw))))
+                known.update(zip(some, merge_all(base[np.frombuffer(b"".join(raw), np.uint8)], bounds, table)))
+            return [known[word] for word in words]
 
         for batch in batches:
-            done = [joined(batch.slice(a, n), coded) for a, n in row_spans(batch)]
-            if sum(part.nbytes for part in done) >= 1 << 31:
-                raise ValueError("a batch of texts has over 2 GB of ids; set spark.sql.execution.arrow.maxRecordsPerBatch lower")
-            yield pa.concat_arrays(done)
+            yield joined(batch, coded)
             if len(known) > MEMO_WORDS:
                 known.clear()
 

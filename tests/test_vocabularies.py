@@ -5,7 +5,9 @@ import random
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -143,3 +145,23 @@ def test_shards_with_public_ids(spark, tmp_path):
     manifest = stages.prepare_shards(spark, f"{SF}/documents.parquet", str(tmp_path / "s"), 40_000, tokenizer).collect()
     counted = sum(r.n_tokens for r in catalogue.doc_tokens_gpt2(spark, SF).collect())
     assert sum(r["n_tokens"] for r in manifest) == counted
+
+
+def test_many_sequences_are_merged_side_by_side():
+    r = random.Random(5)
+    for _ in range(60):
+        top = r.randint(2, 5)
+        merges = [(r.randrange(new), r.randrange(new), new, 1) for new in range(top, top + r.randint(0, 8))]
+        pairs = bpe.vocabulary_of(merges).pairs
+        rows = [[r.randrange(top) for _ in range(r.choice((0, 1, 2, 3, 5, 9, 20, 60)))] for _ in range(40)]
+        flat, bounds = np.array([i for row in rows for i in row], np.uint32), np.cumsum([0, *map(len, rows)])
+        got = bpe.merge_all(flat, bounds, bpe.PairTable(pairs))
+        assert [bpe.unpacked_ids(x) for x in got] == [merged_naively(row, pairs) for row in rows]
+
+
+def test_no_step_of_python_per_merge_of_a_new_word(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "merge_ids", None)
+    pairs = {ord("a") << 16 | ord("b"): (0, 256), 256 << 16 | 256: (1, 257)}
+    encode = bpe.encoder(bpe.Vocabulary(tuple(range(256)), pairs)).func
+    batch = pa.array([["abab", " x"], None, [], ["b", "ab"]], pa.list_(pa.string()))
+    assert [bpe.unpacked_ids(t) for t in next(encode(iter([batch]))).to_pylist()] == [[257, 32, 120], [], [], [98, 256]]
