@@ -294,6 +294,7 @@ def merged_words(words: DataFrame, merges: list[tuple[int, int, int, int]]) -> D
     starts = np.array(sorted(pairs), np.uint32)
 
     def run(batches):
+        table = PairTable(pairs)
         for batch in batches:
             flat, bounds = _flat(batch.column("tokens"))
             if not len(flat):
@@ -301,10 +302,11 @@ def merged_words(words: DataFrame, merges: list[tuple[int, int, int, int]]) -> D
             held = np.append(0, np.cumsum(_held(flat, bounds, starts)))
             some = held[bounds[1:]] > held[bounds[:-1]]
             old = batch.column("tokens").to_pylist()
-            new = [packed_ids(merge_ids(unpacked_ids(t), pairs)) if hit else t for t, hit in zip(old, some.tolist())]
+            inside = flat[np.repeat(some, np.diff(bounds))]
+            new = iter(merge_all(inside, np.append(0, np.cumsum(np.diff(bounds)[some])), table))
             yield pa.record_batch(
                 {
-                    "tokens": pa.array(new, pa.binary()),
+                    "tokens": pa.array([next(new) if hit else t for t, hit in zip(old, some.tolist())], pa.binary()),
                     "n": batch.column("n"),
                     "before": pa.array([t if hit else None for t, hit in zip(old, some.tolist())], pa.binary()),
                 }
@@ -336,6 +338,15 @@ def _next_merges(words: DataFrame, pairs: DataFrame, look: int, most: int, room:
     return [], look
 
 
+def longer_words(docs: DataFrame, pattern: str = PRETOKEN_PATTERN) -> DataFrame:
+    """(tokens, n) of the distinct pre-tokens of two bytes and more.
+
+    Spark tests their size at every occurrence, before it counts, so the test is on the bare word.
+    """
+    distinct = pretoken_dictionary(docs, pattern).where("octet_length(word) > 1")
+    return distinct.select(codec.byte_tokens(F.col("word")).alias("tokens"), "n")
+
+
 def learn_merges(
     docs: DataFrame,
     n_merges: int,
@@ -360,9 +371,7 @@ def learn_merges(
     spark = docs.sparkSession
     done: list[tuple[int, int, int, int]] = []
     with scratch(spark):
-        distinct = pretoken_dictionary(spread(docs), pattern)
-        tokens = codec.byte_tokens(F.col("word"))
-        words = scratch_table(dealt(distinct.select(tokens.alias("tokens"), "n").where("octet_length(tokens) > 2")), "words")
+        words = scratch_table(dealt(longer_words(spread(docs), pattern)), "words")
         pairs = scratch_table(pair_counts(spark.table(words)), "pairs")
         width = look
         while len(done) < n_merges:

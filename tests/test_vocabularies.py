@@ -165,3 +165,13 @@ def test_no_step_of_python_per_merge_of_a_new_word(spark, monkeypatch):
     encode = bpe.encoder(bpe.Vocabulary(tuple(range(256)), pairs)).func
     batch = pa.array([["abab", " x"], None, [], ["b", "ab"]], pa.list_(pa.string()))
     assert [bpe.unpacked_ids(t) for t in next(encode(iter([batch]))).to_pylist()] == [[257, 32, 120], [], [], [98, 256]]
+
+
+def test_words_are_not_taken_apart_before_they_are_counted(spark):
+    docs = spark.createDataFrame([(1, "a é ab ab"), (2, None)], "doc_id long, text string")
+    words = bpe.longer_words(docs)
+    assert {bytes(r.tokens)[1::2]: r.n for r in words.collect()} == {" é".encode(): 1, b" ab": 2}
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    tests = [line for line in plan.splitlines() if "Filter" in line]
+    assert tests and not any("encode(" in line for line in tests)
+    assert len(bpe.learn_merges(docs, 2)) == 2
