@@ -175,3 +175,15 @@ def test_words_are_not_taken_apart_before_they_are_counted(spark):
     tests = [line for line in plan.splitlines() if "Filter" in line]
     assert tests and not any("encode(" in line for line in tests)
     assert len(bpe.learn_merges(docs, 2)) == 2
+
+
+def test_some_dozen_merges_take_no_pass_over_the_text_each(spark, monkeypatch):
+    odd = [(1, "the then  ten\n the"), (2, None), (3, ""), (4, " é日本 aaaa"), (5, "\x00\xff th")]
+    docs = spark.createDataFrame(odd, "doc_id long, text string")
+    merges = [(a, b, 256 + i, 1) for i, (a, b) in enumerate(zip(b"the " * 8, b"he t" * 8))][:4]
+    merges += [(97, 97, 260, 1), (260, 260, 261, 1)] + [(i, i, 262 + i, 1) for i in range(58)]
+    coded = tokenize(docs, bpe.bpe_tokenizer(merges))
+    assert "replace(replace(" not in coded._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(bpe, "FOLD_LIMIT", 512)
+    folded = tokenize(docs, bpe.bpe_tokenizer(merges))
+    assert sorted(map(tuple, coded.collect())) == sorted(map(tuple, folded.collect()))
