@@ -12,10 +12,15 @@ from pyspark.sql.types import LongType
 from corpusforge.functions import codec
 from corpusforge.functions.codec import idiv
 from corpusforge.operators.prefix import exclusive_prefix
+from corpusforge.session import cut_lineage, tasks_for
 
 # Shard numbers below 2**40; a rank's shards are summed in groups of at most 2**20 rows.
 SHARD_BITS = 40
 
+# Up to this many readings are broadcast; a moved row takes this many bytes beside its tokens.
+BROADCAST_READINGS = 400_000
+ROW_BYTES = 64
+
 VAL_STEPS = 20
 VAL_EVERY = 250
 LOG_EVERY = 10
@@ -183,7 +188,8 @@ def training_batches(
 
     ``inputs_and_targets`` makes x and y of the tokens. ``start_step`` resumes: earlier steps are
     dropped from the schedule before any window is moved. A window meets each of its readings by
-    (shard, batch), so a second epoch costs one more row, not another scan.
+    (shard, batch), so a second epoch costs one more row, not another scan. The readings are written
+    once; a few are broadcast, many meet their windows in as many tasks as their bytes need.
     """
     batch = idiv(F.col("pos"), F.lit(batch_size * seq_len).cast("long"))
     step = idiv(F.col("micro_step"), F.lit(grad_accum).cast("long"))
@@ -196,9 +202,16 @@ def training_batches(
     rows = window_rows.select(
         "shard_idx", place["batch"].alias("batch"), place["row_in_batch"].alias("row_in_batch"), "tokens"
     )
-    return readings.join(rows, ["shard_idx", "batch"]).select(
-        "rank", "step", "micro_step", "row_in_batch", "tokens"
-    )
+    # Written and counted, since Spark takes a schedule for as small as the visits it is unfolded from.
+    readings = cut_lineage(readings, "readings")
+    n = readings.count()
+    if n <= BROADCAST_READINGS:
+        met = rows.join(F.broadcast(readings), ["shard_idx", "batch"])
+    else:
+        tasks = tasks_for(rows.sparkSession, n * batch_size * (2 * (seq_len + 1) + ROW_BYTES))
+        rows, readings = (side.repartition(tasks, "shard_idx", "batch") for side in (rows, readings))
+        met = rows.join(readings.hint("merge"), ["shard_idx", "batch"])
+    return met.select("rank", "step", "micro_step", "row_in_batch", "tokens")
 
 
 def micro_steps_per_step(batch_tokens: int, batch_size: int, seq_len: int, n_ranks: int) -> int:

@@ -31,7 +31,7 @@ def doc_offsets(
     """
     return exclusive_prefix(
         tokenized, "doc_id", "n_tokens", "start", total="total",
-        id_bits=id_bits, block_bits=DOC_BLOCK_BITS, write_totals=True, below=below,
+        id_bits=id_bits, block_bits=DOC_BLOCK_BITS, write_totals=True, below=below, width=2 if "tokens" in tokenized.columns else 0,
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusforge.functions.codec import idiv
-from corpusforge.session import cut_lineage
+from corpusforge.session import cut_lineage, tasks_for
 
 # The last level of a running sum is one sorted group; it never has more rows than this.
 TOP_BITS = 23
@@ -36,6 +36,7 @@ def exclusive_prefix(
     block_bits: int = 20,
     write_totals: bool = False,
     below: int | None = None,
+    width: int = 0,
 ) -> DataFrame:
     """Add ``out`` = sum of ``value`` over rows with a smaller ``key`` (inside each ``by`` group).
 
@@ -48,7 +49,8 @@ def exclusive_prefix(
 
     ``write_totals`` writes the block totals once, so that ``df`` is read twice however many
     levels there are. ``below`` keeps only rows whose ``out`` is smaller: blocks that begin at or
-    beyond it are dropped before their rows are moved.
+    beyond it are dropped before their rows are moved. ``width`` is the bytes that rows carry per unit
+    of ``value``; with written totals, large rows are dealt to as many tasks as their bytes need.
     """
     in_range = F.shiftright(F.col(key).cast("long"), min(id_bits, 62)) == 0
     too_big = F.raise_error(F.lit(f"{key} is not in 0 .. 2**{id_bits} - 1; pass a larger id_bits"))
@@ -57,7 +59,7 @@ def exclusive_prefix(
     value_column = F.when(in_range, F.col(value)).otherwise(too_big.cast("long")).cast("long")
     df = df.withColumn("_value", value_column)
     shifts = level_shifts(id_bits, block_bits)
-    done = _prefix(df, key, "_value", out, list(by), total, shifts, write_totals, below)
+    done = _prefix(df, key, "_value", out, list(by), total, shifts, write_totals, below, width)
     return (done if below is None else done.where(F.col(out) < below)).drop("_value")
 
 
@@ -71,6 +73,7 @@ def _prefix(
     shifts: Sequence[int],
     write_totals: bool = False,
     below: int | None = None,
+    width: int = 0,
 ) -> DataFrame:
     if not shifts:
         group = Window.partitionBy(*by)
@@ -83,6 +86,10 @@ def _prefix(
     totals = df.groupBy(*by, block).agg(F.sum(value).alias(level_sum))
     if write_totals:
         totals = cut_lineage(totals, "block-totals")
+        if width and below is None:
+            tasks = tasks_for(df.sparkSession, width * (totals.agg(F.sum(level_sum)).first()[0] or 0))
+            if tasks > tasks_for(df.sparkSession, 0):
+                df = df.repartition(tasks, *by, block)
     bases = _prefix(totals, block, level_sum, base, by, total, shifts[1:])
     bases = bases.select(*by, block, base, *([total] if total else []))
     if below is not None:

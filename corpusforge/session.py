@@ -118,3 +118,8 @@ def spread(scan: DataFrame) -> DataFrame:
 def dealt(df: DataFrame) -> DataFrame:
     """Rows dealt over twice the cores, for a derived table that is written once and read often."""
     return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
+def tasks_for(spark: SparkSession, size: int, most: int = 64 << 20) -> int:
+    """Shuffle partitions of at most ``most`` bytes each, never fewer than the session's own number."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // most))

@@ -7,7 +7,10 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from corpusforge.operators import bpe, loader
+from corpusforge.operators import bpe, loader, pack, prefix
+from corpusforge.operators.tokenize import tokenize
+from corpusforge.plans import catalogue
+from corpusforge.session import tasks_for
 from corpusforge.sources import results
 
 
@@ -44,3 +47,19 @@ def test_a_large_batch_is_encoded_piece_by_piece(spark):
     assert peak < 8 * got.nbytes
     assert [bytes(x) for x in got.to_pylist()] == [b"".join(bytes([0, b]) for w in r or [] for b in w.encode()) for r in rows]
     assert len(next(encode(iter([pa.array([], pa.list_(pa.string()))])))) == 0
+
+
+def test_many_readings_and_documents_take_more_tasks_not_larger_ones(spark, monkeypatch):
+    docs = catalogue.documents(spark, "/root/testdata/sf0.001").where("doc_id < 2000")
+    few = sorted(map(tuple, catalogue.training_batches(spark, "/root/testdata/sf0.001").collect()))
+    fine = lambda spark, size, most=0: max(8, -(-size // 50_000))
+    for module in (prefix, loader):
+        monkeypatch.setattr(module, "tasks_for", fine)
+    monkeypatch.setattr(loader, "BROADCAST_READINGS", 0)
+    offsets = pack.doc_offsets(tokenize(docs))
+    plan = offsets._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+    many = catalogue.training_batches(spark, "/root/testdata/sf0.001")
+    assert "SortMergeJoin [shard_idx" in many._jdf.queryExecution().executedPlan().toString()
+    assert few and sorted(map(tuple, many.collect())) == few
+    assert tasks_for(spark, 100 << 26) == 100 and tasks_for(spark, 0) == 8
