@@ -45,11 +45,15 @@ def loss_and_perplexity(logprobs: DataFrame, models: tuple[str, ...]) -> DataFra
 def scheduled_losses(
     losses: DataFrame, schedule: DataFrame, batch_size: int, seq_len: int
 ) -> DataFrame:
-    """The schedule's rows with the losses of the batches they read."""
+    """The schedule's rows with the losses of the batches they read.
+
+    Both sides hold about a row per batch of the corpus, and Spark takes a schedule for as small as
+    the visits it is unfolded from, so neither is left to its choice of a broadcast.
+    """
     at = schedule.withColumn(
         "batch", idiv(F.col("pos"), F.lit(batch_size * seq_len).cast("long"))
     )
-    return at.join(losses, ["shard_idx", "batch"])
+    return at.join(losses.hint("merge"), ["shard_idx", "batch"])
 
 
 def step_loss(scheduled: DataFrame, grad_accum: int, model: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from corpusforge.operators import bpe, loader, pack, prefix
+from corpusforge.operators import bpe, loader, metrics, pack, prefix
 from corpusforge.operators.tokenize import tokenize
 from corpusforge.plans import catalogue
 from corpusforge.session import tasks_for
@@ -63,3 +63,19 @@ def test_many_readings_and_documents_take_more_tasks_not_larger_ones(spark, monk
     assert "SortMergeJoin [shard_idx" in many._jdf.queryExecution().executedPlan().toString()
     assert few and sorted(map(tuple, many.collect())) == few
     assert tasks_for(spark, 100 << 26) == 100 and tasks_for(spark, 0) == 8
+
+
+def test_an_unfolded_schedule_is_not_broadcast_to_its_losses(spark):
+    plan = spark.createDataFrame([("train", r, s, 40_000, 4_000, 0) for r in (0, 1) for s in (1, 2)], "split string, rank long, shard_idx long, n_tokens long, n_batches long, unused_tokens long")
+    schedule = loader.loader_schedule(plan, 1, 1, 2, epochs=1)
+    losses = spark.range(1, 3).select(F.col("id").alias("shard_idx"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7_999).cast("long"))).alias("batch"))
+    losses = losses.groupBy("shard_idx", "batch").agg(F.avg(F.col("shard_idx") * 10_000.0 + F.col("batch")).alias("loss_m"))
+    at = metrics.scheduled_losses(losses, schedule, 1, 1)
+    got = {(r.rank, r.micro_step): r.loss_m for r in at.collect()}
+    assert got == {(r, m): (1 + m // 4_000) * 10_000 + r + m % 4_000 * 2 for r in (0, 1) for m in range(8_000)}
+    final = at._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [shard_idx" in final and "BroadcastHashJoin [shard_idx" not in final
+    whole = catalogue.step_loss(spark, "/root/testdata/sf0.001")
+    assert whole.collect()
+    final = whole._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [shard_idx" in final and "BroadcastHashJoin [shard_idx" not in final
