@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusforge.operators import bpe, loader, metrics, pack, prefix
 from corpusforge.operators.tokenize import tokenize
 from corpusforge.plans import catalogue
-from corpusforge.session import tasks_for
+from corpusforge.session import cut_lineage, tasks_for
 from corpusforge.sources import results
 
 
@@ -79,3 +79,18 @@ def test_an_unfolded_schedule_is_not_broadcast_to_its_losses(spark):
     assert whole.collect()
     final = whole._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [shard_idx" in final and "BroadcastHashJoin [shard_idx" not in final
+
+
+def test_stored_step_losses_are_made_without_a_broadcast_schedule(spark, monkeypatch):
+    plans = {}
+
+    def noted(df, name):
+        df.collect()  # the plan is final after a run
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return cut_lineage(df, name)
+
+    monkeypatch.setattr(catalogue, "cut_lineage", noted)
+    stored = {r.step: (r.run_id, r.name, r.value) for r in catalogue.step_metrics(spark, "/root/testdata/sf0.001").collect()}
+    assert "SortMergeJoin [shard_idx" in plans["step-losses"] and "BroadcastHashJoin [shard_idx" not in plans["step-losses"]
+    losses = catalogue.step_loss(spark, "/root/testdata/sf0.001").collect()
+    assert losses and stored == {r.step: ("pass-0", "train_loss", r.loss) for r in losses}
